@@ -581,12 +581,17 @@ def job_models(spark, sf_dir):
 
 
 # --- streams -----------------------------------------------------------------
+def _arriving(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    # A glob, as a stream takes a table that is one file only by pattern.
+    return pipelines.table_stream(spark, f"{sf_dir}/{name}.parquet*")
+
+
 def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pipelines.table_stream(spark, f"{sf_dir}/events.parquet")
+    return _arriving(spark, sf_dir, "events")
 
 
 def _line_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return invoice_lines(spark, sf_dir, pipelines.table_stream(spark, f"{sf_dir}/lineitem.parquet"))
+    return invoice_lines(spark, sf_dir, _arriving(spark, sf_dir, "lineitem"))
 
 
 def _streamed(spark: SparkSession, stream: DataFrame, purpose: str, partition_by=()) -> DataFrame:

@@ -7,7 +7,6 @@ everywhere, ``delta`` needs its jar on the classpath.
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -75,11 +74,14 @@ def read_run_log(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(RUN_LOG).json(path)
 
 
+def table_exists(spark: SparkSession, path: str) -> bool:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    return files.exists(place)
+
+
 def existing_schema(spark: SparkSession, path: str, format: str) -> StructType | None:
-    try:
-        return spark.read.format(format).load(path).schema
-    except AnalysisException:
-        return None
+    return spark.read.format(format).load(path).schema if table_exists(spark, path) else None
 
 
 def check_schema(df: DataFrame, found: StructType | None) -> None:
