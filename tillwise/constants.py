@@ -68,18 +68,12 @@ FORECAST_FEATURES = (
 )
 CUSTOMER_FEATURES = ("recency", "frequency", "monetary", "avg_order_value")
 
-# Model health: metric, sign of a breach, limit, status on breach, text.
+# Model health: metric, side of a breach, limit, status on breach, text, digits in it.
 MODEL_CHECKS = (
-    ("r_squared", "below", 0.7, "warning", "R-squared (%.3f) below threshold (0.7)"),
-    ("mae", "above", 1000.0, "critical", "MAE (%.2f) above threshold (1000.0)"),
-    ("mape", "above", 15.0, "warning", "MAPE (%.1f%%) above threshold (15.0%%)"),
-    (
-        "balance_ratio",
-        "below",
-        0.3,
-        "warning",
-        "Cluster balance ratio (%.3f) below threshold (0.3)",
-    ),
+    ("r_squared", "below", 0.7, "warning", "R-squared (%s) below threshold (0.7)", 3),
+    ("mae", "above", 1000.0, "critical", "MAE (%s) above threshold (1000.0)", 2),
+    ("mape", "above", 15.0, "warning", "MAPE (%s%%) above threshold (15.0%%)", 1),
+    ("balance_ratio", "below", 0.3, "warning", "Cluster balance ratio (%s) below threshold (0.3)", 3),
 )
 SEVERITY = ("healthy", "warning", "critical")
 

@@ -13,26 +13,30 @@ from pyspark.sql import functions as F
 
 from tillwise.constants import PERCENTILE_ACCURACY, QUINTILES
 
-RANGES = 128
+# Ranges only balance the work, so a coarse sketch that stays small is enough.
+RANGES, RANGE_ACCURACY = 128, 1024
 
 
 def value_positions(df: DataFrame, measures: Sequence[str], *, descending: bool = False) -> DataFrame:
-    """Rows ``(measure, value, n, before, rows)`` for numeric columns.
+    """Rows ``(measure, value, n, before, rows)`` for numeric columns, compared as doubles.
 
     ``n`` rows hold the value and ``before`` rows lie ahead of it, of ``rows`` in all.
-    Values are compared as doubles.  Nulls are one value, the last in descending order.
+    In descending order nulls are one value, the last; in ascending order they are left out.
     """
     names = [F.lit(m) for m in measures]
     pairs = F.explode(
         F.array(*[F.struct(n.alias("measure"), F.col(m).cast("double").alias("value")) for n, m in zip(names, measures)])
     )
-    counts = df.select(pairs.alias("pair")).groupBy("pair.measure", "pair.value").agg(F.count(F.lit(1)).alias("n"))
+    values = df.select(pairs.alias("pair")).select("pair.measure", "pair.value")
+    if not descending:
+        values = values.filter(F.col("value").isNotNull())
+    counts = values.groupBy("measure", "value").agg(F.count(F.lit(1)).alias("n"))
 
     def summary(name: Column) -> Column:
         of_measure = F.col("measure") == name
         return F.struct(
             F.percentile_approx(
-                F.when(of_measure, F.col("value")), [i / RANGES for i in range(1, RANGES)], PERCENTILE_ACCURACY
+                F.when(of_measure, F.col("value")), [i / RANGES for i in range(1, RANGES)], RANGE_ACCURACY
             ).alias("bounds"),
             F.coalesce(F.sum(F.when(of_measure, F.col("n"))), F.lit(0)).alias("rows"),
         )
@@ -54,7 +58,7 @@ def value_positions(df: DataFrame, measures: Sequence[str], *, descending: bool
         .agg(F.sum("n").alias("_in_range"))
         .select("measure", "range", F.coalesce(F.sum("_in_range").over(ahead), F.lit(0)).alias("offset"))
     )
-    order = value.desc_nulls_last() if descending else value.asc_nulls_first()
+    order = value.desc_nulls_last() if descending else value.asc()
     inside = (
         Window.partitionBy("measure", "range").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
     )
@@ -81,24 +85,22 @@ def with_ranks(df: DataFrame, ranks: Mapping[str, str]) -> DataFrame:
     return df
 
 
-def approximate_quantiles(column: str | Column, at: Sequence[float] = QUINTILES) -> Column:
-    """Aggregate: a mergeable sketch, exact up to ``PERCENTILE_ACCURACY`` rows."""
-    return F.percentile_approx(column, list(at), PERCENTILE_ACCURACY)
+def quantiles(
+    df: DataFrame, measures: Sequence[str], at: Sequence[float] = QUINTILES, *, sketch: bool = False
+) -> Column:
+    """Scalar struct of arrays: per measure the smallest values that cover each share.
 
-
-def exact_quantiles(df: DataFrame, measures: Sequence[str], at: Sequence[float] = QUINTILES) -> Column:
-    """Scalar struct of arrays: per measure the smallest values that cover each share."""
-    known = df.select(*measures)
+    ``sketch`` merges one quantile sketch per measure instead of counting positions; it
+    is exact up to ``PERCENTILE_ACCURACY`` rows.
+    """
+    if sketch:
+        found = [F.percentile_approx(m, list(at), PERCENTILE_ACCURACY).alias(m) for m in measures]
+        return df.agg(F.struct(*found)).scalar()
     through = F.col("before") + F.col("n")
-    wanted = [F.ceil(F.lit(p) * F.col("rows")) for p in at]
-    places = value_positions(known, measures).filter(F.col("value").isNotNull())
-    return places.agg(
-        F.struct(
-            *[
-                F.array(
-                    *[F.min(F.when((F.col("measure") == m) & (through >= w), F.col("value"))) for w in wanted]
-                ).alias(m)
-                for m in measures
-            ]
-        )
-    ).scalar()
+    wanted = [F.ceil(F.lit(str(p)).cast("decimal(9,6)") * F.col("rows").cast("decimal(20,0)")) for p in at]
+
+    def cuts(measure: str) -> Column:
+        mine = F.col("measure") == measure
+        return F.array(*[F.min(F.when(mine & (through >= w), F.col("value"))) for w in wanted])
+
+    return value_positions(df, measures).agg(F.struct(*[cuts(m).alias(m) for m in measures])).scalar()

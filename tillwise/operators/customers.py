@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 
 from tillwise.constants import DAYS_PER_YEAR, MONTHS_PER_YEAR, QUINTILES
 from tillwise.functions import money
-from tillwise.functions.distribution import approximate_quantiles, exact_quantiles
+from tillwise.functions.distribution import quantiles
+from tillwise.functions.scalars import table_wide
 from tillwise.functions.scoring import cltv_band, quintile_score, rfm_segment
 from tillwise.operators.sales import measures
 
@@ -14,8 +15,8 @@ def customer_base(df: DataFrame) -> DataFrame:
     """One row per registered customer, from silver lines or an invoice rollup.
 
     The distinct invoice count is shuffled by (customer, invoice) first, so one very
-    busy customer does not land in one task.  RFM and lifetime value both derive from
-    this table; a job writes it once.
+    busy customer does not land in one task.  RFM and lifetime value read their input
+    more than once (cut points, then scores), so store this table and pass it to them.
     """
     return (
         measures(df)
@@ -42,81 +43,74 @@ def analysis_date(lines: DataFrame, column: str = "InvoiceTimestamp") -> DataFra
     return lines.agg(F.max(column).alias("analysis_date"))
 
 
-def rfm_thresholds(df: DataFrame) -> DataFrame:
-    """One row of quintile cut points for recency, frequency and spend, for reports."""
-    age = -F.unix_date(F.to_date("last_purchase"))
-    spend = money.as_double(F.col("amount"))
-    seen = as_customer_base(df).agg(
-        F.min(age).alias("newest"),
-        *[
-            approximate_quantiles(c).alias(n)
-            for n, c in (("age", age), ("frequency", F.col("orders")), ("monetary", spend))
-        ],
+def _rfm_inputs(df: DataFrame) -> DataFrame:
+    """Days before today order customers as negated day numbers do, so the recency cut
+    points need no latest date and come with the other two."""
+    return as_customer_base(df).select(
+        "CustomerID",
+        F.col("orders").alias("frequency"),
+        money.as_double(F.col("amount")).alias("spend"),
+        money.as_double(money.to_cents(F.col("amount"))).alias("monetary_value"),
+        (-F.unix_date(F.to_date("last_purchase"))).alias("age"),
+        F.col("last_purchase").alias("last_purchase_date"),
     )
-    points = {
-        f"{name}_{round(p * 100)}": F.col(source)[i] - offset
-        for name, source, offset in (
-            ("recency", "age", F.col("newest")),
-            ("frequency", "frequency", F.lit(0)),
-            ("monetary", "monetary", F.lit(0)),
-        )
-        for i, p in enumerate(QUINTILES)
-    }
-    return seen.select(*[c.alias(n) for n, c in points.items()])
 
 
-def rfm_detailed(df: DataFrame, *, exact: bool = False) -> DataFrame:
-    """RFM from silver lines, an invoice rollup or a customer base.
+RFM_METRICS = ("age", "frequency", "spend")
+# The smallest age is the latest purchase; it comes with the cut points.
+LEAST_AND_QUINTILES = (0.0, *QUINTILES)
+
 
-    Latest date and cut points come from one scalar subquery over the customer table.
-    Days before the latest date order customers exactly as negated day numbers do, so
-    the recency cut points need no second pass.  ``exact`` takes the cut points from
-    full counts instead of sketches.
+def rfm_thresholds(df: DataFrame, *, sketch: bool = False) -> DataFrame:
+    """One row: quintile cut points of recency, frequency and spend."""
+    customers = _rfm_inputs(df)
+    cuts = F.col("cuts")
+    newest = cuts["age"][0]
+    shifts = {"recency": ("age", newest), "frequency": ("frequency", F.lit(0)), "monetary": ("spend", F.lit(0))}
+    points = [
+        (cuts[source][i] - shift).cast("double").alias(f"{name}_{round(p * 100)}")
+        for name, (source, shift) in shifts.items()
+        for i, p in enumerate(QUINTILES, start=1)
+    ]
+    found = quantiles(customers, RFM_METRICS, LEAST_AND_QUINTILES, sketch=sketch)
+    return customers.sparkSession.range(1).select(found.alias("cuts")).select(*points)
+
+
+def rfm_detailed(df: DataFrame, *, sketch: bool = False) -> DataFrame:
+    """RFM scores and segments from silver lines, an invoice rollup or a customer base.
+
+    Cut points are exact by default; ``sketch`` takes them from quantile sketches, which
+    are exact up to 10,000 customers and close beyond.
     """
-    customers = as_customer_base(df).select(
-        "CustomerID",
-        F.col("last_purchase").alias("last_purchase_date"),
-        F.col("orders").alias("frequency"),
-        money.as_double(F.col("amount")).alias("monetary_value"),
-        money.as_double(money.to_cents(F.col("amount"))).alias("_rounded"),
-        (-F.unix_date(F.to_date("last_purchase"))).alias("_age"),
-    )
-    metrics = ("_age", "frequency", "monetary_value")
-    newest = F.min("_age").alias("newest")
-    if exact:
-        cuts = exact_quantiles(customers, metrics)
-        seen = F.struct(
-            customers.agg(newest).scalar().alias("newest"),
-            cuts.alias("cuts"),
-        )
-        cut = lambda name: F.col("_seen")["cuts"][name]
-    else:
-        seen = customers.agg(
-            F.struct(newest, *[approximate_quantiles(m).alias(m) for m in metrics])
-        ).scalar()
-        cut = lambda name: F.col("_seen")[name]
+    customers = _rfm_inputs(df)
+    cuts = F.col("_cuts")
+
+    def score(metric: str, *, low_is_good: bool = False):
+        return quintile_score(F.col(metric), F.slice(cuts[metric], 2, 4), low_is_good=low_is_good)
+
     scores = {
-        "recency_score": quintile_score(F.col("_age"), cut("_age"), low_is_good=True),
-        "frequency_score": quintile_score(F.col("frequency"), cut("frequency")),
-        "monetary_score": quintile_score(F.col("monetary_value"), cut("monetary_value")),
+        "recency_score": score("age", low_is_good=True),
+        "frequency_score": score("frequency"),
+        "monetary_score": score("spend"),
     }
+    found = quantiles(customers, RFM_METRICS, LEAST_AND_QUINTILES, sketch=sketch)
     return (
-        customers.withColumn("_seen", seen)
+        customers.withColumn("_cuts", found)
         .withColumns(scores)
         .select(
             "CustomerID",
             "last_purchase_date",
             "frequency",
-            F.col("_rounded").alias("monetary_value"),
-            (F.col("_age") - F.col("_seen")["newest"]).alias("recency"),
+            "monetary_value",
+            (F.col("age") - cuts["age"][0]).cast("int").alias("recency"),
             *scores,
             rfm_segment(*map(F.col, scores)).alias("customer_segment"),
         )
     )
 
 
-def cltv_detailed(df: DataFrame, *, exact: bool = False) -> DataFrame:
-    """Lifetime value and value band, best first."""
+def cltv_detailed(df: DataFrame, *, sketch: bool = False) -> DataFrame:
+    """Lifetime value and value band, best first; cut points as in ``rfm_detailed``."""
     lifespan = F.datediff("last_purchase", "first_purchase") + 1
     mean_line = F.try_divide(money.as_double(F.col("amount")), F.col("amounts"))
     customers = (
@@ -144,18 +138,7 @@ def cltv_detailed(df: DataFrame, *, exact: bool = False) -> DataFrame:
             ),
         )
     )
-    if exact:
-        cuts = exact_quantiles(customers, ["predicted_cltv"])["predicted_cltv"]
-    else:
-        # The busiest customer rides along: with it the subquery needs the same
-        # aggregate as the table itself, and Spark shuffles the lines once for both.
-        seen = customers.agg(
-            F.struct(
-                approximate_quantiles("predicted_cltv").alias("cuts"),
-                F.max("total_transactions").alias("busiest"),
-            )
-        ).scalar()
-        cuts = seen["cuts"]
+    cuts = quantiles(customers, ["predicted_cltv"], sketch=sketch)["predicted_cltv"]
     return (
         customers.withColumn("_cuts", cuts)
         .withColumn("cltv_segment", cltv_band(F.col("predicted_cltv"), F.col("_cuts")))
@@ -165,17 +148,23 @@ def cltv_detailed(df: DataFrame, *, exact: bool = False) -> DataFrame:
 
 
 def rfm_simple(lines: DataFrame) -> DataFrame:
-    """Line-count RFM over simple silver; no scores, no rounding."""
-    latest = lines.agg(F.max("InvoiceDate")).scalar()
-    return (
-        lines.filter(F.col("CustomerID").isNotNull())
-        .groupBy("CustomerID")
-        .agg(
-            F.max(F.to_date("InvoiceDate")).alias("_last"),
-            F.count("InvoiceNo").alias("Frequency"),
-            money.as_double(money.total(F.col("Quantity") * F.col("UnitPrice"))).alias("Monetary"),
-        )
-        .select("CustomerID", F.datediff(latest, "_last").alias("Recency"), "Frequency", "Monetary")
+    """Line-count RFM over simple silver; no scores, no rounding.
+
+    Guests count towards the latest date only, so they are one more group that is left
+    out at the end; customer table and latest date come from one scan.
+    """
+    people = lines.groupBy("CustomerID").agg(
+        F.max("InvoiceDate").alias("last"),
+        F.count("InvoiceNo").alias("Frequency"),
+        money.total(F.col("Quantity") * F.col("UnitPrice")).alias("amount"),
+        F.count("CustomerID").alias("registered"),
+    )
+    latest = table_wide(people, latest=F.max("last"))["latest"]
+    return people.filter(F.col("registered") > 0).select(
+        "CustomerID",
+        F.datediff(latest, "last").alias("Recency"),
+        "Frequency",
+        money.as_double(F.col("amount")).alias("Monetary"),
     )
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tillwise.constants import HEALTHY, MODEL_CHECKS, SEVERITY
 from tillwise.functions.scoring import first_match
+from tillwise.functions.text import fixed
 from tillwise.operators.quality import percent
 
 CLUSTER_STATISTICS = ("recency", "frequency", "monetary")
@@ -141,13 +142,13 @@ def _breaches() -> tuple[Column, Column, Column, Column]:
     """Per metric row: order of the check (null: not checked), breached, status, text."""
     metric, value = F.col("metric"), F.col("value")
     orders, breached, states, texts = [], [], [], []
-    for order, (name, side, limit, status, text) in enumerate(MODEL_CHECKS):
+    for order, (name, side, limit, status, text, digits) in enumerate(MODEL_CHECKS):
         here = metric == name
         broken = value < limit if side == "below" else value > limit
         orders.append(F.when(here, F.lit(order)))
         breached.append(F.when(here, broken))
         states.append((here, status))
-        texts.append(F.when(here, F.format_string(text, value)))
+        texts.append(F.when(here, F.format_string(text, fixed(value, digits))))
     return (
         F.coalesce(*orders),
         F.coalesce(*breached, F.lit(False)),

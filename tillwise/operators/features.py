@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tillwise.constants import FORECAST_FEATURES
 from tillwise.functions import money
+from tillwise.functions.scalars import table_wide
 from tillwise.functions.times import moment
 from tillwise.operators.customers import as_customer_base
 
@@ -50,8 +51,10 @@ def customer_features(df: DataFrame, as_of: datetime | date | str | Column | Non
 
     ``as_of`` defaults to the latest purchase in the table.
     """
-    customers = as_customer_base(df)
-    today = customers.agg(F.max("last_purchase")).scalar() if as_of is None else moment(as_of)
+    customers = as_customer_base(df).select("CustomerID", "last_purchase", "lines", "amount", "amounts")
+    today = (
+        table_wide(customers, latest=F.max("last_purchase"))["latest"] if as_of is None else moment(as_of)
+    )
     monetary = money.as_double(F.col("amount"))
     return customers.select(
         "CustomerID",

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tillwise import constants as K
 from tillwise.functions import money
+from tillwise.functions.text import fixed
 from tillwise.functions.times import moment
 from tillwise.operators.quality import missing_cells
 
@@ -209,18 +210,17 @@ def alerts(metrics: DataFrame) -> DataFrame:
     The id is name, second and a hash of the row, so two alerts of one second differ.
     """
     value, threshold = F.col("value"), F.col("threshold")
-    identity = F.md5(
-        F.concat_ws(
-            "|", "name", "metric_type", "alert_level", F.format_string("%.6f|%.6f", value, threshold)
-        )
-    )
+    instant = F.unix_micros("timestamp").cast("string")
+    identity = F.md5(F.concat_ws("|", "name", "metric_type", "alert_level", instant))
     kind = F.translate(F.initcap(F.translate("metric_type", "_", " ")), " ", "_")
     return metrics.filter(F.col("alert_level").isNotNull()).select(
         F.concat_ws(
             "_", "name", F.unix_seconds("timestamp").cast("string"), F.substring(identity, 1, 8)
         ).alias("id"),
         F.concat(kind, F.lit(" Alert: "), "name").alias("title"),
-        F.format_string("Metric %s is %.3f, threshold: %.3f", "name", value, threshold).alias("description"),
+        F.format_string(
+            "Metric %s is %s, threshold: %s", "name", fixed(value, 3), fixed(threshold, 3)
+        ).alias("description"),
         F.col("alert_level").alias("level"),
         F.col("name").alias("metric_name"),
         value.alias("current_value"),

@@ -82,9 +82,8 @@ def quantity_outliers(
     spread = (second * rows.cast("decimal(18,0)") - first * first).cast("double")
     pairs = rows.cast("double") * (rows - 1).cast("double")
     stats = (
-        values.filter(F.col("value").isNotNull())
-        .agg(
-            F.sum("n").alias("rows"),
+        values.agg(
+            F.sum(F.when(F.col("value").isNotNull(), F.col("n"))).alias("rows"),
             F.sum((value * n).cast("decimal(38,0)")).cast("decimal(38,0)").alias("first"),
             F.sum((value * value * n).cast("decimal(38,0)")).cast("decimal(38,0)").alias("second"),
         )

@@ -28,7 +28,7 @@ from tillwise.schemas import CORRUPT_COLUMN
 from tillwise.sources import run_log_adapter
 from tillwise.sources.invoice_adapter import invoice_lines, read_table
 from tillwise.sources.tables import GOLD, SILVER, Lakehouse, read_csv, read_run_log, write_table
-from tillwise.sources.workspace import new_folder
+from tillwise.sources.workspace import new_folder, stored
 from tillwise.streaming import pipelines
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -63,6 +63,10 @@ def _simple(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silver.silver_simple(invoice_lines(spark, sf_dir))
 
 
+def _customer_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stored(customers.customer_base(_silver(spark, sf_dir)), "customer_base")
+
+
 def _projection(spark: SparkSession, sf_dir: str) -> DataFrame:
     return customers.projection(customers.cltv_simple(customers.rfm_simple(_simple(spark, sf_dir))))
 
@@ -101,7 +105,18 @@ def country_sales_detailed(spark, sf_dir):
 
 @query
 def product_ranking(spark, sf_dir):
-    return sales.product_ranking(_silver(spark, sf_dir))
+    return sales.rank_products(stored(sales.product_sales(_silver(spark, sf_dir)), "product_totals"))
+
+
+@query
+def product_sales(spark, sf_dir):
+    return sales.product_sales(_silver(spark, sf_dir))
+
+
+@query
+def customer_base(spark, sf_dir):
+    base = customers.customer_base(_silver(spark, sf_dir))
+    return base.withColumn("amount", F.col("amount").cast("double"))
 
 
 @query
@@ -143,28 +158,27 @@ def country_revenue(spark, sf_dir):
 # --- customers ---------------------------------------------------------------
 @query
 def rfm_detailed(spark, sf_dir):
-    return customers.rfm_detailed(_silver(spark, sf_dir))
+    return customers.rfm_detailed(_customer_base(spark, sf_dir))
 
 
 @query
-def rfm_exact(spark, sf_dir):
-    return customers.rfm_detailed(_silver(spark, sf_dir), exact=True)
+def rfm_sketch(spark, sf_dir):
+    return customers.rfm_detailed(_customer_base(spark, sf_dir), sketch=True)
 
 
 @query
 def rfm_thresholds(spark, sf_dir):
-    base = customers.customer_base(_silver(spark, sf_dir))
-    return customers.rfm_thresholds(base)
+    return customers.rfm_thresholds(_customer_base(spark, sf_dir))
 
 
 @query
 def cltv_detailed(spark, sf_dir):
-    return customers.cltv_detailed(_silver(spark, sf_dir))
+    return customers.cltv_detailed(_customer_base(spark, sf_dir))
 
 
 @query
-def cltv_exact(spark, sf_dir):
-    return customers.cltv_detailed(_silver(spark, sf_dir), exact=True)
+def cltv_sketch(spark, sf_dir):
+    return customers.cltv_detailed(_customer_base(spark, sf_dir), sketch=True)
 
 
 @query
@@ -195,12 +209,12 @@ def projection_total(spark, sf_dir):
 
 @query
 def segment_counts(spark, sf_dir):
-    return customers.segment_counts(customers.rfm_detailed(_silver(spark, sf_dir)))
+    return customers.segment_counts(customers.rfm_detailed(_customer_base(spark, sf_dir)))
 
 
 @query
 def distinct_segments(spark, sf_dir):
-    return customers.distinct_segments(customers.rfm_detailed(_silver(spark, sf_dir)), "customer_segment")
+    return customers.distinct_segments(customers.rfm_detailed(_customer_base(spark, sf_dir)), "customer_segment")
 
 
 # --- quality -----------------------------------------------------------------

@@ -396,7 +396,7 @@ ALERTS = f"""
 {METRIC_ROWS},
 alert_rows AS (
   SELECT name || '_' || CAST(CAST(floor(epoch("timestamp")) AS BIGINT) AS VARCHAR) || '_' ||
-           substr(md5(name || '|' || metric_type || '|' || alert_level || '|' || printf('%.6f|%.6f', value, threshold)), 1, 8)
+           substr(md5(name || '|' || metric_type || '|' || alert_level || '|' || CAST(epoch_us("timestamp") AS VARCHAR)), 1, 8)
            AS id,
          CASE metric_type WHEN 'pipeline_health' THEN 'Pipeline_Health' WHEN 'data_quality' THEN 'Data_Quality'
               ELSE 'Model_Performance' END || ' Alert: ' || name AS title,
@@ -545,6 +545,9 @@ def oracle_sql() -> dict[str, str]:
         "product_ranking": f"""WITH {SILVER}, {PRODUCTS}
             SELECT *, CAST(rank() OVER (ORDER BY total_revenue DESC) AS INTEGER) AS revenue_rank,
                    CAST(rank() OVER (ORDER BY total_quantity_sold DESC) AS INTEGER) AS quantity_rank FROM products""",
+        "product_sales": f"WITH {SILVER}, {PRODUCTS} SELECT * FROM products",
+        "customer_base": f"""WITH {SILVER}, {BASE} SELECT CustomerID, first_purchase, last_purchase, orders,
+            {amount('units')} AS amount, n AS amounts, n AS transactions, n AS lines FROM base""",
         "invoice_rollup": f"""WITH {SILVER}
             SELECT {ROLLUP_KEYS}, {amount('SUM(units)')} AS amount_sum, COUNT(*) AS amount_count,
                    {whole('SUM(Quantity)')} AS quantity_sum, COUNT(*) AS line_count, COUNT(*) AS stamp_count,
@@ -559,16 +562,16 @@ def oracle_sql() -> dict[str, str]:
         "country_sales_simple": f"WITH {SIMPLE} {SIMPLE_COUNTRY}",
         "country_revenue": f"WITH {SIMPLE}, c AS ({SIMPLE_COUNTRY}) SELECT Country, CountryRevenue FROM c",
         "rfm_detailed": rfm,
-        "rfm_exact": rfm,
+        "rfm_sketch": rfm,
         "rfm_thresholds": f"""WITH {SILVER}, {BASE}, {RFM} SELECT """
         + ", ".join(
-            f"{c}[{i + 1}] AS {name}_{p}"
+            f"CAST({c}[{i + 1}] AS DOUBLE) AS {name}_{p}"
             for name, c in (("recency", "r"), ("frequency", "f"), ("monetary", "m"))
             for i, p in enumerate((20, 40, 60, 80))
         )
         + " FROM cuts",
         "cltv_detailed": cltv,
-        "cltv_exact": cltv,
+        "cltv_sketch": cltv,
         "analysis_date": f"WITH {SILVER} SELECT MAX(InvoiceTimestamp) AS analysis_date FROM silver WHERE CustomerID IS NOT NULL",
         "rfm_simple": f"WITH {SIMPLE}, {SIMPLE_RFM} SELECT * FROM rfm",
         "cltv_simple": f"WITH {SIMPLE}, {SIMPLE_RFM} SELECT CustomerID, Recency, Frequency, Monetary, CLTV FROM projected",
@@ -688,7 +691,7 @@ def oracle_sql() -> dict[str, str]:
                      'data_quality' AS metric_type, window_start AS "timestamp", 'warning' AS alert_level
               FROM windows WHERE high > mean + 3 * deviation)
             SELECT name || '_' || CAST(CAST(floor(epoch("timestamp")) AS BIGINT) AS VARCHAR) || '_' ||
-                   substr(md5(name || '|' || metric_type || '|' || alert_level || '|' || printf('%.6f|%.6f', value, threshold)), 1, 8) AS id,
+                   substr(md5(name || '|' || metric_type || '|' || alert_level || '|' || CAST(epoch_us("timestamp") AS VARCHAR)), 1, 8) AS id,
                    'Data_Quality Alert: ' || name AS title,
                    printf('Metric %s is %.3f, threshold: %.3f', name, value, threshold) AS description,
                    alert_level AS level, name AS metric_name, value AS current_value, round(threshold, 4) AS threshold,

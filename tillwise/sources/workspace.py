@@ -3,7 +3,7 @@
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
@@ -21,3 +21,14 @@ def shared_folder(spark: SparkSession) -> str:
 def new_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh path below the shared folder."""
     return f"{shared_folder(spark)}/{purpose}-{uuid.uuid4().hex[:12]}"
+
+
+def stored(df: DataFrame, purpose: str) -> DataFrame:
+    """Write ``df`` below the shared folder and read it back.
+
+    For tables that several later steps read: the work before is done once, and a lost
+    executor costs a re-read instead of a re-run.
+    """
+    path = f"{new_folder(df.sparkSession, purpose)}/table"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
