@@ -8,6 +8,8 @@ from pyspark.sql.types import DoubleType, FloatType
 
 from tillwise.constants import OUTLIER_SIGMAS
 
+MAY_BE_EMPTY = ("CustomerID",)
+
 
 def missing(df: DataFrame, column: str, *, nan: bool = False) -> Column:
     """Null test; with ``nan`` also NaN, for the column types that can hold it."""
@@ -54,19 +56,23 @@ def null_profile(df: DataFrame) -> DataFrame:
     )
 
 
-def silver_completeness(df: DataFrame, exclude: Sequence[str] = ("CustomerID",)) -> DataFrame:
-    """Share of filled cells in percent, leaving out columns that may be empty."""
-    names = [name for name in df.columns if name not in exclude]
-    cells = F.col("total_rows") * F.lit(len(names))
-    return df.agg(
-        F.count(F.lit(1)).alias("total_rows"), missing_cells(df, names).alias("null_cells")
-    ).select(
+def completeness_score(counts: DataFrame, columns: int) -> DataFrame:
+    """Percentage of filled cells from ``total_rows`` and ``null_cells``."""
+    cells = F.col("total_rows") * F.lit(columns)
+    return counts.select(
         "total_rows",
         "null_cells",
         percent(cells - F.col("null_cells"), cells).alias("completeness_score"),
     )
 
 
+def silver_completeness(df: DataFrame, exclude: Sequence[str] = MAY_BE_EMPTY) -> DataFrame:
+    """Share of filled cells in percent, leaving out columns that may be empty."""
+    names = [name for name in df.columns if name not in exclude]
+    counts = df.agg(F.count(F.lit(1)).alias("total_rows"), missing_cells(df, names).alias("null_cells"))
+    return completeness_score(counts, len(names))
+
+
 def quantity_outliers(
     df: DataFrame, column: str = "Quantity", sigmas: int = OUTLIER_SIGMAS
 ) -> DataFrame:

@@ -27,15 +27,17 @@ def to_invoice_lines(
 
     The keys decide which lines carry the defects that cleaning has to handle: credit
     notes, test articles, negative quantities, guests and country spellings.
-    ``lineitem`` may be a stream.  No side is forced to broadcast: the planner does so
-    from file sizes, and the others are shuffled and split when skewed.
+    ``lineitem`` may be a stream.  Line items and orders are both fact tables, so they
+    meet in a shuffle join, which AQE splits where an order or customer is hot; without
+    the hint a small compressed line item file could be taken for a broadcast side.  The
+    dimensions are broadcast only when the planner finds them small.
     """
     headers = (
         orders.join(customer, F.col("o_custkey") == F.col("c_custkey"))
         .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
         .select("o_orderkey", "o_custkey", "o_orderdate", _country().alias("Country"))
     )
-    lines = lineitem.join(headers, F.col("l_orderkey") == F.col("o_orderkey")).join(
+    lines = lineitem.join(headers.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey")).join(
         part, F.col("l_partkey") == F.col("p_partkey")
     )
     credit = (F.col("l_returnflag") == "R") & (F.col("l_linenumber") == 1)

@@ -4,6 +4,7 @@ A table is a folder ``root/layer/name``.  The format is a parameter: ``parquet``
 everywhere, ``delta`` needs its jar on the classpath.
 """
 
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -74,12 +75,25 @@ def read_run_log(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(RUN_LOG).json(path)
 
 
-def table_exists(spark: SparkSession, path: str) -> bool:
+def _file_system(spark: SparkSession, path: str):
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    files = place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    return place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), place
+
+
+def table_exists(spark: SparkSession, path: str) -> bool:
+    files, place = _file_system(spark, path)
     return files.exists(place)
 
 
+def _swap(spark: SparkSession, staged: str, path: str) -> None:
+    """Put a fully written table in the place of another; the old one goes last."""
+    files, place = _file_system(spark, path)
+    new, old = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (staged, f"{staged}.replaced"))
+    if not (files.rename(place, old) and files.rename(new, place)):
+        raise OSError(f"could not replace {path}; the parts are {staged} and {staged}.replaced")
+    files.delete(old, True)
+
+
 def existing_schema(spark: SparkSession, path: str, format: str) -> StructType | None:
     return spark.read.format(format).load(path).schema if table_exists(spark, path) else None
 
@@ -109,17 +123,25 @@ def write_table(
 
     The counts are observed while the rows are written, so there is no second scan.
     Overwriting replaces the schema unless ``enforce_schema``; appending always checks it.
+    A plain file table is replaced only when its successor is complete, so a failed write
+    leaves it as it was and a table may be rewritten from itself.
     """
     spark = df.sparkSession
     if mode == "append" or enforce_schema:
         check_schema(df, existing_schema(spark, path, format))
+    replace = mode == "overwrite" and format != "delta" and table_exists(spark, path)
+    parent, name = path.rstrip("/").rsplit("/", 1)
+    # Readers of the parent folder skip names that start with an underscore.
+    target = f"{parent}/_{name}-{uuid.uuid4().hex[:12]}" if replace else path
     seen = Observation()
     writer = df.observe(seen, F.count(F.lit(1)).alias("rows"), *metrics).write.format(format).mode(mode)
     if mode == "overwrite" and not enforce_schema:
         writer = writer.option("overwriteSchema", "true")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.save(path)
+    writer.save(target)
+    if replace:
+        _swap(spark, target, path)
     return seen.get
 
 
