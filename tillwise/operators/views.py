@@ -56,9 +56,8 @@ def histograms(df: DataFrame, measures: Sequence[str], bins: int = HISTOGRAM_BIN
     def placed(measure: str):
         low, high = edges(measure)
         position = F.floor((F.col(measure).cast("double") - low) / (high - low) * bins).cast("int")
-        return F.struct(
-            F.lit(measure).alias("measure"), F.least(position, F.lit(bins - 1)).alias("bin")
-        )
+        inside = F.when(position.isNotNull(), F.least(position, F.lit(bins - 1)))
+        return F.struct(F.lit(measure).alias("measure"), inside.alias("bin"))
 
     counted = (
         df.select(*measures)
