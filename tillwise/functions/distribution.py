@@ -13,8 +13,13 @@ from pyspark.sql import functions as F
 
 from tillwise.constants import PERCENTILE_ACCURACY, QUINTILES
 
-# Ranges only balance the work, so a coarse sketch that stays small is enough.
-RANGES, RANGE_ACCURACY = 128, 1024
+RANGES_PER_PARTITION, MOST_RANGES = 4, 4096
+
+
+def range_count(df: DataFrame) -> int:
+    """A few ranges per shuffle partition, so they spread evenly over all tasks."""
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return min(RANGES_PER_PARTITION * partitions, MOST_RANGES)
 
 
 def value_positions(df: DataFrame, measures: Sequence[str], *, descending: bool = False) -> DataFrame:
@@ -23,6 +28,9 @@ def value_positions(df: DataFrame, measures: Sequence[str], *, descending: bool
     ``n`` rows hold the value and ``before`` rows lie ahead of it, of ``rows`` in all.
     In descending order nulls are one value, the last; in ascending order they are left out.
     """
+    ranges = range_count(df)
+    # Bounds only balance the work, so a sketch a little finer than the ranges is enough.
+    shares, accuracy = [i / ranges for i in range(1, ranges)], 10 * ranges
     names = [F.lit(m) for m in measures]
     pairs = F.explode(
         F.array(*[F.struct(n.alias("measure"), F.col(m).cast("double").alias("value")) for n, m in zip(names, measures)])
@@ -35,9 +43,7 @@ def value_positions(df: DataFrame, measures: Sequence[str], *, descending: bool
     def summary(name: Column) -> Column:
         of_measure = F.col("measure") == name
         return F.struct(
-            F.percentile_approx(
-                F.when(of_measure, F.col("value")), [i / RANGES for i in range(1, RANGES)], RANGE_ACCURACY
-            ).alias("bounds"),
+            F.percentile_approx(F.when(of_measure, F.col("value")), shares, accuracy).alias("bounds"),
             F.coalesce(F.sum(F.when(of_measure, F.col("n"))), F.lit(0)).alias("rows"),
         )
 
@@ -52,7 +58,7 @@ def value_positions(df: DataFrame, measures: Sequence[str], *, descending: bool
     )
     toward = -F.col("range") if descending else F.col("range")
     ahead = Window.partitionBy("measure").orderBy(toward).rowsBetween(Window.unboundedPreceding, -1)
-    # RANGES rows per measure at most, whatever the size of the table.
+    # One row per range and measure, whatever the size of the table.
     offsets = (
         placed.groupBy("measure", "range")
         .agg(F.sum("n").alias("_in_range"))

@@ -56,6 +56,11 @@ def null_profile(df: DataFrame) -> DataFrame:
     )
 
 
+def columns_with_nulls(profile: DataFrame) -> DataFrame:
+    """The columns of a null profile that have any."""
+    return profile.filter(F.col("null_count") > 0).select("column_name", "null_count")
+
+
 def completeness_score(counts: DataFrame, columns: int) -> DataFrame:
     """Percentage of filled cells from ``total_rows`` and ``null_cells``."""
     cells = F.col("total_rows") * F.lit(columns)

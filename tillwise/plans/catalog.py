@@ -223,6 +223,11 @@ def null_profile(spark, sf_dir):
     return rounded(quality.null_profile(invoice_lines(spark, sf_dir)), {"completeness_score": 9})
 
 
+@query
+def columns_with_nulls(spark, sf_dir):
+    return quality.columns_with_nulls(quality.null_profile(invoice_lines(spark, sf_dir)))
+
+
 @query
 def completeness_silver(spark, sf_dir):
     return quality.silver_completeness(_silver(spark, sf_dir))

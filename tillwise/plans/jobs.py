@@ -4,6 +4,7 @@ Each returns the observed row counts of what it wrote.  Hand-over between stages
 written table, so a lost executor repeats tasks of one stage only.
 """
 
+from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -34,9 +35,15 @@ def run_bronze(
 
 
 def run_silver(
-    spark: SparkSession, lake: Lakehouse, *, source: str = LINES, table: str = CLEANED, mode: str = "overwrite"
+    spark: SparkSession,
+    lake: Lakehouse,
+    *,
+    source: str = LINES,
+    table: str = CLEANED,
+    mode: str = "overwrite",
+    partition_by: Sequence[str] = (),
 ) -> dict:
-    """Bronze to detailed Silver, with its quality report.
+    """Bronze to detailed Silver, with its quality report; by month if so partitioned.
 
     The empty cells are counted while Silver is written; only the outliers, which need
     the mean first, read it again, one column wide.
@@ -44,7 +51,12 @@ def run_silver(
     cleaned = silver.silver_detailed(lake.read(spark, BRONZE, source).drop(CORRUPT_COLUMN))
     checked = [c for c in cleaned.columns if c not in quality.MAY_BE_EMPTY]
     written = lake.write(
-        cleaned, SILVER, table, mode, metrics=[quality.missing_cells(cleaned, checked).alias("null_cells")]
+        cleaned,
+        SILVER,
+        table,
+        mode,
+        partition_by=partition_by,
+        metrics=[quality.missing_cells(cleaned, checked).alias("null_cells")],
     )
     counts = spark.createDataFrame(
         [(written["rows"], written["null_cells"])], "total_rows bigint, null_cells bigint"

@@ -581,6 +581,8 @@ def oracle_sql() -> dict[str, str]:
         "segment_counts": f"WITH {SILVER}, {BASE}, {RFM} SELECT customer_segment, COUNT(*) AS customers FROM rfm GROUP BY 1",
         "distinct_segments": f"WITH {SILVER}, {BASE}, {RFM} SELECT COUNT(DISTINCT customer_segment) AS segments FROM rfm",
         "null_profile": f"WITH {LINES}, {null_rows()}",
+        "columns_with_nulls": f"""WITH {LINES}, profile AS (SELECT * FROM (WITH {null_rows()}))
+            SELECT column_name, null_count FROM profile WHERE null_count > 0""",
         "completeness_silver": f"""WITH {SILVER},
             n AS (SELECT COUNT(*) AS a, """
         + " + ".join(

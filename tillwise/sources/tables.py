@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tillwise.schemas import CORRUPT_COLUMN, METRICS, RAW_LINES, RUN_LOG
+from tillwise.schemas import CORRUPT_COLUMN, RAW_LINES, RUN_LOG
 
 BRONZE, SILVER, GOLD = "bronze", "silver", "gold"
 
@@ -127,6 +127,9 @@ def write_table(
     leaves it as it was and a table may be rewritten from itself.
     """
     spark = df.sparkSession
+    if partition_by:
+        # AQE splits large and merges small partitions, so files get an even size.
+        df = df.hint("rebalance", *partition_by)
     if mode == "append" or enforce_schema:
         check_schema(df, existing_schema(spark, path, format))
     replace = mode == "overwrite" and format != "delta" and table_exists(spark, path)
@@ -147,7 +150,3 @@ def write_table(
 
 def write_report(report: DataFrame, path: str) -> None:
     report.write.mode("overwrite").json(path)
-
-
-def empty_metrics(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([], METRICS)
