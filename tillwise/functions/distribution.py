@@ -6,6 +6,7 @@ the running count inside a range plus the count of all ranges ahead of it is the
 position of every value.
 """
 
+import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tillwise.constants import PERCENTILE_ACCURACY, QUINTILES
 
-RANGES_PER_PARTITION, MOST_RANGES = 4, 4096
+RANGES_PER_PARTITION, MOST_RANGES = 4, 1024
 
 
 def range_count(df: DataFrame) -> int:
@@ -31,6 +32,7 @@ def value_positions(df: DataFrame, measures: Sequence[str], *, descending: bool
     ranges = range_count(df)
     # Bounds only balance the work, so a sketch a little finer than the ranges is enough.
     shares, accuracy = [i / ranges for i in range(1, ranges)], 10 * ranges
+    block = math.isqrt(ranges)
     names = [F.lit(m) for m in measures]
     pairs = F.explode(
         F.array(*[F.struct(n.alias("measure"), F.col(m).cast("double").alias("value")) for n, m in zip(names, measures)])
@@ -42,19 +44,27 @@ def value_positions(df: DataFrame, measures: Sequence[str], *, descending: bool
 
     def summary(name: Column) -> Column:
         of_measure = F.col("measure") == name
+        bounds = F.percentile_approx(F.when(of_measure, F.col("value")), shares, accuracy)
+        last_of_block = F.sequence(F.lit(block), F.lit(len(shares)), F.lit(block))
         return F.struct(
-            F.percentile_approx(F.when(of_measure, F.col("value")), shares, accuracy).alias("bounds"),
+            bounds.alias("bounds"),
+            F.transform(last_of_block, lambda i: F.element_at(bounds, i)).alias("blocks"),
             F.coalesce(F.sum(F.when(of_measure, F.col("n"))), F.lit(0)).alias("rows"),
         )
 
     overview = counts.agg(F.create_map(*[part for n in names for part in (n, summary(n))])).scalar()
-    value, seen = F.col("value"), F.col("_seen")
-    placed = counts.withColumn("_seen", overview[F.col("measure")]).select(
-        "measure",
-        "value",
-        "n",
-        seen["rows"].alias("rows"),
-        F.coalesce(F.size(F.filter(seen["bounds"], lambda b: b < value)), F.lit(0)).alias("range"),
+    seen, value = F.col("_seen"), F.col("value")
+
+    def below(bounds: Column) -> Column:
+        return F.coalesce(F.size(F.filter(bounds, lambda b: b < value)), F.lit(0))
+
+    # Whole blocks of bounds first, then inside one block.
+    skipped = F.col("_skipped") * block
+    inside_block = below(F.slice(seen["bounds"], skipped + 1, F.lit(block)))
+    placed = (
+        counts.withColumn("_seen", overview[F.col("measure")])
+        .withColumn("_skipped", below(seen["blocks"]))
+        .select("measure", "value", "n", seen["rows"].alias("rows"), (skipped + inside_block).alias("range"))
     )
     toward = -F.col("range") if descending else F.col("range")
     ahead = Window.partitionBy("measure").orderBy(toward).rowsBetween(Window.unboundedPreceding, -1)
