@@ -31,7 +31,7 @@ def value_positions(df: DataFrame, measures: Sequence[str], *, descending: bool
     """
     ranges = range_count(df)
     # Bounds only balance the work, so a sketch a little finer than the ranges is enough.
-    shares, accuracy = [i / ranges for i in range(1, ranges)], 10 * ranges
+    shares, accuracy = [f"{i / ranges!r}D" for i in range(1, ranges)], 10 * ranges
     block = math.isqrt(ranges)
     names = [F.lit(m) for m in measures]
     pairs = F.explode(
@@ -44,7 +44,8 @@ def value_positions(df: DataFrame, measures: Sequence[str], *, descending: bool
 
     def summary(name: Column) -> Column:
         of_measure = F.col("measure") == name
-        bounds = F.percentile_approx(F.when(of_measure, F.col("value")), shares, accuracy)
+        wanted = F.expr(f"array({', '.join(shares)})")
+        bounds = F.percentile_approx(F.when(of_measure, F.col("value")), wanted, F.lit(accuracy))
         last_of_block = F.sequence(F.lit(block), F.lit(len(shares)), F.lit(block))
         return F.struct(
             bounds.alias("bounds"),

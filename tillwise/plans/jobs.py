@@ -4,7 +4,8 @@ Each returns the observed row counts of what it wrote.  Hand-over between stages
 written table, so a lost executor repeats tasks of one stage only.
 """
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,6 +15,18 @@ from tillwise.operators import bronze, customers, quality, sales, silver
 from tillwise.schemas import CORRUPT_COLUMN
 from tillwise.sources.tables import BRONZE, GOLD, SILVER, Lakehouse, read_csv
 
+def write_together(lake: Lakehouse, layer: str, tables: Mapping[str, DataFrame], **options) -> dict[str, int]:
+    """Write independent tables at the same time; returns their row counts.
+
+    Small tables leave most of a cluster idle when they are written one after another.
+    """
+    with ThreadPoolExecutor(len(tables)) as pool:
+        written = {
+            name: pool.submit(lake.write, table, layer, name, **options) for name, table in tables.items()
+        }
+        return {name: result.result()["rows"] for name, result in written.items()}
+
+
 LINES = "online_retail"
 CLEANED = "online_retail_cleaned"
 SIMPLE = "simple"
@@ -74,21 +87,26 @@ def run_gold(spark: SparkSession, lake: Lakehouse, *, source: str = CLEANED) ->
     their readers' plans short.
     """
     lines = lake.read(spark, SILVER, source)
-    counts = {"invoice_rollup": lake.write(sales.invoice_rollup(lines), GOLD, "invoice_rollup")["rows"]}
+    shared = {"invoice_rollup": sales.invoice_rollup(lines), "product_totals": sales.product_sales(lines)}
+    counts = write_together(lake, GOLD, shared)
     rollup = lake.read(spark, GOLD, "invoice_rollup")
-    counts["customer_base"] = lake.write(customers.customer_base(rollup), GOLD, "customer_base")["rows"]
-    counts["product_totals"] = lake.write(sales.product_sales(lines), GOLD, "product_totals")["rows"]
+    products = lake.read(spark, GOLD, "product_totals")
+    counts |= write_together(
+        lake,
+        GOLD,
+        {
+            "customer_base": customers.customer_base(rollup),
+            "daily_sales": sales.daily_sales(rollup),
+            "country_sales": sales.country_sales(rollup),
+            "top_products": sales.rank_products(products),
+        },
+    )
     base = lake.read(spark, GOLD, "customer_base")
-    tables = {
-        "daily_sales": sales.daily_sales(rollup),
-        "country_sales": sales.country_sales(rollup),
-        "top_products": sales.rank_products(lake.read(spark, GOLD, "product_totals")),
-        "rfm_table": customers.rfm_detailed(base),
-        "cltv_table": customers.cltv_detailed(base),
-    }
-    for name, table in tables.items():
-        counts[name] = lake.write(table, GOLD, name)["rows"]
-    return counts
+    return counts | write_together(
+        lake,
+        GOLD,
+        {"rfm_table": customers.rfm_detailed(base), "cltv_table": customers.cltv_detailed(base)},
+    )
 
 
 def run_detailed(spark: SparkSession, csv_path: str, lake: Lakehouse) -> dict:
@@ -109,15 +127,21 @@ def run_simple(spark: SparkSession, csv_path: str, lake: Lakehouse) -> dict:
     counts["silver"] = lake.write(cleaned, SILVER, silver_table)["rows"]
     lines = lake.read(spark, SILVER, silver_table)
 
-    def gold(name: str, table: DataFrame, *, enforce_schema: bool = False) -> DataFrame:
-        stored = f"{SIMPLE}_{name}"
-        counts[name] = lake.write(table, GOLD, stored, enforce_schema=enforce_schema)["rows"]
-        return lake.read(spark, GOLD, stored)
-
-    gold("daily_sales", sales.daily_sales_simple(lines))
-    gold("top_products", sales.top_products(lines))
-    gold("country_sales", sales.country_sales_simple(lines))
-    rfm = gold("rfm_table", customers.rfm_simple(lines), enforce_schema=True)
-    cltv = gold("cltv_table", customers.cltv_simple(rfm), enforce_schema=True)
-    gold("forecast_table", customers.projection(cltv), enforce_schema=True)
+    def name(table: str) -> str:
+        return f"{SIMPLE}_{table}"
+
+    counts |= write_together(
+        lake,
+        GOLD,
+        {
+            name("daily_sales"): sales.daily_sales_simple(lines),
+            name("top_products"): sales.top_products(lines),
+            name("country_sales"): sales.country_sales_simple(lines),
+        },
+    )
+    tables = {name("rfm_table"): customers.rfm_simple(lines)}
+    counts |= write_together(lake, GOLD, tables, enforce_schema=True)
+    cltv = customers.cltv_simple(lake.read(spark, GOLD, name("rfm_table")))
+    tables = {name("cltv_table"): cltv, name("forecast_table"): customers.projection(cltv)}
+    counts |= write_together(lake, GOLD, tables, enforce_schema=True)
     return counts
