@@ -3,9 +3,9 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillwise.llm import line_dedup, mixing, simhash
+from tillwise.llm import byte_bpe, huffman, line_dedup, mixing, simhash
 from tillwise.llm.tables import read
-from tillwise.sources.workspace import stored
+from tillwise.sources.workspace import new_folder, stored
 
 
 def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -14,6 +14,10 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_bpe.encode_documents(read(spark, sf_dir, "documents")).drop("ids")
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cleaned = line_dedup.without_shared_lines(read(spark, sf_dir, "documents"), counts=True)
     return cleaned.select("doc_id", "text", "n_lines", "n_removed")
@@ -25,4 +29,13 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.classes(prints).select("doc_id", shown.alias("fingerprint"), "component_id")
 
 
-QUERIES = {q.__name__: q for q in (op1_mix_sources, op5_line_dedup, op9_simhash)}
+def op10_huffman(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_folder(spark, "token-files")
+    huffman.write(stored(huffman.token_ids(read(spark, sf_dir, "documents")), "token-ids"), path)
+    ids_crc32 = F.crc32("ids").alias("ids_crc32")
+    return huffman.read_documents(spark, path).select("doc_id", "start", "n_tokens", ids_crc32)
+
+
+QUERIES = {
+    q.__name__: q for q in (op1_mix_sources, op2_byte_bpe, op5_line_dedup, op9_simhash, op10_huffman)
+}
