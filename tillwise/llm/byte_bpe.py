@@ -14,7 +14,6 @@ an empty result; other columns are kept, those named like a result are replaced.
 
 import json
 from array import array
-from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +21,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillwise.llm.pieces import PieceEncoder, encode_spaced
+from tillwise.llm.pieces import PieceEncoder, encode_spaced, encoder_state
 from tillwise.llm.tables import replacing
 
 DEFINITION = "byte_bpe_50k.json"
@@ -39,25 +38,16 @@ def byte_characters() -> dict[str, int]:
 
 
 class ByteTable:
-    """The bytes of every id; broadcast once per query."""
+    """The bytes of every id; ``state`` is the value of a broadcast, which keeps them for a worker's tasks."""
 
-    def __init__(self, definition: str) -> None:
-        self.definition = definition
-
-    def __getstate__(self) -> dict:
-        return {"definition": self.definition}
-
-    @cached_property
-    def tokens(self) -> list[bytes]:
-        to_byte = byte_characters()
-        known = json.loads(self.definition)
-        names = {i: bytes(to_byte[c] for c in name) for name, i in known["model"]["vocab"].items()}
-        names |= {t["id"]: t["content"].encode() for t in known.get("added_tokens", []) if t["id"] not in names}
-        return [names.get(i, b"") for i in range(max(names) + 1)]
-
-    @cached_property
-    def lengths(self) -> np.ndarray:
-        return np.fromiter(map(len, self.tokens), np.int64, len(self.tokens))
+    def __init__(self, state: dict) -> None:
+        if "tokens" not in state:
+            to_byte, known = byte_characters(), json.loads(state["definition"])
+            names = {i: bytes(to_byte[c] for c in name) for name, i in known["model"]["vocab"].items()}
+            names |= {t["id"]: t["content"].encode() for t in known.get("added_tokens", []) if t["id"] not in names}
+            state["tokens"] = [names.get(i, b"") for i in range(max(names) + 1)]
+            state["lengths"] = np.fromiter(map(len, state["tokens"]), np.int64, len(state["tokens"]))
+        self.tokens, self.lengths = state["tokens"], state["lengths"]
 
     def decode(self, packed: bytes) -> bytes:
         return b"".join(map(self.tokens.__getitem__, array("I", packed)))
@@ -82,22 +72,23 @@ def encode(docs: DataFrame, path: str | None = None, offsets: bool = False) -> D
     ``spans`` is an array of (first, last) characters, last exclusive.  ``path`` names a tokenizer file.
     """
     known = definition(path)
-    encoder = docs.sparkSession.sparkContext.broadcast(PieceEncoder(known))
+    encoder = docs.sparkSession.sparkContext.broadcast(encoder_state(known))
 
     @F.arrow_udf("binary")
     def ids(texts: pa.Array) -> pa.Array:
-        return pa.array(encode_spaced(encoder.value, texts), pa.binary())
+        return pa.array(encode_spaced(PieceEncoder(encoder.value), texts), pa.binary())
 
     encoded = replacing(docs, ids=ids(F.col("text")))
     if not offsets:
         return encoded
-    table = docs.sparkSession.sparkContext.broadcast(ByteTable(known))
+    table = docs.sparkSession.sparkContext.broadcast({"definition": known})
 
     @F.arrow_udf("array<struct<first:int,last:int>>")
     def spans(texts: pa.Array, packed: pa.Array) -> pa.Array:
         rows = []
+        bytes_of = ByteTable(table.value)
         for text, own in zip(texts.to_pylist(), packed.to_pylist(), strict=True):
-            first, last = table.value.spans(text, own)
+            first, last = bytes_of.spans(text, own)
             rows.append([{"first": i, "last": j} for i, j in zip(first.tolist(), last.tolist(), strict=True)])
         return pa.array(rows, pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32())])))
 
@@ -106,11 +97,12 @@ def encode(docs: DataFrame, path: str | None = None, offsets: bool = False) -> D
 
 def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:
     """``encoded`` with ``decoded``, the bytes of its ``ids``."""
-    table = encoded.sparkSession.sparkContext.broadcast(ByteTable(definition(path)))
+    table = encoded.sparkSession.sparkContext.broadcast({"definition": definition(path)})
 
     @F.arrow_udf("binary")
     def decoded(packed: pa.Array) -> pa.Array:
-        return pa.array([table.value.decode(p) for p in packed.to_pylist()], pa.binary())
+        bytes_of = ByteTable(table.value)
+        return pa.array([bytes_of.decode(p) for p in packed.to_pylist()], pa.binary())
 
     # The coalesce keeps the encoding, if ``ids`` comes from it, from running again inside this call.
     return replacing(encoded, decoded=decoded(F.coalesce(F.col("ids"), F.lit(b""))))
@@ -118,11 +110,12 @@ def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:
 
 def decode_text(encoded: DataFrame, path: str | None = None) -> DataFrame:
     """``encoded`` with ``decoded_text``; parts of characters at either end become U+FFFD."""
-    table = encoded.sparkSession.sparkContext.broadcast(ByteTable(definition(path)))
+    table = encoded.sparkSession.sparkContext.broadcast({"definition": definition(path)})
 
     @F.arrow_udf("string")
     def decoded(packed: pa.Array) -> pa.Array:
-        return pa.array([table.value.decode(p).decode("utf-8", "replace") for p in packed.to_pylist()], pa.string())
+        bytes_of = ByteTable(table.value)
+        return pa.array([bytes_of.decode(p).decode("utf-8", "replace") for p in packed.to_pylist()], pa.string())
 
     return replacing(encoded, decoded_text=decoded(F.coalesce(F.col("ids"), F.lit(b""))))
 

@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tillwise.llm.pieces import PieceEncoder, encode_words
+from tillwise.llm.pieces import PieceEncoder, encode_words, encoder_state
 from tillwise.sources.workspace import stored
 
 DEFINITION = "word_bpe_49k.json"
@@ -45,13 +45,14 @@ def token_ids(docs: DataFrame, path: str | None = None, end_id: int = END_ID) ->
     with open(path or public_tokenizers.path(DEFINITION), encoding="utf-8") as file:
         definition = file.read()
     largest = max([end_id, *json.loads(definition)["model"]["vocab"].values()])
-    encoder = docs.sparkSession.sparkContext.broadcast(PieceEncoder(definition, "H" if largest < 2**16 else "I"))
+    encoder = docs.sparkSession.sparkContext.broadcast(encoder_state(definition, "H" if largest < 2**16 else "I"))
 
     @F.arrow_udf("struct<n_tokens:long,ids:binary>")
     def encoded(texts: pa.Array) -> pa.Array:
-        kind = np.dtype(encoder.value.typecode)
+        own = PieceEncoder(encoder.value)
+        kind = np.dtype(own.typecode)
         end, codec = kind.type(end_id).tobytes(), pa.Codec("zstd", 1)
-        rows = [ids + end for ids in encode_words(encoder.value, texts)]
+        rows = [ids + end for ids in encode_words(own, texts)]
         counts = pa.array([len(r) // kind.itemsize for r in rows], pa.int64())
         packed = pa.array([kind.char.encode() + codec.compress(r, asbytes=True) for r in rows], pa.binary())
         return pa.StructArray.from_arrays([counts, packed], ["n_tokens", "ids"])

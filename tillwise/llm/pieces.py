@@ -2,8 +2,8 @@
 
 Texts are cut where no token can reach across; a batch's different pieces are found on Arrow
 columns, unknown ones go through the tokenizers library together, and the ids are put together
-with numpy.  One ``PieceEncoder`` is broadcast per query: it carries the tokenizer's definition to
-the executors and keeps its table of known pieces, whose size is bounded, for all tasks of a worker.
+with numpy.  The tokenizer's definition is broadcast; a worker keeps the tokenizer and its table of known
+pieces, whose size is bounded, beside it for all its tasks.
 """
 
 import os
@@ -26,32 +26,37 @@ _IRREGULAR = f"[ \\n][ \\n]|^[ \\n]|[ \\n]$|[{_RARE_SPACE}]"
 _BEFORE_WORD = re.compile(r"(?<=\S)(?= \S)")
 
 
-class PieceEncoder:
-    """Encodes Arrow columns of texts; ``typecode`` is that of array: "H" or "I" for 16 or 32 bits."""
+def encoder_state(definition: str, typecode: str = "I") -> dict:
+    """What to broadcast for a tokenizer file's content; ``typecode`` as in array: "H" or "I" for 16 or 32 bits.
+
+    A plain dict, which every worker fills with its tokenizer and known pieces.
+    """
+    return {"definition": definition, "typecode": typecode, "known": {}}
 
-    def __init__(self, definition: str, typecode: str = "I") -> None:
-        self.definition, self.typecode = definition, typecode
-        self._tokenizer, self._known = None, {}
 
-    def __getstate__(self) -> dict:
-        return {"definition": self.definition, "typecode": self.typecode, "_tokenizer": None, "_known": {}}
+class PieceEncoder:
+    """Encodes Arrow columns of texts; ``state`` is the value of a broadcast made by ``encoder_state``."""
+
+    def __init__(self, state: dict) -> None:
+        self.state, self.typecode = state, state["typecode"]
 
     @property
     def tokenizer(self):
-        if self._tokenizer is None:
+        if "tokenizer" not in self.state:
             os.environ["TOKENIZERS_PARALLELISM"] = "false"
             from tokenizers import Tokenizer
 
-            self._tokenizer = Tokenizer.from_str(self.definition)
-            self._tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        return self._tokenizer
+            made = Tokenizer.from_str(self.state["definition"])
+            made.encode_special_tokens = True  # their strings in a text are ordinary text
+            self.state["tokenizer"] = made
+        return self.state["tokenizer"]
 
     def ids_of(self, pieces: list[str]) -> list[bytes]:
         """The ids of each piece as packed numbers."""
-        known = self._known
+        known = self.state["known"]
         new = [p for p in dict.fromkeys(pieces) if p not in known]
         if len(known) + len(new) > KNOWN_PIECES:
-            known = self._known = {}
+            known = self.state["known"] = {}
             new = list(dict.fromkeys(pieces))
         for at in range(0, len(new), 4096):
             part = new[at : at + 4096]

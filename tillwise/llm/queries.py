@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillwise.llm import byte_bpe, huffman, line_dedup, mixing, simhash
+from tillwise.llm import byte_bpe, huffman, line_dedup, mixing, ordinal_quality, simhash, toxic_cnn
 from tillwise.llm.tables import read
 from tillwise.sources.workspace import new_folder, stored
 
@@ -18,11 +18,22 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.encode_documents(read(spark, sf_dir, "documents")).drop("ids")
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    model = ordinal_quality.train(docs, read(spark, sf_dir, "labels"))
+    keep = (F.col("tail_probability") >= ordinal_quality.LEAST_TAIL).alias("keep")
+    return ordinal_quality.score(docs, model).select("doc_id", "expected_grade", "tail_probability", keep)
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cleaned = line_dedup.without_shared_lines(read(spark, sf_dir, "documents"), counts=True)
     return cleaned.select("doc_id", "text", "n_lines", "n_removed")
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxic_cnn.score_documents(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     prints = stored(simhash.fingerprints(read(spark, sf_dir, "documents")), "fingerprints")
     shown = F.lower(F.lpad(F.hex("fingerprint"), 16, "0"))
@@ -37,5 +48,6 @@ def op10_huffman(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
-    q.__name__: q for q in (op1_mix_sources, op2_byte_bpe, op5_line_dedup, op9_simhash, op10_huffman)
+    q.__name__: q
+    for q in (op1_mix_sources, op2_byte_bpe, op3_quality, op5_line_dedup, op7_toxicity, op9_simhash, op10_huffman)
 }

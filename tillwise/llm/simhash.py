@@ -28,6 +28,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType
 
 from tillwise.llm.components import components
 from tillwise.llm.tables import text_key
@@ -69,7 +70,7 @@ def fingerprint(text: bytes | None) -> int:
     return int(majority.view("<i8")[0])
 
 
-@F.arrow_udf("long")
+@F.arrow_udf(LongType())
 def _fingerprints(texts: pa.Array) -> pa.Array:
     return pa.array([fingerprint(t) for t in texts.to_pylist()], pa.int64())
 
