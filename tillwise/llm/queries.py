@@ -3,7 +3,18 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillwise.llm import byte_bpe, huffman, line_dedup, mixing, ordinal_quality, simhash, toxic_cnn
+from tillwise.llm import (
+    bin_packing,
+    byte_bpe,
+    cover_tree,
+    huffman,
+    learned_partitions,
+    line_dedup,
+    mixing,
+    ordinal_quality,
+    simhash,
+    toxic_cnn,
+)
 from tillwise.llm.tables import read
 from tillwise.sources.workspace import new_folder, stored
 
@@ -25,15 +36,27 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ordinal_quality.score(docs, model).select("doc_id", "expected_grade", "tail_probability", keep)
 
 
+def op4_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return learned_partitions.search(read(spark, sf_dir, "embeddings"))
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cleaned = line_dedup.without_shared_lines(read(spark, sf_dir, "documents"), counts=True)
     return cleaned.select("doc_id", "text", "n_lines", "n_removed")
 
 
+def op6_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bin_packing.pack_documents(read(spark, sf_dir, "documents"))
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxic_cnn.score_documents(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op8_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cover_tree.near_duplicates(read(spark, sf_dir, "embeddings"))
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     prints = stored(simhash.fingerprints(read(spark, sf_dir, "documents")), "fingerprints")
     shown = F.lower(F.lpad(F.hex("fingerprint"), 16, "0"))
@@ -49,5 +72,16 @@ def op10_huffman(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     q.__name__: q
-    for q in (op1_mix_sources, op2_byte_bpe, op3_quality, op5_line_dedup, op7_toxicity, op9_simhash, op10_huffman)
+    for q in (
+        op1_mix_sources,
+        op2_byte_bpe,
+        op3_quality,
+        op4_nearest,
+        op5_line_dedup,
+        op6_shards,
+        op7_toxicity,
+        op8_cover_tree,
+        op9_simhash,
+        op10_huffman,
+    )
 }
