@@ -24,7 +24,7 @@ def checked(rows, out):
 
 def test_bytes_are_near_equal_and_groups_stay_together(documents):
     rng = np.random.default_rng(1)
-    rows = [(i, "w " * min(int(rng.pareto(1.5) * 20 + 1), 400), "s") for i in range(3000)]
+    rows = [(i, f"{i} " + "w " * min(int(rng.pareto(1.5) * 20 + 1), 400), "s") for i in range(3000)]
     rows += [(5000 + i, "copied text " * 9, "s") for i in range(100)]
     out = bin_packing.pack_documents(documents(rows)).collect()
     load = checked(rows, out)
