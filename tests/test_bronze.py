@@ -122,4 +122,4 @@ def test_a_failed_overwrite_leaves_the_table(spark, bronze_lines, tmp_path):
 def test_partitioned_write(spark, silver_lines, tmp_path):
     path = str(tmp_path / "t")
     write_table(silver_lines, path, partition_by=["Year", "Month"])
-    assert (tmp_path / "t" / "Year=2010" / "Month=12").is_dir()
+    assert (tmp_path / "t" / "Year=2021" / "Month=3").is_dir()

@@ -8,6 +8,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tillwise import constants as K
+from tillwise.functions import money
 from tillwise.functions.distribution import quantiles, value_positions, with_ranks
 from tillwise.functions.scoring import rfm_segment
 from tillwise.operators import customers, sales
@@ -19,8 +20,8 @@ def test_daily_sales(silver_lines):
         "daily_revenue", "transaction_count", "customer_interactions", "unique_customers",
         "avg_order_value", "max_order_value", "min_order_value",
     )
-    assert [rows[1][n] for n in names] == pytest.approx([268.22, 4, 4, 2, 53.64, 153.0, 15.3])
-    assert [rows[2][n] for n in names] == pytest.approx([25.5, 1, 1, 1, 25.5, 25.5, 25.5])
+    assert [rows[5][n] for n in names] == pytest.approx([245.1, 4, 4, 2, 49.02, 122.1, 20.0])
+    assert [rows[6][n] for n in names] == pytest.approx([33.0, 1, 1, 1, 33.0, 33.0, 33.0])
 
 
 def test_country_sales_with_a_guest_only_country(silver_lines):
@@ -29,8 +30,8 @@ def test_country_sales_with_a_guest_only_country(silver_lines):
         "total_revenue", "total_orders", "unique_customers", "avg_order_value", "total_quantity_sold",
         "revenue_per_customer",
     )
-    assert [rows["UNITED KINGDOM"][n] for n in names] == [268.22, 4, 2, 53.64, 62, 134.11]
-    assert [rows["FRANCE"][n] for n in names] == [25.5, 1, 0, 25.5, 6, None]
+    assert [rows["NORWAY"][n] for n in names] == [245.1, 4, 2, 49.02, 39, 122.55]
+    assert [rows["CHILE"][n] for n in names] == [33.0, 1, 0, 33.0, 4, None]
 
 
 @pytest.mark.parametrize("table", [sales.daily_sales, sales.country_sales, customers.customer_base])
@@ -50,12 +51,12 @@ def test_product_ranking(silver_lines):
         for stock, r in rows.items()
     }
     assert found == {
-        "22423": (153.0, 12, 1, 2),
-        "84879": (54.08, 32, 2, 1),
-        "21730": (25.5, 6, 3, 3),
-        "22720": (25.5, 6, 3, 3),
-        "71053": (20.34, 6, 5, 3),
-        "85123A": (15.3, 6, 6, 3),
+        "WR31": (122.1, 2, 1, 6),
+        "TC40": (40.0, 25, 2, 1),
+        "GB55": (33.0, 4, 3, 2),
+        "PH63": (33.0, 4, 3, 2),
+        "LN22": (30.0, 4, 5, 2),
+        "KB10": (20.0, 4, 6, 2),
     }
     ranks = [r["revenue_rank"] for r in sales.product_ranking(silver_lines).collect()]
     assert ranks == sorted(ranks)
@@ -67,8 +68,8 @@ def test_rfm_detailed(silver_lines):
         "recency", "frequency", "monetary_value", "recency_score", "frequency_score", "monetary_score",
         "customer_segment",
     )
-    assert [rows["17850"][n] for n in names] == [0, 3, 214.14, 5, 5, 5, "Champions"]
-    assert [rows["13047"][n] for n in names] == [1, 1, 54.08, 3, 3, 3, "Loyal Customers"]
+    assert [rows["81"][n] for n in names] == [0, 3, 205.1, 5, 5, 5, "Champions"]
+    assert [rows["44"][n] for n in names] == [1, 1, 40.0, 3, 3, 3, "Loyal Customers"]
     assert len(rows) == 2, "guests have no score"
 
 
@@ -76,7 +77,7 @@ def test_rfm_thresholds(silver_lines):
     row = customers.rfm_thresholds(silver_lines).first().asDict()
     assert [row[f"recency_{p}"] for p in (20, 40, 60, 80)] == [0, 0, 1, 1]
     assert [row[f"frequency_{p}"] for p in (20, 40, 60, 80)] == [1, 1, 3, 3]
-    assert [row[f"monetary_{p}"] for p in (20, 40, 60, 80)] == [54.08, 54.08, 214.14, 214.14]
+    assert [row[f"monetary_{p}"] for p in (20, 40, 60, 80)] == [40.0, 40.0, 205.1, 205.1]
 
 
 @pytest.mark.parametrize("operator", [customers.rfm_detailed, customers.cltv_detailed, customers.rfm_thresholds])
@@ -90,8 +91,8 @@ def test_cltv_detailed(silver_lines):
         "customer_lifespan_days", "total_orders", "total_transactions", "total_spent", "avg_order_value",
         "purchase_frequency", "predicted_cltv", "cltv_segment",
     )
-    assert [rows["17850"][n] for n in names] == [2, 3, 4, 214.14, 53.54, 1.5, 29310.41, "High Value"]
-    assert [rows["13047"][n] for n in names] == [1, 1, 1, 54.08, 54.08, 1.0, 19739.2, "Medium Value"]
+    assert [rows["81"][n] for n in names] == [2, 3, 4, 205.1, 51.28, 1.5, 28073.06, "High Value"]
+    assert [rows["44"][n] for n in names] == [1, 1, 1, 40.0, 40.0, 1.0, 14600.0, "Medium Value"]
 
 
 def test_customer_tables_of_nothing(silver_lines):
@@ -105,36 +106,36 @@ def test_simple_customer_tables(simple_lines):
     rows = keyed(
         customers.projection(customers.cltv_simple(customers.rfm_simple(simple_lines))), "CustomerID"
     )
-    first, second = rows["17850"], rows["13047"]
-    assert (first["Recency"], first["Frequency"], first["Monetary"]) == (0, 4, pytest.approx(214.14))
-    assert first["CLTV"] == pytest.approx(856.56)
-    assert (second["Recency"], second["Frequency"], second["CLTV"]) == (1, 1, pytest.approx(27.04))
-    assert second["ExpectedRevenue_12M"] == pytest.approx(27.04 * 12)
+    first, second = rows["81"], rows["44"]
+    assert (first["Recency"], first["Frequency"], first["Monetary"]) == (0, 4, pytest.approx(205.1))
+    assert first["CLTV"] == pytest.approx(820.4)
+    assert (second["Recency"], second["Frequency"], second["CLTV"]) == (1, 1, pytest.approx(20.0))
+    assert second["ExpectedRevenue_12M"] == pytest.approx(20.0 * 12)
 
 
 def test_simple_rfm_with_guests_measures_from_their_latest_line(simple_lines):
-    late = simple_lines.filter("CustomerID = '13047'").selectExpr(
-        "InvoiceNo", "StockCode", "Description", "Quantity", "timestamp'2010-12-11 00:00:00' as InvoiceDate",
+    late = simple_lines.filter("CustomerID = '44'").selectExpr(
+        "InvoiceNo", "StockCode", "Description", "Quantity", "timestamp'2021-03-15 00:00:00' as InvoiceDate",
         "UnitPrice", "cast(null as string) as CustomerID", "Country",
     )
     rows = keyed(customers.rfm_simple(simple_lines.unionByName(late)), "CustomerID")
-    assert set(rows) == {"17850", "13047"}
-    assert rows["17850"]["Recency"] == 9
+    assert set(rows) == {"81", "44"}
+    assert rows["81"]["Recency"] == 9
 
 
 def test_simple_sales_tables(simple_lines):
     days = keyed(sales.daily_sales_simple(simple_lines), "SaleDate")
-    first = days[date(2010, 12, 1)]
-    assert (first["TotalQuantity"], first["UniqueCustomers"], first["TotalTransactions"]) == (56, 2, 4)
-    assert first["TotalRevenue"] == pytest.approx(242.72)
+    first = days[date(2021, 3, 5)]
+    assert (first["TotalQuantity"], first["UniqueCustomers"], first["TotalTransactions"]) == (35, 2, 4)
+    assert first["TotalRevenue"] == pytest.approx(212.1)
     country = records(sales.country_sales_simple(simple_lines))
-    assert [(c["Country"], c["UniqueProducts"], c["TotalQuantity"]) for c in country] == [("UNITED KINGDOM", 5, 62)]
+    assert [(c["Country"], c["UniqueProducts"], c["TotalQuantity"]) for c in country] == [("NORWAY", 5, 39)]
 
 
 def test_top_products_settle_ties_by_code(simple_lines):
     top = sales.top_products(simple_lines, 4).collect()
-    assert [r["StockCode"] for r in top] == ["84879", "22423", "21730", "71053"]
-    assert [r["TotalSold"] for r in sales.top_descriptions(simple_lines, 2).collect()] == [32, 12]
+    assert [r["StockCode"] for r in top] == ["TC40", "KB10", "LN22", "PH63"]
+    assert [r["TotalSold"] for r in sales.top_descriptions(simple_lines, 2).collect()] == [25, 4]
 
 
 def test_totals_agree_between_tables(silver_lines):
@@ -207,3 +208,10 @@ def test_segment_counts(silver_lines):
     rfm = customers.rfm_detailed(silver_lines)
     assert keyed(customers.segment_counts(rfm), "customer_segment")["Champions"]["customers"] == 1
     assert customers.distinct_segments(rfm, "customer_segment").first()["segments"] == 2
+
+
+def test_small_and_large_amounts_add_up(spark):
+    cents = spark.range(10_000).selectExpr("0.00004D as TotalAmount").agg(money.as_double(money.total(F.col("TotalAmount"))))
+    assert cents.first()[0] == 0.4
+    large = spark.createDataFrame([(1.2e17,), (3.0e16,)], "ExpectedRevenue_12M double")
+    assert customers.projection_total(large).first()[0] == 1.5e17

@@ -31,10 +31,10 @@ def people(spark):
 
 def test_forecast_features(silver_lines):
     rows = keyed(features.forecast_features(sales.daily_sales(silver_lines)), "sale_date")
-    first, second = rows[date(2010, 12, 1)], rows[date(2010, 12, 2)]
+    first, second = rows[date(2021, 3, 5)], rows[date(2021, 3, 6)]
     assert (first["lag_7"], first["lag_30"], first["rolling_mean_7"]) == (0.0, 0.0, 0.0)
-    assert (second["lag_7"], second["lag_30"], second["rolling_mean_7"]) == (268.22, 268.22, 268.22)
-    assert (first["day_of_year"], first["month"], first["day_of_week"]) == (335, 12, 4)
+    assert (second["lag_7"], second["lag_30"], second["rolling_mean_7"]) == (245.1, 245.1, 245.1)
+    assert (first["day_of_year"], first["month"], first["day_of_week"]) == (64, 3, 6)
 
 
 def test_windows_against_brute_force(daily):
@@ -56,11 +56,11 @@ def test_series_per_key_do_not_mix(daily):
 
 
 def test_customer_features(silver_lines):
-    rows = keyed(features.customer_features(silver_lines, "2010-12-31 00:00:00"), "CustomerID")
-    assert (rows["17850"]["recency"], rows["17850"]["frequency"]) == (29, 4)
-    assert rows["17850"]["monetary"] == pytest.approx(214.14)
-    assert rows["17850"]["avg_order_value"] == pytest.approx(53.535)
-    assert keyed(features.customer_features(silver_lines), "CustomerID")["13047"]["recency"] == 1
+    rows = keyed(features.customer_features(silver_lines, "2021-03-31 00:00:00"), "CustomerID")
+    assert (rows["81"]["recency"], rows["81"]["frequency"]) == (25, 4)
+    assert rows["81"]["monetary"] == pytest.approx(205.1)
+    assert rows["81"]["avg_order_value"] == pytest.approx(51.275)
+    assert keyed(features.customer_features(silver_lines), "CustomerID")["44"]["recency"] == 1
 
 
 def test_future_features_use_history(daily):
@@ -201,3 +201,22 @@ def test_training_and_inference_jobs(spark, tmp_path):
     registered = lines.filter("CustomerID is not null").select("CustomerID").distinct().count()
     assert result.details == {"forecast_days": 10, "customers": registered, "segments": 3}
     assert lake.read(spark, GOLD, "model_metrics").count() == 7
+
+
+def test_customers_without_a_date_do_not_stop_the_models(spark, people):
+    unknown = spark.createDataFrame(
+        [("x", None, 2, 50.0, 25.0)], "CustomerID string, recency int, frequency bigint, monetary double, avg_order_value double"
+    )
+    everyone = people.unionByName(unknown)
+    assert models.incomplete_customers(everyone) == 1
+    model = models.train_clusters(everyone, k=3)
+    rows = keyed(models.customer_segments(model, everyone), "CustomerID")
+    assert len(rows) == people.count() + 1
+    assert (rows["x"]["cluster"], rows["x"]["segment_label"]) == (None, None)
+    assert 0.5 < models.silhouette(models.assign_clusters(model, everyone)) <= 1
+
+
+def test_sales_without_a_date_are_no_day_of_the_series(spark, daily):
+    undated = spark.createDataFrame([(None, None, None, 5.0)], daily.schema)
+    model, _ = models.train_forecast(features.forecast_features(daily.unionByName(undated)), trees=3)
+    assert models.forecast(model, daily, 2).count() == 2

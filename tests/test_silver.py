@@ -113,7 +113,7 @@ def test_completeness_leaves_customers_out(silver_lines):
 
 def test_outliers_on_the_fixture(silver_lines):
     row = quality.quantity_outliers(silver_lines).first()
-    assert (row["outlier_count"], row["mean_quantity"], row["stddev_quantity"]) == (0, 11.33, 10.41)
+    assert (row["outlier_count"], row["mean_quantity"], row["stddev_quantity"]) == (0, 7.17, 8.77)
 
 
 def test_outliers_against_a_direct_count(spark):

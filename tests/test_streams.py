@@ -104,8 +104,11 @@ def test_daily_sales_follow_the_stream(spark, csv, tmp_path):
 
 
 def test_a_repeated_batch_changes_nothing(spark, tmp_path):
-    lines = silver.silver_detailed(invoice_lines(spark, SMALL))
+    undated = "case when StockCode like '%7' then 'some day' else InvoiceDate end"
+    lines = silver.silver_detailed(invoice_lines(spark, SMALL).withColumn("InvoiceDate", F.expr(undated)))
     work = pipelines.refresh_daily_sales(str(tmp_path / "silver"), str(tmp_path / "daily"))
-    for batch, part in ((0, lines.filter("Year < 1998")), (1, lines.filter("Year >= 1998")), (1, lines.filter("Year >= 1998"))):
+    assert lines.filter("Year is null").count() > 10
+    parts = [lines.filter("Year < 1998 or Year is null and Quantity < 9"), lines.filter("Year >= 1998 or Year is null and Quantity >= 9")]
+    for batch, part in ((0, parts[0]), (1, parts[1]), (1, parts[1]), (2, lines.limit(0))):
         work(part, batch)
     assert rows(spark.read.parquet(str(tmp_path / "daily"))) == rows(sales.daily_sales(lines))

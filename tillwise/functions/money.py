@@ -1,13 +1,14 @@
 """Sums and averages of money that do not depend on row order.
 
 Amounts are doubles in the tables.  Adding doubles gives a result that changes with
-partitioning, so amounts are added as decimals and turned back into doubles last.
+partitioning, so amounts are added as decimals and turned back into doubles last.  Ten
+places hold what prices have, and 28 digits before the point hold any sum of them.
 """
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-MONEY = "decimal(18,4)"
+MONEY = "decimal(38,10)"
 
 
 def exact(amount: Column) -> Column:

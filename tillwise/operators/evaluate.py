@@ -72,7 +72,7 @@ def cluster_profile(
 
     def statistics(feature: str) -> list[Column]:
         value = F.col(feature)
-        exact = F.sum(value.cast("decimal(28,6)")).cast("double")
+        exact = F.sum(value.cast("decimal(38,10)")).cast("double")
         return [
             F.coalesce(c.cast("double"), F.lit(0.0)).alias(f"{feature}_{name}")
             for name, c in (

@@ -17,7 +17,7 @@ SHORT_LAG, LONG_LAG = 7, 30
 
 def _mean_of_previous(rows: int, keys: Sequence[str]) -> Column:
     frame = Window.partitionBy(*keys).orderBy("sale_date").rowsBetween(-rows, -1)
-    revenue = F.col("daily_revenue").cast("decimal(18,2)")
+    revenue = F.col("daily_revenue").cast("decimal(30,2)")
     return F.try_divide(money.as_double(F.sum(revenue).over(frame)), F.count(revenue).over(frame))
 
 

@@ -23,17 +23,22 @@ from tillwise.functions import money
 from tillwise.operators.evaluate import regression_metrics
 from tillwise.operators.features import LONG_LAG, SHORT_LAG
 
-SERIES_PARTITIONS = 8
-
 
 def in_training(day: Column, percent: int = TRAIN_PERCENT, seed: int = SEED) -> Column:
     """Split by a hash of the day: the same days on any cluster and partitioning."""
     return F.pmod(F.xxhash64(day, F.lit(seed)), F.lit(100)) < percent
 
 
-def train_forecast(features: DataFrame, trees: int = FOREST_TREES) -> tuple[PipelineModel, DataFrame]:
-    """Random forest on the forecast features, and its errors on the held-out days."""
-    known = features.repartition(SERIES_PARTITIONS, "sale_date").sortWithinPartitions("sale_date")
+def train_forecast(
+    features: DataFrame, trees: int = FOREST_TREES, partitions: int = 8
+) -> tuple[PipelineModel, DataFrame]:
+    """Random forest on the forecast features, and its errors on the held-out days.
+
+    The forest samples inside partitions, so their number is fixed for the same model on any
+    cluster; there is one row per calendar day.  Sales without a date are no day of the series.
+    """
+    dated = features.filter(F.col("sale_date").isNotNull())
+    known = dated.repartition(partitions, "sale_date").sortWithinPartitions("sale_date")
     training = known.filter(in_training(F.col("sale_date")))
     held_out = known.filter(~in_training(F.col("sale_date")))
     forest = RandomForestRegressor(
@@ -53,7 +58,7 @@ def future_features(daily: DataFrame, days: int = FORECAST_DAYS) -> DataFrame:
         .limit(LONG_LAG)
         .withColumn("age", F.row_number().over(Window.orderBy(F.desc("sale_date"))))
     )
-    revenue = F.col("daily_revenue").cast("decimal(18,2)")
+    revenue = F.col("daily_revenue").cast("decimal(30,2)")
 
     def mean(rows: int) -> Column:
         near = F.when(F.col("age") <= rows, revenue)
@@ -89,16 +94,31 @@ def forecast(model: PipelineModel, daily: DataFrame, days: int = FORECAST_DAYS)
     return model.transform(future_features(daily, days)).select("prediction_date", "prediction")
 
 
+def complete() -> Column:
+    """The customer has every feature the clusters are made of."""
+    known = F.lit(True)
+    for name in CUSTOMER_FEATURES:
+        known = known & F.col(name).isNotNull()
+    return known
+
+
+def incomplete_customers(features: DataFrame) -> int:
+    return features.filter(~complete()).count()
+
+
 def train_clusters(features: DataFrame, k: int = CLUSTERS) -> PipelineModel:
     """K-means on customer features scaled to unit deviation.
 
+    Customers of whom a feature is unknown (no readable purchase date, say) are left out of the
+    fit; ``incomplete_customers`` counts them, and ``assign_clusters`` still returns them.
+
     The features are kept on the executors for the iterations and recomputed from their
     tables if an executor is lost.
     """
     assembled = VectorAssembler(inputCols=list(CUSTOMER_FEATURES), outputCol="features_raw")
     scaled = StandardScaler(inputCol="features_raw", outputCol="features")
     kmeans = KMeans(featuresCol="features", predictionCol="cluster", k=k, seed=SEED)
-    kept = features.persist(StorageLevel.MEMORY_AND_DISK)
+    kept = features.filter(complete()).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         return Pipeline(stages=[assembled, scaled, kmeans]).fit(kept)
     finally:
@@ -114,11 +134,13 @@ def cluster_labels(model: PipelineModel) -> Column:
         F.when(F.col("cluster") == cluster, CLUSTER_LABELS[min(rank, len(CLUSTER_LABELS) - 1)])
         for rank, cluster in enumerate(by_spend)
     ]
-    return F.coalesce(*named, F.lit(CLUSTER_LABELS[-1]))
+    return F.when(F.col("cluster").isNotNull(), F.coalesce(*named, F.lit(CLUSTER_LABELS[-1])))
 
 
 def assign_clusters(model: PipelineModel, features: DataFrame) -> DataFrame:
-    return model.transform(features)
+    """All customers; those with an unknown feature have no cluster."""
+    assigned = model.transform(features.filter(complete()))
+    return assigned.unionByName(features.filter(~complete()), allowMissingColumns=True)
 
 
 def customer_segments(model: PipelineModel, features: DataFrame) -> DataFrame:
@@ -133,7 +155,8 @@ def customer_segments(model: PipelineModel, features: DataFrame) -> DataFrame:
 
 
 def silhouette(predictions: DataFrame) -> float:
-    return ClusteringEvaluator(featuresCol="features", predictionCol="cluster").evaluate(predictions)
+    known = predictions.filter(F.col("cluster").isNotNull())
+    return ClusteringEvaluator(featuresCol="features", predictionCol="cluster").evaluate(known)
 
 
 def save_model(model: PipelineModel, path: str) -> None:

@@ -43,7 +43,7 @@ def train(spark: SparkSession, lake: Lakehouse, model_root: str, *, k: int = CLU
         models.save_model(forecaster, f"{model_root}/{FORECAST_MODEL}")
         models.save_model(clusters, f"{model_root}/{SEGMENT_MODEL}")
 
-        assigned = models.assign_clusters(clusters, people)
+        assigned = models.assign_clusters(clusters, people).filter(models.complete())
         measured = evaluate.metric_rows(
             errors.withColumn("model", F.lit(FORECAST_MODEL)), "model", ["mae", "rmse", "mape", "r_squared", "r2"]
         ).unionByName(
@@ -57,7 +57,11 @@ def train(spark: SparkSession, lake: Lakehouse, model_root: str, *, k: int = CLU
         measured = lake.read(spark, GOLD, "model_metrics")
         health = evaluate.model_health(measured)
         write_report(evaluate.performance_report(health), f"{model_root}/performance_report")
-        return {"models": [FORECAST_MODEL, SEGMENT_MODEL], "silhouette": models.silhouette(assigned)}
+        return {
+            "models": [FORECAST_MODEL, SEGMENT_MODEL],
+            "silhouette": models.silhouette(assigned),
+            "customers_left_out": models.incomplete_customers(people),
+        }
 
     return _reported(job)
 
@@ -74,7 +78,9 @@ def infer(spark: SparkSession, lake: Lakehouse, model_root: str, *, days: int =
             models.forecast(forecaster, sales.daily_sales(lines), days), GOLD, "sales_forecast"
         )
         segmented = lake.write(models.customer_segments(clusters, people), GOLD, "customer_segments")
-        labels = customers.distinct_segments(segments(spark, lake), "segment_label")
+        labels = customers.distinct_segments(
+            segments(spark, lake).filter(F.col("segment_label").isNotNull()), "segment_label"
+        )
         return {
             "forecast_days": predicted["rows"],
             "customers": segmented["rows"],

@@ -1,13 +1,28 @@
 """The catalog queries as DuckDB SQL over the same tables, for checking results.
 
 Written from the definitions of the tables, not from the Spark plans: exact sums use
-integer units of 1/10000, rounding is integer division, quantiles are discrete.
+integer units of 10^-10, rounding is integer division, quantiles are discrete.
 """
 
 from tillwise import constants as K
 
 AS_OF = "TIMESTAMP '2024-02-01 00:00:00'"
 
+
+
+def units_of(value: str) -> str:
+    """A number as whole units of 10^-10, by way of its shortest text."""
+    return f"CAST(replace(CAST({exact(value)} AS VARCHAR), '.', '') AS HUGEINT)"
+
+
+def exact(value: str) -> str:
+    return f"CAST(CAST({value} AS VARCHAR) AS DECIMAL(38,10))"
+
+
+def exact_sum(value: str) -> str:
+    return f"CAST(CAST(SUM({exact(value)}) AS VARCHAR) AS DOUBLE)"
+
+
 LINES = """
 lines AS (
   SELECT (CASE WHEN l_returnflag = 'R' AND l_linenumber = 1 THEN 'C' ELSE '' END)
@@ -29,7 +44,7 @@ lines AS (
 
 SILVER = (
     LINES
-    + """,
+    + f""",
 cleaned AS (
   SELECT InvoiceNo, trim(upper(StockCode)) AS StockCode, trim(upper(Description)) AS Description,
          Quantity, InvoiceDate, UnitPrice, CustomerID, trim(upper(Country)) AS Country,
@@ -49,8 +64,8 @@ silver AS (
          CAST(dayofweek(InvoiceTimestamp) + 1 AS INTEGER) AS DayOfWeek,
          Quantity * UnitPrice AS TotalAmount,
          CASE WHEN CustomerID IS NULL THEN 'GUEST' ELSE 'REGISTERED' END AS CustomerType,
-         CAST(CAST(Quantity * UnitPrice AS DECIMAL(18,4)) * 10000 AS BIGINT) AS units,
-         CAST(CAST(UnitPrice AS DECIMAL(18,4)) * 10000 AS BIGINT) AS price_units
+         {units_of('Quantity * UnitPrice')} AS units,
+         {units_of('UnitPrice')} AS price_units
   FROM cleaned
   WHERE NOT starts_with(InvoiceNo, 'C')
     AND NOT contains(Description, 'TEST') AND NOT contains(Description, 'SAMPLE')
@@ -60,11 +75,11 @@ silver AS (
 
 SIMPLE = (
     LINES
-    + """,
+    + f""",
 simple AS (
   SELECT InvoiceNo, StockCode, trim(Description) AS Description, Quantity,
          strptime(InvoiceDate, '%-m/%-d/%Y %-H:%M') AS InvoiceDate, UnitPrice, CustomerID, Country,
-         CAST(CAST(Quantity * UnitPrice AS DECIMAL(18,4)) * 10000 AS BIGINT) AS units
+         {units_of('Quantity * UnitPrice')} AS units
   FROM lines
   WHERE InvoiceNo IS NOT NULL AND StockCode IS NOT NULL AND Description IS NOT NULL
     AND InvoiceDate IS NOT NULL AND CustomerID IS NOT NULL AND Quantity > 0 AND UnitPrice > 0
@@ -73,8 +88,8 @@ simple AS (
 
 
 def cents(units: str, parts: str = "1") -> str:
-    """Half-up cents of ``units / 10000 / parts`` as a double; null when parts is 0."""
-    whole = f"(100 * CAST({parts} AS HUGEINT))"
+    """Half-up cents of ``units / 10^10 / parts`` as a double; null when parts is 0."""
+    whole = f"(100000000 * CAST({parts} AS HUGEINT))"
     return (
         f"CASE WHEN ({parts}) = 0 THEN NULL ELSE "
         f"CAST((2 * CAST({units} AS HUGEINT) + {whole}) // (2 * {whole}) AS DOUBLE) / 100 END"
@@ -83,11 +98,14 @@ def cents(units: str, parts: str = "1") -> str:
 
 def rounded_cents(units: str) -> str:
     """Whole cents of a unit sum, as an integer in units again."""
-    return f"(((2 * CAST({units} AS HUGEINT) + 100) // 200) * 100)"
+    return f"(((2 * CAST({units} AS HUGEINT) + 100000000) // 200000000) * 100000000)"
 
 
 def amount(units: str) -> str:
-    return f"CAST(CAST({units} AS DECIMAL(38,0)) / 10000 AS DOUBLE)"
+    """A sum of units, none below zero, as the nearest double."""
+    ten = "CAST(10000000000 AS HUGEINT)"
+    text = f"CAST({units} // {ten} AS VARCHAR) || '.' || lpad(CAST({units} % {ten} AS VARCHAR), 10, '0')"
+    return f"CAST({text} AS DOUBLE)"
 
 
 def whole(expression: str) -> str:
@@ -200,7 +218,7 @@ FROM simple GROUP BY Country"""
 
 TOP_PRODUCTS = f"""
 SELECT StockCode, Description, {whole('SUM(Quantity)')} AS TotalSold, {amount('SUM(units)')} AS TotalRevenue,
-       CAST(SUM(CAST(UnitPrice AS DECIMAL(18,4))) AS DOUBLE) / COUNT(UnitPrice) AS AvgPrice
+       {exact_sum('UnitPrice')} / COUNT(UnitPrice) AS AvgPrice
 FROM simple GROUP BY StockCode, Description
 ORDER BY TotalSold DESC, StockCode, Description"""
 
@@ -255,7 +273,7 @@ labelled AS (
 
 def statistics(feature: str) -> str:
     return f"""
-  COALESCE(CAST(SUM(CAST({feature} AS DECIMAL(28,6))) AS DOUBLE) / COUNT({feature}), 0) AS {feature}_mean,
+  COALESCE({exact_sum(feature)} / COUNT({feature}), 0) AS {feature}_mean,
   COALESCE(round(stddev_samp({feature}), 4), 0) AS {feature}_std,
   CAST(MIN({feature}) AS DOUBLE) AS {feature}_min, CAST(MAX({feature}) AS DOUBLE) AS {feature}_max"""
 
@@ -373,7 +391,7 @@ def duration(stamp: str = '"last"') -> str:
     return metric(
         "pipeline_name || '_duration'", value, K.MAX_DURATION_MINUTES, "pipeline_health",
         f"{value} <= 60", "'warning'", stamp,
-        """(SELECT pipeline_name, CAST(SUM(CAST(duration_seconds AS DECIMAL(18,4))) AS DOUBLE) AS seconds,
+        f"""(SELECT pipeline_name, {exact_sum('duration_seconds')} AS seconds,
             COUNT(duration_seconds) AS runs, MAX("timestamp") AS "last"
             FROM log WHERE event_type = 'pipeline_end' GROUP BY pipeline_name)""",
     )
@@ -470,7 +488,7 @@ def best(n: int) -> str:
 
 
 def kpi(column: str) -> str:
-    units = f"SUM(CAST(CAST({column} AS DECIMAL(18,4)) * 10000 AS BIGINT))"
+    units = f"SUM({units_of(column)})"
     return f"{cents(units, f'COUNT({column})')} AS mean_{column.lower()}"
 
 
@@ -495,24 +513,24 @@ SELECT f.measure, CAST(b.bin AS INTEGER) AS bin, round(lo + b.bin * ((hi - lo) /
 FROM frames f CROSS JOIN (SELECT unnest(range(50)) AS bin) b
 LEFT JOIN placed p ON p.measure = f.measure AND p.bin = b.bin"""
 
-WINDOWS = """
+WINDOWS = f"""
 windows AS (
   SELECT date_trunc('day', ts) AS window_start, date_trunc('day', ts) + INTERVAL 1 DAY AS window_end, event_type,
-         COUNT(*) AS n, CAST(SUM(CAST("value" AS DECIMAL(18,4))) AS DOUBLE) AS total,
-         round(CAST(SUM(CAST("value" AS DECIMAL(18,4))) AS DOUBLE) / COUNT(*), 6) AS mean,
+         COUNT(*) AS n, {exact_sum('"value"')} AS total,
+         round({exact_sum('"value"')} / COUNT(*), 6) AS mean,
          round(stddev_samp("value"), 6) AS deviation, MIN("value") AS low, MAX("value") AS high
   FROM events GROUP BY 1, 2, 3
   HAVING date_trunc('day', ts) + INTERVAL 1 DAY <= (SELECT date_trunc('milliseconds', MAX(ts)) FROM events) - INTERVAL 1 HOUR
 )"""
 
-SLIDING = """
+SLIDING = f"""
 slots AS (
   SELECT time_bucket(INTERVAL 3 HOURS, ts) - back * INTERVAL 3 HOURS AS window_start, "value"
   FROM events, (SELECT unnest([0, 1]) AS back)
 )
 SELECT window_start, window_start + INTERVAL 6 HOURS AS window_end, COUNT(*) AS n,
-       CAST(SUM(CAST("value" AS DECIMAL(18,4))) AS DOUBLE) AS total,
-       round(CAST(SUM(CAST("value" AS DECIMAL(18,4))) AS DOUBLE) / COUNT(*), 6) AS mean,
+       {exact_sum('"value"')} AS total,
+       round({exact_sum('"value"')} / COUNT(*), 6) AS mean,
        round(stddev_samp("value"), 6) AS deviation, MIN("value") AS low, MAX("value") AS high
 FROM slots GROUP BY window_start
 HAVING window_start + INTERVAL 6 HOURS <= (SELECT date_trunc('milliseconds', MAX(ts)) FROM events) - INTERVAL 1 HOUR"""
@@ -577,7 +595,7 @@ def oracle_sql() -> dict[str, str]:
         "cltv_simple": f"WITH {SIMPLE}, {SIMPLE_RFM} SELECT CustomerID, Recency, Frequency, Monetary, CLTV FROM projected",
         "projection_12m": f"WITH {SIMPLE}, {SIMPLE_RFM} SELECT * FROM projected",
         "projection_total": f"""WITH {SIMPLE}, {SIMPLE_RFM}
-            SELECT CAST(round(SUM(CAST(ExpectedRevenue_12M AS DECIMAL(18,4))), 2) AS DOUBLE) AS total_projection FROM projected""",
+            SELECT CAST(CAST(round(SUM({exact('ExpectedRevenue_12M')}), 2) AS VARCHAR) AS DOUBLE) AS total_projection FROM projected""",
         "segment_counts": f"WITH {SILVER}, {BASE}, {RFM} SELECT customer_segment, COUNT(*) AS customers FROM rfm GROUP BY 1",
         "distinct_segments": f"WITH {SILVER}, {BASE}, {RFM} SELECT COUNT(DISTINCT customer_segment) AS segments FROM rfm",
         "null_profile": f"WITH {LINES}, {null_rows()}",
@@ -703,5 +721,10 @@ def oracle_sql() -> dict[str, str]:
         "stream_validation": f"WITH {LINES} SELECT 'valid' AS \"check\", COUNT(*) AS lines FROM lines",
         "stream_quality": f"""WITH {LINES}, c AS ({LINES_COMPLETENESS})
             SELECT name, value, threshold, status, alert_level FROM c""",
-        "stream_daily_sales": daily,
+        "stream_daily_sales": f"""WITH {SILVER}, dated AS (
+            SELECT * REPLACE (
+              CASE WHEN CAST(StockCode AS BIGINT) % 89 <> 0 THEN Year END AS Year,
+              CASE WHEN CAST(StockCode AS BIGINT) % 89 <> 0 THEN Month END AS Month,
+              CASE WHEN CAST(StockCode AS BIGINT) % 89 <> 0 THEN Day END AS Day) FROM silver
+            ), {DAILY.replace("FROM silver", "FROM dated")} SELECT * FROM daily""",
     }

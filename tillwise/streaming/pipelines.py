@@ -18,6 +18,8 @@ from tillwise.schemas import CORRUPT_COLUMN, RAW_LINES
 DAY = "1 day"
 WATERMARK = "1 hour"
 MONTH_KEYS = ("Year", "Month")
+# The folder name Spark gives to a partition without a value.
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
 
 
 def csv_stream(
@@ -179,20 +181,41 @@ def quality_per_batch(table: str, path: str) -> Callable[[DataFrame, int], None]
     return work
 
 
+def _month_folders(path: str, months: DataFrame) -> list[str]:
+    """The partition folders of the months, which are few; lines without a date have a month of their own."""
+    named = [F.coalesce(F.col(c).cast("string"), F.lit(NO_VALUE)).alias(c) for c in MONTH_KEYS]
+    found = months.select(*named).distinct().collect()
+    return ["/".join([path, *(f"{c}={row[c]}" for c in MONTH_KEYS)]) for row in found]
+
+
 def refresh_daily_sales(silver_path: str, daily_path: str) -> Callable[[DataFrame, int], None]:
     """Keep a daily sales table current: add the batch, then rewrite the months it touches.
 
-    Both tables are partitioned by month.  The months of a batch prune the scan of the
-    silver table, and only their partitions of the daily table are replaced.
+    Both tables are partitioned by month; inside a month every batch has its own partition, which
+    a repeated batch replaces.  Only the folders of the touched months are listed and read, however
+    many batches there were, and only their partitions of the daily table are replaced.
+    Lines without a readable time are a month and a day of their own, as in the batch table.
     """
 
     def work(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        folder = f"{silver_path}/batch_id={batch_id}"
-        batch.write.mode("overwrite").partitionBy(*MONTH_KEYS).parquet(folder)
-        everything = spark.read.option("basePath", silver_path).parquet(silver_path)
-        touched = everything.filter(F.col("batch_id") == batch_id).select(*MONTH_KEYS).distinct()
-        lines = everything.join(touched, list(MONTH_KEYS), "left_semi")
+        batch = batch.persist()
+        try:
+            folders = _month_folders(silver_path, batch)
+            if not folders:
+                return
+            (
+                batch.withColumn("batch_id", F.lit(batch_id))
+                .write.mode("overwrite")
+                .option("partitionOverwriteMode", "dynamic")
+                .partitionBy(*MONTH_KEYS, "batch_id")
+                .parquet(silver_path)
+            )
+        finally:
+            batch.unpersist()
+        keys = ", ".join(f"{c} int" for c in (*MONTH_KEYS, "batch_id"))
+        schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in batch.drop(*MONTH_KEYS).schema), keys])
+        lines = spark.read.schema(schema).option("basePath", silver_path).parquet(*folders)
         (
             sales.daily_sales(lines)
             .write.mode("overwrite")
