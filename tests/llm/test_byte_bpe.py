@@ -33,10 +33,13 @@ def packed(ids):
 def test_ids_are_those_of_the_ranks(texts, reference, monkeypatch):
     import pyarrow as pa
 
-    state = pieces.encoder_state(byte_bpe.definition())
+    state = pieces.encoder_state(byte_bpe.definition(), byte_bpe.PLAIN)
     monkeypatch.setattr(pieces, "SLICE_BYTES", 2000)
-    monkeypatch.setattr(pieces, "KNOWN_PIECES", 300)
-    found = pieces.encode_spaced(pieces.PieceEncoder(state), pa.array([*texts, None]))
+    monkeypatch.setattr(pieces, "KNOWN_PIECES", 50)
+    batch = pa.RecordBatch.from_arrays([pa.array([*texts, None])], ["text"])
+    parts = [part for _, part in pieces.slices(batch, "text")]
+    assert len(parts) > 5
+    found = [ids for part in parts for ids in pieces.encode_spaced(pieces.PieceEncoder(state), part)]
     assert found == [packed(reference.encode_ordinary(t)) for t in texts] + [b""]
 
 

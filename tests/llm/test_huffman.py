@@ -41,7 +41,7 @@ def test_blocks_come_back(n):
     used, counts = np.unique(ids, return_counts=True)
     book = huffman.CodeBook(used, huffman.code_lengths(counts))
     checkpoints, payload = huffman.pack(ids, *book.encoder())
-    assert (huffman.unpack(checkpoints, payload, n, book.width, *book.table()) == ids).all()
+    assert (huffman.unpack(checkpoints, payload, n, book.width, book.table()) == ids).all()
 
 
 def test_codes_are_canonical():

@@ -14,6 +14,7 @@ an empty result; other columns are kept, those named like a result are replaced.
 
 import json
 from array import array
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -21,10 +22,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillwise.llm.pieces import PieceEncoder, encode_spaced, encoder_state
-from tillwise.llm.tables import replacing
+from tillwise.llm.pieces import PieceEncoder, encode_spaced, encoder_state, slices
 
 DEFINITION = "byte_bpe_50k.json"
+#: Rows that are decoded before they are sent on.
+DECODED_ROWS = 2000
+#: Pieces that are one match of the tokenizer's pattern.
+PLAIN = " ?[A-Za-zÀ-ÖØ-öø-ÿ]+"
 
 
 def byte_characters() -> dict[str, int]:
@@ -66,63 +70,86 @@ def definition(path: str | None = None) -> str:
         return file.read()
 
 
+def _mapped(rows: DataFrame, made: dict[str, str], work) -> DataFrame:
+    """``rows`` with the columns ``made`` (name to type) that ``work`` yields for each part of a batch.
+
+    ``work`` takes a batch and yields parts of it with the arrays of the new columns.
+    """
+    kept = [f for f in rows.schema if f.name.lower() not in made]
+    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in kept] + [f"{n} {t}" for n, t in made.items()])
+
+    def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part, arrays in work(batch):
+                names = [n for n in part.schema.names if n.lower() not in made]
+                columns = [part.column(n) for n in names]
+                yield pa.RecordBatch.from_arrays([*columns, *arrays], [*names, *made])
+
+    return rows.mapInArrow(mapped, schema)
+
+
 def encode(docs: DataFrame, path: str | None = None, offsets: bool = False) -> DataFrame:
     """``docs`` with ``ids`` (packed) of the whole texts; with ``offsets`` also ``spans``.
 
     ``spans`` is an array of (first, last) characters, last exclusive.  ``path`` names a tokenizer file.
     """
-    known = definition(path)
-    encoder = docs.sparkSession.sparkContext.broadcast(encoder_state(known))
-
-    @F.arrow_udf("binary")
-    def ids(texts: pa.Array) -> pa.Array:
-        return pa.array(encode_spaced(PieceEncoder(encoder.value), texts), pa.binary())
-
-    encoded = replacing(docs, ids=ids(F.col("text")))
-    if not offsets:
-        return encoded
-    table = docs.sparkSession.sparkContext.broadcast({"definition": known})
+    known, context = definition(path), docs.sparkSession.sparkContext
+    encoder, table = context.broadcast(encoder_state(known, PLAIN)), context.broadcast({"definition": known})
+
+    def encoded(batch: pa.RecordBatch) -> Iterator[tuple[pa.RecordBatch, list[pa.Array]]]:
+        for part, texts in slices(batch, "text"):
+            ids = encode_spaced(PieceEncoder(encoder.value), texts)
+            arrays = [pa.array(ids, pa.binary())]
+            if offsets:
+                bytes_of, rows = ByteTable(table.value), []
+                for text, own in zip(texts.to_pylist(), ids, strict=True):
+                    both = zip(*(x.tolist() for x in bytes_of.spans(text, own)), strict=True)
+                    rows.append([{"first": i, "last": j} for i, j in both])
+                arrays.append(pa.array(rows, pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32())]))))
+            yield part, arrays
+
+    spans = {"spans": "array<struct<first:int,last:int>>"} if offsets else {}
+    return _mapped(docs, {"ids": "binary"} | spans, encoded)
+
+
+def _decoded(encoded: DataFrame, path: str | None, name: str, kind: pa.DataType, read) -> DataFrame:
+    table = encoded.sparkSession.sparkContext.broadcast({"definition": definition(path)})
 
-    @F.arrow_udf("array<struct<first:int,last:int>>")
-    def spans(texts: pa.Array, packed: pa.Array) -> pa.Array:
-        rows = []
+    def decoded(batch: pa.RecordBatch) -> Iterator[tuple[pa.RecordBatch, list[pa.Array]]]:
         bytes_of = ByteTable(table.value)
-        for text, own in zip(texts.to_pylist(), packed.to_pylist(), strict=True):
-            first, last = bytes_of.spans(text, own)
-            rows.append([{"first": i, "last": j} for i, j in zip(first.tolist(), last.tolist(), strict=True)])
-        return pa.array(rows, pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32())])))
+        for low in range(0, batch.num_rows, DECODED_ROWS):
+            part = batch.slice(low, DECODED_ROWS)
+            raw = [bytes_of.decode(p or b"") for p in part.column("ids").to_pylist()]
+            yield part, [pa.array([read(r) for r in raw], kind)]
 
-    return replacing(encoded, spans=spans(F.col("text"), F.col("ids")))
+    return _mapped(encoded, {name: "binary" if kind == pa.binary() else "string"}, decoded)
 
 
 def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:
     """``encoded`` with ``decoded``, the bytes of its ``ids``."""
-    table = encoded.sparkSession.sparkContext.broadcast({"definition": definition(path)})
-
-    @F.arrow_udf("binary")
-    def decoded(packed: pa.Array) -> pa.Array:
-        bytes_of = ByteTable(table.value)
-        return pa.array([bytes_of.decode(p) for p in packed.to_pylist()], pa.binary())
-
-    # The coalesce keeps the encoding, if ``ids`` comes from it, from running again inside this call.
-    return replacing(encoded, decoded=decoded(F.coalesce(F.col("ids"), F.lit(b""))))
+    return _decoded(encoded, path, "decoded", pa.binary(), lambda raw: raw)
 
 
 def decode_text(encoded: DataFrame, path: str | None = None) -> DataFrame:
     """``encoded`` with ``decoded_text``; parts of characters at either end become U+FFFD."""
-    table = encoded.sparkSession.sparkContext.broadcast({"definition": definition(path)})
-
-    @F.arrow_udf("string")
-    def decoded(packed: pa.Array) -> pa.Array:
-        bytes_of = ByteTable(table.value)
-        return pa.array([bytes_of.decode(p).decode("utf-8", "replace") for p in packed.to_pylist()], pa.string())
-
-    return replacing(encoded, decoded_text=decoded(F.coalesce(F.col("ids"), F.lit(b""))))
+    return _decoded(encoded, path, "decoded_text", pa.string(), lambda raw: raw.decode("utf-8", "replace"))
 
 
 def encode_documents(docs: DataFrame, path: str | None = None) -> DataFrame:
-    """doc_id, ids, n_tokens, ids_sha256 and decoded_sha256 after the round trip."""
-    done = decode(encode(docs.select("doc_id", "text"), path).drop("text"), path)
+    """doc_id, ids, n_tokens, ids_sha256 and decoded_sha256 after the round trip, both ways in one pass."""
+    known, context = definition(path), docs.sparkSession.sparkContext
+    encoder, table = context.broadcast(encoder_state(known, PLAIN)), context.broadcast({"definition": known})
+
+    def both_ways(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bytes_of = ByteTable(table.value)
+        for batch in batches:
+            for part, texts in slices(batch, "text"):
+                ids = encode_spaced(PieceEncoder(encoder.value), texts)
+                back = [bytes_of.decode(p) for p in ids]
+                arrays = [part.column("doc_id"), pa.array(ids, pa.binary()), pa.array(back, pa.binary())]
+                yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "ids", "decoded"])
+
+    done = docs.select("doc_id", "text").mapInArrow(both_ways, "doc_id long, ids binary, decoded binary")
     return done.select(
         "doc_id",
         "ids",

@@ -26,10 +26,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tillwise.llm.pieces import PieceEncoder, encode_words, encoder_state
+from tillwise.llm.pieces import PieceEncoder, encode_words, encoder_state, slices
 from tillwise.sources.workspace import stored
 
 DEFINITION = "word_bpe_49k.json"
+#: Pieces of one word that the normalizer leaves as they are.
+PLAIN = "[a-zß-öø-ÿ]+"
 END_ID = 1
 MOST_BITS = 18
 BLOCK_IDS = 65_536
@@ -45,20 +47,21 @@ def token_ids(docs: DataFrame, path: str | None = None, end_id: int = END_ID) ->
     with open(path or public_tokenizers.path(DEFINITION), encoding="utf-8") as file:
         definition = file.read()
     largest = max([end_id, *json.loads(definition)["model"]["vocab"].values()])
-    encoder = docs.sparkSession.sparkContext.broadcast(encoder_state(definition, "H" if largest < 2**16 else "I"))
+    encoder = docs.sparkSession.sparkContext.broadcast(encoder_state(definition, PLAIN, "H" if largest < 2**16 else "I"))
 
-    @F.arrow_udf("struct<n_tokens:long,ids:binary>")
-    def encoded(texts: pa.Array) -> pa.Array:
-        own = PieceEncoder(encoder.value)
+    def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, codec = PieceEncoder(encoder.value), pa.Codec("zstd", 1)
         kind = np.dtype(own.typecode)
-        end, codec = kind.type(end_id).tobytes(), pa.Codec("zstd", 1)
-        rows = [ids + end for ids in encode_words(own, texts)]
-        counts = pa.array([len(r) // kind.itemsize for r in rows], pa.int64())
-        packed = pa.array([kind.char.encode() + codec.compress(r, asbytes=True) for r in rows], pa.binary())
-        return pa.StructArray.from_arrays([counts, packed], ["n_tokens", "ids"])
+        end = kind.type(end_id).tobytes()
+        for batch in batches:
+            for part, texts in slices(batch, "text"):
+                rows = [ids + end for ids in encode_words(own, texts)]
+                counts = pa.array([len(r) // kind.itemsize for r in rows], pa.int64())
+                packed = pa.array([kind.char.encode() + codec.compress(r, asbytes=True) for r in rows], pa.binary())
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), counts, packed], ["doc_id", "n_tokens", "ids"])
 
-    rows = docs.select("doc_id", encoded(F.col("text")).alias("e"))
-    return rows.select("doc_id", "e.n_tokens", F.xxhash64("e.ids").alias("tie"), "e.ids")
+    rows = docs.select("doc_id", "text").mapInArrow(encoded, "doc_id long, n_tokens long, ids binary")
+    return rows.select("doc_id", "n_tokens", F.xxhash64("ids").alias("tie"), "ids")
 
 
 def _unpacked(packed: bytes, n_tokens: int) -> np.ndarray:
@@ -68,15 +71,20 @@ def _unpacked(packed: bytes, n_tokens: int) -> np.ndarray:
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    counts = np.zeros(0, np.int64)
+    counts, held, waiting = np.zeros(0, np.int64), [], 0
+
+    def summed() -> np.ndarray:
+        own = np.bincount(np.concatenate(held)) if held else np.zeros(0, np.int64)
+        size = max(len(own), len(counts))
+        return np.pad(own, (0, size - len(own))) + np.pad(counts, (0, size - len(counts)))
+
     for batch in batches:
         for n, packed in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            own = np.bincount(_unpacked(packed, n))
-            if len(own) > len(counts):
-                own[: len(counts)] += counts
-                counts = own
-            else:
-                counts[: len(own)] += own
+            held.append(_unpacked(packed, n))
+            waiting += n
+            if waiting >= 16 * BLOCK_IDS:
+                counts, held, waiting = summed(), [], 0
+    counts = summed()
     used = np.flatnonzero(counts)
     yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int64)), pa.array(counts[used])], ["id", "count"])
 
@@ -130,13 +138,12 @@ class CodeBook:
         codes[self.ids], lengths[self.ids] = self.codes, self.bits
         return codes, lengths
 
-    def table(self) -> tuple[np.ndarray, np.ndarray]:
-        """Id and length by the next ``width`` bits."""
-        room, size = np.left_shift(1, self.width - self.bits), 1 << self.width
-        symbols, lengths = np.zeros(size, np.uint32), np.ones(size, np.int64)
-        filled = int(room.sum())
-        symbols[:filled], lengths[:filled] = np.repeat(self.ids, room), np.repeat(self.bits, room)
-        return symbols, lengths
+    def table(self) -> np.ndarray:
+        """64 times the id plus the length, by the next ``width`` bits."""
+        room = np.left_shift(1, self.width - self.bits)
+        table = np.ones(1 << self.width, np.int64)
+        table[: room.sum()] = np.repeat(self.ids * 64 + self.bits, room)
+        return table
 
 
 def pack(ids: np.ndarray, codes: np.ndarray, lengths: np.ndarray) -> tuple[bytes, bytes]:
@@ -154,17 +161,17 @@ def pack(ids: np.ndarray, codes: np.ndarray, lengths: np.ndarray) -> tuple[bytes
     return begins[::STEP].astype("<u8").tobytes(), payload
 
 
-def unpack(checkpoints: bytes, payload: bytes, n_ids: int, width: int, symbols: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+def unpack(checkpoints: bytes, payload: bytes, n_ids: int, width: int, table: np.ndarray) -> np.ndarray:
     """The ids of a block: from every checkpoint ``STEP`` ids, all checkpoints in step."""
     at = np.frombuffer(checkpoints, "<u8").astype(np.int64)
-    raw = np.frombuffer(payload + bytes(STEP * width // 8 + 8), np.uint8).astype(np.uint32)
+    raw = np.frombuffer(payload + bytes(STEP * width // 8 + 8), np.uint8).astype(np.int64)
     words = raw[:-3] << 24 | raw[1:-2] << 16 | raw[2:-1] << 8 | raw[3:]
-    found, mask = np.empty((len(at), STEP), np.uint32), np.int64((1 << width) - 1)
+    found, mask = np.empty((STEP, len(at)), np.uint32), (1 << width) - 1
     for k in range(STEP):
-        entry = (words[at >> 3].astype(np.int64) >> (32 - width - (at & 7))) & mask
-        found[:, k] = symbols[entry]
-        at = at + lengths[entry]
-    return found.reshape(-1)[:n_ids]
+        entry = table[(words[at >> 3] >> (32 - width - (at & 7))) & mask]
+        found[k] = entry >> 6
+        at += entry & 63
+    return found.T.reshape(-1)[:n_ids]
 
 
 def write(tokens: DataFrame, path: str) -> None:
@@ -211,7 +218,7 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
     """doc_id, start (ids of all documents before), n_tokens, ids (packed 32-bit) from the files, decoded."""
     book = spark.read.parquet(f"{path}/codebook").toPandas()
     book = CodeBook(book["id"].to_numpy(np.int64), book["bits"].to_numpy(np.int64))
-    tables = spark.sparkContext.broadcast((book.width, *book.table()))
+    tables = spark.sparkContext.broadcast((book.width, book.table()))
 
     def documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

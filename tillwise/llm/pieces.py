@@ -6,16 +6,18 @@ with numpy.  The tokenizer's definition is broadcast; a worker keeps the tokeniz
 pieces, whose size is bounded, beside it for all its tasks.
 """
 
+import json
 import os
 import re
 from array import array
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: Pieces a worker remembers; when there are more it starts anew.
-KNOWN_PIECES = 600_000
+#: A worker remembers up to about twice as many pieces, those in use longest.
+KNOWN_PIECES = 250_000
 #: Bytes of text that are worked on at once (a longer text alone).
 SLICE_BYTES = 8 << 20
 
@@ -26,12 +28,13 @@ _IRREGULAR = f"[ \\n][ \\n]|^[ \\n]|[ \\n]$|[{_RARE_SPACE}]"
 _BEFORE_WORD = re.compile(r"(?<=\S)(?= \S)")
 
 
-def encoder_state(definition: str, typecode: str = "I") -> dict:
+def encoder_state(definition: str, plain: str, typecode: str = "I") -> dict:
     """What to broadcast for a tokenizer file's content; ``typecode`` as in array: "H" or "I" for 16 or 32 bits.
 
-    A plain dict, which every worker fills with its tokenizer and known pieces.
+    Pieces that match the pattern ``plain`` are not changed by the tokenizer's normalizer and not
+    cut by its pattern.  A plain dict, which every worker fills with its tokenizers and known pieces.
     """
-    return {"definition": definition, "typecode": typecode, "known": {}}
+    return {"definition": definition, "plain": plain, "typecode": typecode, "recent": {}, "earlier": {}}
 
 
 class PieceEncoder:
@@ -40,29 +43,41 @@ class PieceEncoder:
     def __init__(self, state: dict) -> None:
         self.state, self.typecode = state, state["typecode"]
 
-    @property
-    def tokenizer(self):
-        if "tokenizer" not in self.state:
+    def _tokenizers(self) -> tuple:
+        """The tokenizer, and one that goes straight to the merges, for plain pieces."""
+        if "tokenizers" not in self.state:
             os.environ["TOKENIZERS_PARALLELISM"] = "false"
             from tokenizers import Tokenizer
 
-            made = Tokenizer.from_str(self.state["definition"])
-            made.encode_special_tokens = True  # their strings in a text are ordinary text
-            self.state["tokenizer"] = made
-        return self.state["tokenizer"]
+            whole = Tokenizer.from_str(self.state["definition"])
+            whole.encode_special_tokens = True  # their strings in a text are ordinary text
+            bytes_only = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}
+            known = json.loads(self.state["definition"]) | {"normalizer": None, "pre_tokenizer": bytes_only}
+            self.state["tokenizers"] = (whole, Tokenizer.from_str(json.dumps(known)))
+        return self.state["tokenizers"]
+
+    def _encode(self, tokenizer, pieces: list[str], into: dict) -> None:
+        for at in range(0, len(pieces), 2048):
+            part = pieces[at : at + 2048]
+            for piece, found in zip(part, tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
+                into[piece] = array(self.typecode, found.ids).tobytes()
 
     def ids_of(self, pieces: list[str]) -> list[bytes]:
         """The ids of each piece as packed numbers."""
-        known = self.state["known"]
-        new = [p for p in dict.fromkeys(pieces) if p not in known]
-        if len(known) + len(new) > KNOWN_PIECES:
-            known = self.state["known"] = {}
-            new = list(dict.fromkeys(pieces))
-        for at in range(0, len(new), 4096):
-            part = new[at : at + 4096]
-            for piece, found in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                known[piece] = array(self.typecode, found.ids).tobytes()
-        return [known[p] for p in pieces]
+        state = self.state
+        if len(state["recent"]) > KNOWN_PIECES:
+            # What is still in use comes back from the earlier pieces; what is not goes next time.
+            state["earlier"], state["recent"] = state["recent"], {}
+        recent, earlier = state["recent"], state["earlier"]
+        missing = [p for p in dict.fromkeys(pieces) if p not in recent]
+        recent.update((p, earlier[p]) for p in missing if p in earlier)
+        missing = [p for p in missing if p not in earlier]
+        if missing:
+            plain = re.compile(state["plain"]).fullmatch
+            whole, straight = self._tokenizers()
+            self._encode(straight, [p for p in missing if plain(p)], recent)
+            self._encode(whole, [p for p in missing if not plain(p)], recent)
+        return [recent[p] for p in pieces]
 
     def joined(self, packed: list[bytes], index: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of pieces ``packed[i]`` for i in ``index`` one after another, and where each begins."""
@@ -76,12 +91,17 @@ class PieceEncoder:
         return ids[where], ends
 
 
-def slices(texts: pa.Array) -> list[pa.Array]:
-    """``texts`` without nulls, in parts of about ``SLICE_BYTES``."""
-    texts = pc.fill_null(texts, "")
+def slices(batch: pa.RecordBatch, column: str) -> Iterator[tuple[pa.RecordBatch, pa.Array]]:
+    """Parts of a batch with about ``SLICE_BYTES`` of text each, and their texts, null as empty.
+
+    What is made of a part can be sent before the next is begun, so memory follows the part.
+    """
+    texts = pc.fill_null(batch.column(column), "")
     total = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64))
     cuts = np.flatnonzero(np.diff(total // SLICE_BYTES)) + 1
-    return [texts.slice(i, j - i) for i, j in zip([0, *cuts], [*cuts, len(texts)], strict=True)]
+    for i, j in zip([0, *cuts.tolist()], [*cuts.tolist(), len(texts)], strict=True):
+        if j > i:
+            yield batch.slice(i, j - i), texts.slice(i, j - i)
 
 
 def _packed(ids: np.ndarray, ends: np.ndarray) -> list[bytes]:
@@ -90,16 +110,23 @@ def _packed(ids: np.ndarray, ends: np.ndarray) -> list[bytes]:
     return [bytes(view[i * size : j * size]) for i, j in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
 
 
+#: Texts in which a stop or comma may touch other signs, or letters may compose with marks.
+_JOINED = "[^\\s\\pL\\pN]{2}|'|\\pM"
+
+
 def encode_words(encoder: PieceEncoder, texts: pa.Array) -> list[bytes]:
-    """For tokenizers that drop white space and never join what it separates."""
-    out = []
-    for part in slices(texts):
-        words = pc.split_pattern(pc.replace_substring(part, "\n", " "), " ")
-        coded = words.flatten().dictionary_encode()
-        packed = encoder.ids_of(coded.dictionary.to_pylist())
-        ids, ends = encoder.joined(packed, coded.indices.to_numpy())
-        out += _packed(ids, ends[words.offsets.to_numpy() - words.offsets[0].as_py()])
-    return out
+    """For tokenizers that lower the case, drop white space and never join what it separates.
+
+    Where signs stand alone, stops and commas are pieces of their own and ASCII letters are lowered
+    first, so that fewer pieces differ.
+    """
+    joined = pc.match_substring_regex(texts, _JOINED)
+    split = pc.replace_substring(pc.replace_substring(pc.ascii_lower(texts), ".", " . "), ",", " , ")
+    words = pc.split_pattern(pc.replace_substring(pc.if_else(joined, texts, split), "\n", " "), " ")
+    coded = words.flatten().dictionary_encode()
+    packed = encoder.ids_of(coded.dictionary.to_pylist())
+    ids, ends = encoder.joined(packed, coded.indices.to_numpy())
+    return _packed(ids, ends[words.offsets.to_numpy() - words.offsets[0].as_py()])
 
 
 def _encode_regular(encoder: PieceEncoder, texts: pa.Array) -> list[bytes]:
@@ -125,10 +152,7 @@ def encode_spaced(encoder: PieceEncoder, texts: pa.Array) -> list[bytes]:
     Texts are cut before each single space between two other characters, and regular ones
     around their newlines; no match of the tokenizer's pattern reaches across these places.
     """
-    out = []
-    for part in slices(texts):
-        odd = pc.match_substring_regex(part, _IRREGULAR).to_numpy(zero_copy_only=False)
-        regular = iter(_encode_regular(encoder, part.filter(pa.array(~odd))) if not odd.all() else [])
-        cut = iter([_BEFORE_WORD.split(t) for t in part.filter(pa.array(odd)).to_pylist()])
-        out += [b"".join(encoder.ids_of(next(cut))) if o else next(regular) for o in odd]
-    return out
+    odd = pc.match_substring_regex(texts, _IRREGULAR).to_numpy(zero_copy_only=False)
+    regular = iter(_encode_regular(encoder, texts.filter(pa.array(~odd))) if not odd.all() else [])
+    cut = iter([_BEFORE_WORD.split(t) for t in texts.filter(pa.array(odd)).to_pylist()])
+    return [b"".join(encoder.ids_of(next(cut))) if o else next(regular) for o in odd]
