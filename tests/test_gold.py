@@ -215,3 +215,10 @@ def test_small_and_large_amounts_add_up(spark):
     assert cents.first()[0] == 0.4
     large = spark.createDataFrame([(1.2e17,), (3.0e16,)], "ExpectedRevenue_12M double")
     assert customers.projection_total(large).first()[0] == 1.5e17
+
+
+def test_whole_numbers_that_are_one_double_have_their_own_ranks(spark):
+    df = spark.createDataFrame([(2**53,), (2**53 + 1,), (None,), (5,)], "v bigint")
+    assert {r["v"]: r["place"] for r in with_ranks(df, {"place": "v"}).collect()} == {2**53 + 1: 1, 2**53: 2, 5: 3, None: 4}
+    cuts = spark.range(1).select(quantiles(df, ["v"], (0.5, 1.0)).alias("c")).first()["c"]["v"]
+    assert cuts == [2**53, 2**53 + 1]

@@ -175,3 +175,34 @@ def test_cycle_can_be_repeated(spark, silver_lines, now, tmp_path):
     metrics, raised = monitoring.history(spark, lake)
     assert (metrics.count(), raised.count()) == (4, 2)
     assert {r["metric_name"] for r in records(raised)} == {"silver_freshness"}
+
+
+def test_both_pipeline_checks_come_from_one_pass(spark, now, capsys):
+    log = run_log_adapter.run_log(spark.read.parquet("/root/testdata/sf0.001/events.parquet"))
+    both = monitor.pipeline_health(log)
+    single = monitor.success_rate(log).unionByName(monitor.duration(log))
+    assert sorted(map(str, both.collect())) == sorted(map(str, single.collect()))
+    monitor.pipeline_health(log).explain()
+    assert capsys.readouterr().out.count("FileScan") == 1
+
+
+def test_feature_drift(spark, now):
+    then = spark.createDataFrame([(10.0, 1.0), (30.0, 1.0)], "a double, b double")
+    baseline = monitor.feature_means(then, ["a", "b"]).unionByName(
+        spark.createDataFrame([("gone", 2.0)], "feature string, mean double")
+    )
+    later = spark.createDataFrame([(21.0, 1.5), (21.0, None)], "a double, b double")
+    rows = {r["name"]: r for r in monitor.feature_drift(later, baseline, "m", now).collect()}
+    assert rows["m_a_drift"]["value"] == pytest.approx(0.05) and rows["m_a_drift"]["status"] == "healthy"
+    assert rows["m_b_drift"]["value"] == pytest.approx(0.5) and rows["m_b_drift"]["alert_level"] == "warning"
+    assert (rows["m_gone_drift"]["value"], rows["m_gone_drift"]["alert_level"]) == (1.0, "critical")
+
+
+def test_model_age(spark, now):
+    table = spark.createDataFrame(
+        [("new", now), ("old", now.replace(year=now.year - 1)), ("unknown", None)], "model string, trained_at timestamp"
+    )
+    rows = {r["name"]: (r["value"], r["status"], r["alert_level"]) for r in monitor.model_age(table, now).collect()}
+    assert rows["new_age_days"] == (0.0, "healthy", None)
+    assert rows["old_age_days"] == (365.0, "unhealthy", "warning")
+    assert rows["unknown_age_days"][1:] == ("unhealthy", "critical")

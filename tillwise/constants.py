@@ -68,12 +68,12 @@ FORECAST_FEATURES = (
 )
 CUSTOMER_FEATURES = ("recency", "frequency", "monetary", "avg_order_value")
 
-# Model health: metric, side of a breach, limit, status on breach, text, digits in it.
+# Model health: metric, side of a breach, limit, status on breach, name, unit, digits shown.
 MODEL_CHECKS = (
-    ("r_squared", "below", 0.7, "warning", "R-squared (%s) below threshold (0.7)", 3),
-    ("mae", "above", 1000.0, "critical", "MAE (%s) above threshold (1000.0)", 2),
-    ("mape", "above", 15.0, "warning", "MAPE (%s%%) above threshold (15.0%%)", 1),
-    ("balance_ratio", "below", 0.3, "warning", "Cluster balance ratio (%s) below threshold (0.3)", 3),
+    ("r_squared", "below", 0.7, "warning", "R-squared", "", 3),
+    ("mae", "above", 1000.0, "critical", "MAE", "", 2),
+    ("mape", "above", 15.0, "warning", "MAPE", "%", 1),
+    ("balance_ratio", "below", 0.3, "warning", "Cluster balance ratio", "", 3),
 )
 SEVERITY = ("healthy", "warning", "critical")
 
@@ -90,6 +90,8 @@ BASELINE_ACCURACY = 0.85
 MAX_ACCURACY_DRIFT = 0.05
 MIN_ACCURACY = 0.8
 MIN_PREDICTION_VOLUME = 0.8
+MAX_FEATURE_DRIFT = 0.1
+MAX_MODEL_AGE_DAYS = 30.0
 MIN_SUCCESS_RATE = 0.98
 MAX_DURATION_MINUTES = 60.0
 ALERT_CHANNELS = {

@@ -11,49 +11,71 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from tillwise.constants import PERCENTILE_ACCURACY, QUINTILES
 
-RANGES_PER_PARTITION, MOST_RANGES = 4, 1024
+RANGES_PER_PARTITION = 4
+#: Hash slots whose values are sketched side by side, so that no task merges all sketches.
+SKETCHES = 16
 
 
 def range_count(df: DataFrame) -> int:
     """A few ranges per shuffle partition, so they spread evenly over all tasks."""
-    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return min(RANGES_PER_PARTITION * partitions, MOST_RANGES)
+    return RANGES_PER_PARTITION * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def _is_whole(df: DataFrame, measure: str) -> bool:
+    return isinstance(df.schema[measure].dataType, IntegralType)
+
+
+def _exact(df: DataFrame, measure: str) -> Column:
+    """The value itself where it is a whole number: doubles are not exact beyond 2^53."""
+    return F.col(measure).cast("bigint") if _is_whole(df, measure) else F.lit(None).cast("bigint")
 
 
 def value_positions(df: DataFrame, measures: Sequence[str], *, descending: bool = False) -> DataFrame:
-    """Rows ``(measure, value, n, before, rows)`` for numeric columns, compared as doubles.
+    """Rows ``(measure, value, whole, n, before, rows)`` for numeric columns.
 
-    ``n`` rows hold the value and ``before`` rows lie ahead of it, of ``rows`` in all.
-    In descending order nulls are one value, the last; in ascending order they are left out.
+    ``value`` is a double and ``whole`` the exact number of integer columns (else null), which
+    tells values apart that are one double.  ``n`` rows hold the value and ``before`` rows lie
+    ahead of it, of ``rows`` in all.  In descending order nulls are one value, the last; in
+    ascending order they are left out.
     """
     ranges = range_count(df)
-    # Bounds only balance the work, so a sketch a little finer than the ranges is enough.
+    # Bounds only balance the work, so sketches a little finer than the ranges are enough.
     shares, accuracy = [f"{i / ranges!r}D" for i in range(1, ranges)], 10 * ranges
     block = math.isqrt(ranges)
-    names = [F.lit(m) for m in measures]
-    pairs = F.explode(
-        F.array(*[F.struct(n.alias("measure"), F.col(m).cast("double").alias("value")) for n, m in zip(names, measures)])
-    )
-    values = df.select(pairs.alias("pair")).select("pair.measure", "pair.value")
+    pairs = [
+        F.struct(F.lit(m).alias("measure"), F.col(m).cast("double").alias("value"), _exact(df, m).alias("whole"))
+        for m in measures
+    ]
+    values = df.select(F.inline(F.array(*pairs)))
     if not descending:
         values = values.filter(F.col("value").isNotNull())
-    counts = values.groupBy("measure", "value").agg(F.count(F.lit(1)).alias("n"))
+    counts = values.groupBy("measure", "value", "whole").agg(F.count(F.lit(1)).alias("n"))
+    wanted = F.expr(f"array({', '.join(shares)})")
+    sketched = counts.groupBy("measure", F.pmod(F.xxhash64("value", "whole"), F.lit(SKETCHES)).alias("slot")).agg(
+        F.percentile_approx("value", wanted, F.lit(accuracy)).alias("bounds"), F.sum("n").alias("n")
+    )
 
-    def summary(name: Column) -> Column:
+    def summary(name: str) -> Column:
         of_measure = F.col("measure") == name
-        wanted = F.expr(f"array({', '.join(shares)})")
-        bounds = F.percentile_approx(F.when(of_measure, F.col("value")), wanted, F.lit(accuracy))
-        last_of_block = F.sequence(F.lit(block), F.lit(len(shares)), F.lit(block))
+        every = F.sort_array(F.flatten(F.collect_list(F.when(of_measure, F.col("bounds")))))
+        step = F.size(every) / F.lit(ranges)
+        places = F.when(F.size(every) > 0, F.sequence(F.lit(1), F.lit(ranges - 1))).otherwise(F.array().cast("array<int>"))
+        bounds = F.transform(places, lambda i: F.element_at(every, F.greatest(F.ceil(step * i), F.lit(1)).cast("int")))
+        last_of_block = F.slice(
+            F.filter(bounds, lambda _, i: (i + 1) % block == 0), 1, F.lit(ranges)
+        )
         return F.struct(
             bounds.alias("bounds"),
-            F.transform(last_of_block, lambda i: F.element_at(bounds, i)).alias("blocks"),
+            last_of_block.alias("blocks"),
             F.coalesce(F.sum(F.when(of_measure, F.col("n"))), F.lit(0)).alias("rows"),
         )
 
-    overview = counts.agg(F.create_map(*[part for n in names for part in (n, summary(n))])).scalar()
+    # One row per measure and slot is left, whatever the size of the table.
+    overview = sketched.agg(F.create_map(*[part for m in measures for part in (F.lit(m), summary(m))])).scalar()
     seen, value = F.col("_seen"), F.col("value")
 
     def below(bounds: Column) -> Column:
@@ -65,7 +87,7 @@ def value_positions(df: DataFrame, measures: Sequence[str], *, descending: bool
     placed = (
         counts.withColumn("_seen", overview[F.col("measure")])
         .withColumn("_skipped", below(seen["blocks"]))
-        .select("measure", "value", "n", seen["rows"].alias("rows"), (skipped + inside_block).alias("range"))
+        .select("measure", "value", "whole", "n", seen["rows"].alias("rows"), (skipped + inside_block).alias("range"))
     )
     toward = -F.col("range") if descending else F.col("range")
     ahead = Window.partitionBy("measure").orderBy(toward).rowsBetween(Window.unboundedPreceding, -1)
@@ -75,13 +97,15 @@ def value_positions(df: DataFrame, measures: Sequence[str], *, descending: bool
         .agg(F.sum("n").alias("_in_range"))
         .select("measure", "range", F.coalesce(F.sum("_in_range").over(ahead), F.lit(0)).alias("offset"))
     )
-    order = value.desc_nulls_last() if descending else value.asc()
+    keys = [value, F.col("whole")]
+    order = [k.desc_nulls_last() if descending else k.asc() for k in keys]
     inside = (
-        Window.partitionBy("measure", "range").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+        Window.partitionBy("measure", "range").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     )
     return placed.join(offsets, ["measure", "range"]).select(
         "measure",
         "value",
+        "whole",
         "n",
         (F.col("offset") + F.coalesce(F.sum("n").over(inside), F.lit(0))).alias("before"),
         "rows",
@@ -96,9 +120,10 @@ def with_ranks(df: DataFrame, ranks: Mapping[str, str]) -> DataFrame:
     places = value_positions(df, list(ranks.values()), descending=True)
     for name, measure in ranks.items():
         of_measure = places.filter(F.col("measure") == measure).select(
-            F.col("value").alias("_value"), (F.col("before") + 1).cast("int").alias(name)
+            F.col("value").alias("_value"), F.col("whole").alias("_whole"), (F.col("before") + 1).alias(name)
         )
-        df = df.join(of_measure, F.col(measure).cast("double").eqNullSafe(F.col("_value"))).drop("_value")
+        same = F.col(measure).cast("double").eqNullSafe(F.col("_value")) & _exact(df, measure).eqNullSafe(F.col("_whole"))
+        df = df.join(of_measure, same).drop("_value", "_whole")
     return df
 
 
@@ -118,6 +143,7 @@ def quantiles(
 
     def cuts(measure: str) -> Column:
         mine = F.col("measure") == measure
-        return F.array(*[F.min(F.when(mine & (through >= w), F.col("value"))) for w in wanted])
+        value = F.col("whole") if _is_whole(df, measure) else F.col("value")
+        return F.array(*[F.min(F.when(mine & (through >= w), value)) for w in wanted])
 
     return value_positions(df, measures).agg(F.struct(*[cuts(m).alias(m) for m in measures])).scalar()

@@ -142,7 +142,8 @@ def _breaches() -> tuple[Column, Column, Column, Column]:
     """Per metric row: order of the check (null: not checked), breached, status, text."""
     metric, value = F.col("metric"), F.col("value")
     orders, breached, states, texts = [], [], [], []
-    for order, (name, side, limit, status, text, digits) in enumerate(MODEL_CHECKS):
+    for order, (name, side, limit, status, title, unit, digits) in enumerate(MODEL_CHECKS):
+        text = f"{title} (%s{unit.replace('%', '%%')}) {side} threshold ({limit}{unit.replace('%', '%%')})"
         here = metric == name
         broken = value < limit if side == "below" else value > limit
         orders.append(F.when(here, F.lit(order)))

@@ -156,51 +156,111 @@ def _finished(run_log: DataFrame) -> DataFrame:
     return run_log.filter(F.col("event_type") == K.PIPELINE_END)
 
 
-def success_rate(run_log: DataFrame, as_of: Moment = None) -> DataFrame:
-    """Share of finished runs that succeeded, stamped ``as_of`` or with the last run."""
-    runs = (
+def _runs(run_log: DataFrame) -> DataFrame:
+    """Finished runs, good ones, seconds and last run of every pipeline."""
+    return (
         _finished(run_log)
         .groupBy("pipeline_name")
         .agg(
             F.count(F.lit(1)).alias("runs"),
             F.count_if(F.col("status") == K.SUCCESS).alias("good"),
+            money.as_double(money.total(F.col("duration_seconds"))).alias("seconds"),
+            F.count("duration_seconds").alias("timed"),
             F.max("timestamp").alias("last_run"),
         )
     )
-    value = _ratio(F.col("good"), F.col("runs"))
-    return _metric_rows(
-        runs,
-        name=_named(None, ["pipeline_name"], "success_rate"),
-        value=value,
-        threshold=K.MIN_SUCCESS_RATE,
-        kind=K.PIPELINE_HEALTH,
-        healthy=value >= K.MIN_SUCCESS_RATE,
-        level=K.CRITICAL,
-        stamp=F.col("last_run") if as_of is None else moment(as_of),
+
+
+_PIPELINE_CHECKS = {
+    "success_rate": {"threshold": K.MIN_SUCCESS_RATE, "level": K.CRITICAL},
+    "duration": {"threshold": K.MAX_DURATION_MINUTES, "level": K.WARNING},
+}
+
+
+def pipeline_health(run_log: DataFrame, as_of: Moment = None, checks: Sequence[str] = tuple(_PIPELINE_CHECKS)) -> DataFrame:
+    """Share of finished runs that succeeded and mean minutes per run, from one pass over the log.
+
+    Stamped ``as_of`` or with the last run.
+    """
+    rate = _ratio(F.col("good"), F.col("runs"))
+    minutes = _ratio(F.col("seconds") / 60, F.col("timed"))
+    measured = {
+        "success_rate": (rate, rate >= K.MIN_SUCCESS_RATE),
+        "duration": (minutes, minutes <= K.MAX_DURATION_MINUTES),
+    }
+    stamp = F.col("last_run") if as_of is None else moment(as_of)
+    rows = F.array(
+        *[
+            F.struct(
+                _named(None, ["pipeline_name"], check).alias("name"),
+                measured[check][0].alias("value"),
+                F.lit(float(_PIPELINE_CHECKS[check]["threshold"])).alias("threshold"),
+                F.lit(K.PIPELINE_HEALTH).alias("metric_type"),
+                stamp.alias("timestamp"),
+                F.when(measured[check][1], K.HEALTHY).otherwise(K.UNHEALTHY).alias("status"),
+                F.when(~measured[check][1], F.lit(_PIPELINE_CHECKS[check]["level"])).alias("alert_level"),
+            )
+            for check in checks
+        ]
     )
+    return _runs(run_log).select(F.inline(rows))
+
+
+def success_rate(run_log: DataFrame, as_of: Moment = None) -> DataFrame:
+    """Share of finished runs that succeeded."""
+    return pipeline_health(run_log, as_of, ["success_rate"])
 
 
 def duration(run_log: DataFrame, as_of: Moment = None) -> DataFrame:
     """Mean minutes per finished run."""
-    runs = (
-        _finished(run_log)
-        .groupBy("pipeline_name")
-        .agg(
-            money.as_double(money.total(F.col("duration_seconds"))).alias("seconds"),
-            F.count("duration_seconds").alias("runs"),
-            F.max("timestamp").alias("last_run"),
-        )
+    return pipeline_health(run_log, as_of, ["duration"])
+
+
+def feature_means(features: DataFrame, names: Sequence[str]) -> DataFrame:
+    """``(feature, mean)`` rows to keep as the baseline of ``feature_drift``; null for no values."""
+    means = [F.try_divide(money.as_double(money.total(F.col(c))), F.count(c)) for c in names]
+    pairs = [F.struct(F.lit(c).alias("feature"), m.alias("mean")) for c, m in zip(names, means)]
+    return features.agg(F.array(*pairs).alias("pairs")).select(F.inline("pairs"))
+
+
+def feature_drift(
+    features: DataFrame, baseline: DataFrame, model: str | None = None, as_of: Moment = None
+) -> DataFrame:
+    """Shift of each feature's mean against ``baseline(feature, mean)``, relative to the baseline.
+
+    One row per feature of the baseline; features without values, or a baseline without a mean,
+    are a full shift and critical.
+    """
+    now = feature_means(features, features.columns).withColumnRenamed("mean", "mean_now")
+    both = baseline.select("feature", "mean").join(now, "feature", "left")
+    shift = F.abs(F.col("mean_now") - F.col("mean")) / F.greatest(F.abs("mean"), F.lit(MACHINE_EPSILON))
+    value = F.coalesce(shift, F.lit(1.0))
+    return _metric_rows(
+        both,
+        name=_named(model, ["feature"], "drift"),
+        value=value,
+        threshold=K.MAX_FEATURE_DRIFT,
+        kind=K.MODEL_PERFORMANCE,
+        healthy=shift.isNotNull() & (value <= K.MAX_FEATURE_DRIFT),
+        level=F.when(shift.isNull(), K.CRITICAL).otherwise(K.WARNING),
+        stamp=moment(as_of),
     )
-    value = _ratio(F.col("seconds") / 60, F.col("runs"))
+
+
+def model_age(models: DataFrame, as_of: Moment = None) -> DataFrame:
+    """Days since each model was trained, from ``models(model, trained_at)``; unknown is critical."""
+    now = moment(as_of)
+    days = (F.unix_micros(now) - F.unix_micros(F.col("trained_at").cast("timestamp"))) / F.lit(86_400_000_000.0)
+    value = F.coalesce(days, F.lit(K.MISSING_FRESHNESS_HOURS))
     return _metric_rows(
-        runs,
-        name=_named(None, ["pipeline_name"], "duration"),
+        models,
+        name=_named(None, ["model"], "age_days"),
         value=value,
-        threshold=K.MAX_DURATION_MINUTES,
-        kind=K.PIPELINE_HEALTH,
-        healthy=value <= K.MAX_DURATION_MINUTES,
-        level=K.WARNING,
-        stamp=F.col("last_run") if as_of is None else moment(as_of),
+        threshold=K.MAX_MODEL_AGE_DAYS,
+        kind=K.MODEL_PERFORMANCE,
+        healthy=days.isNotNull() & (value <= K.MAX_MODEL_AGE_DAYS),
+        level=F.when(days.isNull(), K.CRITICAL).otherwise(K.WARNING),
+        stamp=now,
     )
 
 

@@ -4,6 +4,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 from pyspark.sql.types import DoubleType, FloatType
 
 from tillwise.constants import OUTLIER_SIGMAS
@@ -87,6 +88,9 @@ def quantity_outliers(
     frequent value is one row.  Mean and sample deviation come from exact sums over
     those counts, and the outliers are counted on them too.
     """
+    kind = df.schema[column].dataType
+    if not isinstance(kind, IntegralType):
+        raise TypeError(f"{column} is {kind.simpleString()}; outliers are counted for whole numbers")
     values = df.groupBy(F.col(column).cast("bigint").alias("value")).agg(F.count(F.lit(1)).alias("n"))
     value, n = F.col("value").cast("decimal(19,0)"), F.col("n").cast("decimal(18,0)")
     rows, first, second = (F.col(c) for c in ("rows", "first", "second"))

@@ -332,7 +332,7 @@ def sales_forecast(spark, sf_dir):
 
 @query
 def customer_clusters(spark, sf_dir):
-    known = features.customer_features(_silver(spark, sf_dir))
+    known = stored(features.customer_features(_silver(spark, sf_dir)), "customer_features")
     return models.customer_segments(models.train_clusters(known), known)
 
 
@@ -351,10 +351,17 @@ def _accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    log = _run_log(spark, sf_dir)
-    return monitoring.collect(
-        [monitor.success_rate(log), monitor.duration(log), _accuracy(spark, sf_dir)]
-    )
+    """Stored, so that alerts and summaries do not read the log again."""
+    checks = [monitor.pipeline_health(_run_log(spark, sf_dir)), _accuracy(spark, sf_dir)]
+    return stored(monitoring.collect(checks), "metrics")
+
+
+def _volume(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every model is expected to predict twice for each customer."""
+    made = _predictions(spark, sf_dir)
+    customers_known = read_table(spark, sf_dir, "customer").agg(2 * F.count(F.lit(1))).scalar()
+    expected = made.select("model").distinct().withColumn("expected_count", customers_known)
+    return monitor.prediction_volume(made, expected, as_of=AS_OF)
 
 
 @query
@@ -378,9 +385,22 @@ def accuracy_drift(spark, sf_dir):
 
 @query
 def prediction_volume(spark, sf_dir):
-    made = _predictions(spark, sf_dir)
-    expected = made.groupBy("model").agg(F.count(F.lit(1)).alias("expected_count"))
-    return monitor.prediction_volume(made.filter(F.col("o_orderstatus") != "P"), expected, as_of=AS_OF)
+    return _volume(spark, sf_dir)
+
+
+@query
+def feature_drift(spark, sf_dir):
+    lines = read_table(spark, sf_dir, "lineitem")
+    names = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+    baseline = stored(monitor.feature_means(lines.filter("l_linestatus = 'F'"), names), "baseline")
+    current = lines.filter("l_linestatus <> 'F'").select(*names)
+    return rounded(monitor.feature_drift(current, baseline, "lines", AS_OF), {"value": 9})
+
+
+@query
+def model_age(spark, sf_dir):
+    trained = read_table(spark, sf_dir, "orders").groupBy(F.col("o_orderpriority").alias("model"))
+    return rounded(monitor.model_age(trained.agg(F.max("o_orderdate").alias("trained_at")), AS_OF), {"value": 6})
 
 
 @query
@@ -403,15 +423,15 @@ def alert_routes(spark, sf_dir):
     return monitor.alert_routes(monitor.alerts(_metrics(spark, sf_dir)))
 
 
-def _resolved(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _resolved(metrics: DataFrame) -> DataFrame:
     """All alerts, the ones of level warning resolved by id."""
-    raised = monitor.alerts(_metrics(spark, sf_dir))
+    raised = monitor.alerts(metrics)
     return monitor.resolve(raised, raised.filter(F.col("level") == "warning"))
 
 
 @query
 def active_alerts(spark, sf_dir):
-    return monitor.active_alerts(_resolved(spark, sf_dir))
+    return monitor.active_alerts(_resolved(_metrics(spark, sf_dir)))
 
 
 @query
@@ -421,9 +441,9 @@ def critical_alerts(spark, sf_dir):
 
 @query
 def metrics_summary(spark, sf_dir):
-    log = _run_log(spark, sf_dir)
-    newest = log.agg(F.max("timestamp")).scalar()
-    return monitor.metrics_summary(_metrics(spark, sf_dir), _resolved(spark, sf_dir), newest)
+    metrics = _metrics(spark, sf_dir)
+    newest = _run_log(spark, sf_dir).agg(F.max("timestamp")).scalar()
+    return monitor.metrics_summary(metrics, _resolved(metrics), newest)
 
 
 @query
@@ -439,8 +459,8 @@ def monitoring_cycle(spark, sf_dir):
         monitor.completeness(invoice_lines(spark, sf_dir), "invoice_lines", AS_OF),
         monitor.freshness(read_table(spark, sf_dir, "events"), "ts", "events", AS_OF),
         _accuracy(spark, sf_dir),
-        monitor.success_rate(log, AS_OF),
-        monitor.duration(log, AS_OF),
+        _volume(spark, sf_dir),
+        monitor.pipeline_health(log, AS_OF),
     ]
     monitoring.run_cycle(spark, lake, checks, "first")
     metrics, raised = monitoring.history(spark, lake)
@@ -675,4 +695,5 @@ def stream_daily_sales(spark, sf_dir):
     undated = F.col("StockCode").cast("bigint") % 89 == 0
     arriving = arriving.withColumn("InvoiceDate", F.when(undated, "unknown").otherwise(F.col("InvoiceDate")))
     pipelines.run_batches(pipelines.cleaned(arriving), work, f"{folder}/state")
-    return spark.read.parquet(f"{folder}/daily")
+    # Year, month and day 0 stand for lines without a date.
+    return spark.read.parquet(f"{folder}/daily").na.fill(0, ["Year", "Month", "Day"])

@@ -397,6 +397,14 @@ def duration(stamp: str = '"last"') -> str:
     )
 
 
+def volume() -> str:
+    return metric(
+        "model || '_prediction_volume'", "ratio", K.MIN_PREDICTION_VOLUME, "model_performance", "ratio >= 0.8",
+        "'warning'", AS_OF,
+        "(SELECT model, CAST(COUNT(*) AS DOUBLE) / (SELECT 2 * COUNT(*) FROM customer) AS ratio FROM made GROUP BY model)",
+    )
+
+
 def accuracy() -> str:
     return metric(
         "model || '_accuracy'", "round(accuracy, 9)", K.MIN_ACCURACY, "model_performance",
@@ -561,8 +569,8 @@ def oracle_sql() -> dict[str, str]:
         "daily_sales_detailed": daily,
         "country_sales_detailed": country,
         "product_ranking": f"""WITH {SILVER}, {PRODUCTS}
-            SELECT *, CAST(rank() OVER (ORDER BY total_revenue DESC) AS INTEGER) AS revenue_rank,
-                   CAST(rank() OVER (ORDER BY total_quantity_sold DESC) AS INTEGER) AS quantity_rank FROM products""",
+            SELECT *, CAST(rank() OVER (ORDER BY total_revenue DESC) AS BIGINT) AS revenue_rank,
+                   CAST(rank() OVER (ORDER BY total_quantity_sold DESC) AS BIGINT) AS quantity_rank FROM products""",
         "product_sales": f"WITH {SILVER}, {PRODUCTS} SELECT * FROM products",
         "customer_base": f"""WITH {SILVER}, {BASE} SELECT CustomerID, first_purchase, last_purchase, orders,
             {amount('units')} AS amount, n AS amounts, n AS transactions, n AS lines FROM base""",
@@ -654,12 +662,23 @@ def oracle_sql() -> dict[str, str]:
             "age <= 2", "'warning'", "(SELECT now FROM newest)", "aged",
         ),
         "accuracy_drift": f"WITH {predictions('made')} {accuracy()}",
-        "prediction_volume": f"WITH {predictions('made')} "
-        + metric(
-            "model || '_prediction_volume'", "ratio", K.MIN_PREDICTION_VOLUME, "model_performance", "ratio >= 0.8",
-            "'warning'", AS_OF,
-            "(SELECT model, CAST(COUNT(*) FILTER (WHERE o_orderstatus <> 'P') AS DOUBLE) / COUNT(*) AS ratio FROM made GROUP BY model)",
-        ),
+        "prediction_volume": f"WITH {predictions('made')} {volume()}",
+        "feature_drift": metric(
+            "'lines_' || feature || '_drift'", "round(abs(now - was) / was, 9)", K.MAX_FEATURE_DRIFT,
+            "model_performance", "abs(now - was) / was <= 0.1", "'warning'", AS_OF,
+            "(" + " UNION ALL ".join(
+                f"""SELECT '{c}' AS feature, CAST(CAST(SUM({exact(c)}) FILTER (WHERE l_linestatus <> 'F') AS VARCHAR) AS DOUBLE)
+                    / COUNT({c}) FILTER (WHERE l_linestatus <> 'F') AS now,
+                    CAST(CAST(SUM({exact(c)}) FILTER (WHERE l_linestatus = 'F') AS VARCHAR) AS DOUBLE)
+                    / COUNT({c}) FILTER (WHERE l_linestatus = 'F') AS was FROM lineitem"""
+                for c in ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
+            ) + ")",
+        ),
+        "model_age": metric(
+            "model || '_age_days'", "round(days, 6)", K.MAX_MODEL_AGE_DAYS, "model_performance", "days <= 30", "'warning'", AS_OF,
+            f"""(SELECT o_orderpriority AS model, date_diff('microseconds', MAX(o_orderdate), {AS_OF}) / 86400000000.0::DOUBLE AS days
+                FROM orders GROUP BY 1)""",
+        ),
         "pipeline_success": f"WITH {RUNS} {success()}",
         "pipeline_duration": f"WITH {RUNS} {duration()}",
         "alerts": f"WITH {ALERTS} SELECT * FROM alert_rows",
@@ -678,7 +697,8 @@ def oracle_sql() -> dict[str, str]:
         "recent_metrics": f'{metric_sets} SELECT * FROM metric_rows ORDER BY "timestamp" DESC, name LIMIT 10',
         "monitoring_cycle": f"""WITH {LINES}, {RUNS}, {predictions('made')},
             newest AS (SELECT date_diff('microseconds', MAX(ts), {AS_OF}) / CAST(3600000000 AS DOUBLE) AS age FROM events),
-            cycle AS ({LINES_COMPLETENESS} UNION ALL {accuracy()} UNION ALL {success(AS_OF)} UNION ALL {duration(AS_OF)} UNION ALL """
+            cycle AS ({LINES_COMPLETENESS} UNION ALL {accuracy()} UNION ALL {volume()} UNION ALL {success(AS_OF)}
+              UNION ALL {duration(AS_OF)} UNION ALL """
         + metric(
             "'events_freshness'", "age", K.MAX_FRESHNESS_HOURS, "data_quality", "age <= 2", "'warning'", AS_OF, "newest"
         )
@@ -726,5 +746,6 @@ def oracle_sql() -> dict[str, str]:
               CASE WHEN CAST(StockCode AS BIGINT) % 89 <> 0 THEN Year END AS Year,
               CASE WHEN CAST(StockCode AS BIGINT) % 89 <> 0 THEN Month END AS Month,
               CASE WHEN CAST(StockCode AS BIGINT) % 89 <> 0 THEN Day END AS Day) FROM silver
-            ), {DAILY.replace("FROM silver", "FROM dated")} SELECT * FROM daily""",
+            ), {DAILY.replace("FROM silver", "FROM dated")}
+            SELECT * REPLACE (COALESCE(Year, 0) AS Year, COALESCE(Month, 0) AS Month, COALESCE(Day, 0) AS Day) FROM daily""",
     }

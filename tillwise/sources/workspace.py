@@ -1,13 +1,24 @@
 """Shared folder for tables and checkpoints that a query writes on its way."""
 
+import atexit
+import shutil
 import tempfile
 import uuid
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
 
+@lru_cache(maxsize=1)
+def _own_root() -> str:
+    """One temporary root per process, removed when it ends."""
+    root = tempfile.mkdtemp(prefix="tillwise-")
+    atexit.register(shutil.rmtree, root, ignore_errors=True)
+    return root
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder the session names; a temporary one only in local mode without it."""
     folder = spark.conf.get(CHECKPOINT_SETTING, None) or spark.sparkContext.getCheckpointDir()
@@ -15,7 +26,7 @@ def shared_folder(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError(f"set {CHECKPOINT_SETTING} to a folder that all executors share")
-    return tempfile.mkdtemp(prefix="tillwise-")
+    return _own_root()
 
 
 def new_folder(spark: SparkSession, purpose: str) -> str:
