@@ -23,7 +23,7 @@ from tillwise.operators import (
     silver,
     views,
 )
-from tillwise.plans import jobs, modelling, monitoring
+from tillwise.plans import gold_tables, jobs, modelling, monitoring
 from tillwise.schemas import CORRUPT_COLUMN
 from tillwise.sources import run_log_adapter
 from tillwise.sources.invoice_adapter import invoice_lines, read_table
@@ -604,6 +604,30 @@ def job_simple(spark, sf_dir):
     return lake.read(spark, GOLD, "simple_forecast_table")
 
 
+def _stored_tables(spark: SparkSession, lake: Lakehouse, tables: dict) -> DataFrame:
+    return monitoring.collect(
+        [gold_tables.long_form(lake.read(spark, GOLD, name), name, table) for name, table in tables.items()]
+    )
+
+
+@query
+def job_detailed_tables(spark, sf_dir):
+    """CSV to Gold; all five tables as stored, in long form."""
+    folder = new_folder(spark, "detailed")
+    lake = Lakehouse(f"{folder}/lake")
+    jobs.run_detailed(spark, _as_csv(spark, sf_dir, folder), lake)
+    return _stored_tables(spark, lake, gold_tables.DETAILED)
+
+
+@query
+def job_simple_tables(spark, sf_dir):
+    """The simple variant; all six tables as stored, in long form."""
+    folder = new_folder(spark, "simple")
+    lake = Lakehouse(f"{folder}/lake")
+    jobs.run_simple(spark, _as_csv(spark, sf_dir, folder), lake)
+    return _stored_tables(spark, lake, gold_tables.SIMPLE)
+
+
 @query
 def job_models(spark, sf_dir):
     """Training and inference over stored Silver; returns the stored segments."""

@@ -5,6 +5,8 @@ integer units of 10^-10, rounding is integer division, quantiles are discrete.
 """
 
 from tillwise import constants as K
+from tillwise.plans.gold_tables import DETAILED, long_sql
+from tillwise.plans.gold_tables import SIMPLE as SIMPLE_TABLES
 
 AS_OF = "TIMESTAMP '2024-02-01 00:00:00'"
 
@@ -550,6 +552,12 @@ SILVER_COLUMNS = (
 ROLLUP_KEYS = "Year, Month, Day, Country, InvoiceNo, CustomerID"
 
 
+def stored_tables(tables: dict, sources: list[str]) -> str:
+    return " UNION ALL ".join(
+        long_sql(source, name, table) for source, (name, table) in zip(sources, tables.items(), strict=True)
+    )
+
+
 def oracle_sql() -> dict[str, str]:
     daily = f"WITH {SILVER}, {DAILY} SELECT * FROM daily"
     country = f"WITH {SILVER} {COUNTRY}"
@@ -721,6 +729,14 @@ def oracle_sql() -> dict[str, str]:
         "table_overwrite": lines,
         "table_append": lines,
         "run_log_source": f"WITH {RUNS} SELECT * FROM log",
+        "job_detailed_tables": f"""WITH {SILVER}, {DAILY}, {PRODUCTS}, {BASE}, {RFM},
+            cltv AS (WITH {CLTV}), countries AS ({COUNTRY}),
+            ranked AS (SELECT *, rank() OVER (ORDER BY total_revenue DESC) AS revenue_rank,
+                       rank() OVER (ORDER BY total_quantity_sold DESC) AS quantity_rank FROM products) """
+        + stored_tables(DETAILED, ["daily", "countries", "ranked", "rfm", "cltv"]),
+        "job_simple_tables": f"""WITH {SIMPLE}, {SIMPLE_RFM}, days AS ({SIMPLE_DAILY}), best AS ({TOP_PRODUCTS} LIMIT 20),
+            countries AS ({SIMPLE_COUNTRY}) """
+        + stored_tables(SIMPLE_TABLES, ["days", "best", "countries", "rfm", "projected", "projected"]),
         "job_detailed": country,
         "job_simple": f"WITH {SIMPLE}, {SIMPLE_RFM} SELECT * FROM projected",
         "stream_windows": f"WITH {WINDOWS} SELECT * FROM windows",
