@@ -4,6 +4,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -143,6 +144,21 @@ def assign_clusters(model: PipelineModel, features: DataFrame) -> DataFrame:
     return assigned.unionByName(features.filter(~complete()), allowMissingColumns=True)
 
 
+def nearest_checked(model: PipelineModel, features: DataFrame) -> DataFrame:
+    """Assigned customers with ``nearest``: no other centre is closer than that of their cluster."""
+    place = vector_to_array("features")
+
+    def distance(centre) -> Column:
+        point = F.array(*[F.lit(float(x)) for x in centre])
+        squares = F.zip_with(place, point, lambda a, b: (a - b) * (a - b))
+        return F.aggregate(squares, F.lit(0.0), lambda total, x: total + x)
+
+    distances = F.array(*[distance(c) for c in model.stages[-1].clusterCenters()])
+    own = F.element_at("distances", F.col("cluster") + 1)
+    assigned = assign_clusters(model, features).withColumn("distances", distances)
+    return assigned.withColumn("nearest", own <= F.array_min("distances") + 1e-9).drop("distances")
+
+
 def customer_segments(model: PipelineModel, features: DataFrame) -> DataFrame:
     return assign_clusters(model, features).select(
         "CustomerID",

@@ -336,6 +336,24 @@ def customer_clusters(spark, sf_dir):
     return models.customer_segments(models.train_clusters(known), known)
 
 
+@query
+def sales_forecast_checked(spark, sf_dir):
+    """The days of the forecast, and whether each lies between the smallest and largest day so far."""
+    daily = stored(sales.daily_sales(_silver(spark, sf_dir)), "daily")
+    model, _ = models.train_forecast(features.forecast_features(daily))
+    known = daily.agg(F.struct(F.min("daily_revenue").alias("low"), F.max("daily_revenue").alias("high"))).scalar()
+    inside = F.col("prediction").between(known["low"], known["high"])
+    return models.forecast(model, daily).select("prediction_date", inside.alias("inside"))
+
+
+@query
+def customer_clusters_checked(spark, sf_dir):
+    """Every customer with its features, and whether its cluster's centre is the nearest."""
+    known = stored(features.customer_features(_silver(spark, sf_dir), AS_OF), "customer_features")
+    model = models.train_clusters(known)
+    return models.nearest_checked(model, known).select("CustomerID", "recency", "frequency", "monetary", "nearest")
+
+
 # --- monitoring --------------------------------------------------------------
 def _run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_log_adapter.run_log(read_table(spark, sf_dir, "events"))

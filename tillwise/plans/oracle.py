@@ -641,6 +641,11 @@ def oracle_sql() -> dict[str, str]:
                    CAST(dayofweek(prediction_date) + 1 AS INTEGER) AS day_of_week,
                    lag_7, lag_30, lag_7 AS rolling_mean_7 FROM days""",
         "customer_features": f"WITH {SILVER}, {BASE}, {customer_features(AS_OF)} SELECT * FROM people",
+        "customer_clusters_checked": f"""WITH {SILVER}, {BASE}, {customer_features(AS_OF)}
+            SELECT CustomerID, recency, frequency, monetary, TRUE AS nearest FROM people""",
+        "sales_forecast_checked": f"""WITH {SILVER}, last AS (SELECT MAX(CAST(InvoiceTimestamp AS DATE)) AS day FROM silver)
+            SELECT CAST(day + ahead AS DATE) AS prediction_date, TRUE AS inside
+            FROM last, (SELECT CAST(unnest(range(1, {K.FORECAST_DAYS + 1})) AS INTEGER) AS ahead)""",
         "cluster_profile": f"""WITH {LABELLED},
             p AS (SELECT cluster, COUNT(*) AS "count", {statistics('recency')}, {statistics('frequency')},
                          {statistics('monetary')} FROM labelled GROUP BY cluster)
