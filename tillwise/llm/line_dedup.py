@@ -27,6 +27,8 @@ MIN_SITES = 3
 LG_K = 12
 #: Estimates within so many standard errors (and one site at least) are counted exactly.
 ERRORS = 6
+#: Groups that each shared line's documents are dealt to when they are looked up.
+SALTS = 32
 
 
 def line_hash(line: Column) -> Column:
@@ -64,10 +66,13 @@ def shared_lines(lines: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
     likely = spread.filter((F.col("occurrences") > 1) & (F.col("estimate") >= min_sites - margin))
     likely = stored(likely, "line-spread")
     near = likely.filter(F.col("estimate") <= min_sites + margin).select("line_a", "line_b")
+    # Distinct inside each task first: a line of a third of all documents is a few rows per site.
     exact = (
-        lines.join(near, ["line_a", "line_b"], "left_semi")
+        lines.select("line_a", "line_b", "site")
+        .distinct()
+        .join(near, ["line_a", "line_b"], "left_semi")
         .groupBy("line_a", "line_b")
-        .agg(F.count_distinct("site").alias("sites"))
+        .agg(F.count("site").alias("sites"))
         .filter(F.col("sites") >= min_sites)
         .select("line_a", "line_b")
     )
@@ -81,8 +86,11 @@ def without_shared_lines(docs: DataFrame, min_sites: int = MIN_SITES, counts: bo
     lines = document_lines(docs)
     shared = shared_lines(lines, min_sites).withColumnsRenamed({"doc_id": "owner_id", "doc_key": "owner_key"})
     owned = F.col("doc_id").eqNullSafe(F.col("owner_id")) & (F.col("doc_key") == F.col("owner_key"))
+    # A line of a third of all documents is met in ``SALTS`` groups, not in one.
+    shared = shared.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    salted = lines.withColumn("salt", F.pmod(F.xxhash64("doc_id", "doc_key"), F.lit(SALTS)).cast("int"))
     hits = (
-        lines.join(shared, ["line_a", "line_b"])
+        salted.join(shared, ["line_a", "line_b", "salt"])
         .filter(~owned)
         .groupBy(F.col("doc_id").alias("hit_id"), F.col("doc_key").alias("hit_key"))
         .agg(F.collect_set(F.struct(F.col("line_a").alias("a"), F.col("line_b").alias("b"))).alias("hit_lines"))
@@ -93,10 +101,13 @@ def without_shared_lines(docs: DataFrame, min_sites: int = MIN_SITES, counts: bo
     joined = docs.select(F.struct("*").alias("doc")).join(hits, same, "left")
     kept = F.filter(_lines(text), lambda line: ~F.array_contains(F.col("hit_lines"), line_hash(line)))
     cleaned = F.when(F.col("hit_lines").isNull(), text).otherwise(F.array_join(kept, "\n"))
-    added = {}
+    n_lines = F.when(text.isNull(), 0).otherwise(F.size(_lines(text))).cast("long")
+    n_kept = F.when(F.col("hit_lines").isNull(), n_lines).otherwise(F.size(kept))
+    made = joined.select("doc", cleaned.alias("new_text"), n_lines.alias("all_lines"), n_kept.alias("kept_lines"))
+    results = {"text": F.col("new_text")}
     if counts:
-        n_lines = F.when(text.isNull(), 0).otherwise(F.size(_lines(text))).cast("long")
-        n_kept = F.when(F.col("hit_lines").isNull(), n_lines).otherwise(F.size(kept))
-        added = {"n_lines": n_lines, "n_removed": (n_lines - n_kept).cast("long")}
-    columns = [cleaned.alias(c) if c == "text" else own[c].alias(c) for c in docs.columns if c not in added]
-    return joined.select(*columns, *[e.alias(n) for n, e in added.items()])
+        removed = (F.col("all_lines") - F.col("kept_lines")).cast("long")
+        results |= {"n_lines": F.col("all_lines"), "n_removed": removed}
+    old = [c for c in docs.columns if c == "text" or c.lower() not in results]
+    new = [n for n in results if n != "text"]
+    return made.select(*[results.get(c, own[c]).alias(c) for c in old], *[results[n].alias(n) for n in new])
