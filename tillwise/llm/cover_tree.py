@@ -124,7 +124,8 @@ def traverse(vectors: np.ndarray, points: np.ndarray, trees: tuple[Node, Node],
     while waiting:
         a, b = waiting.pop()
         small = len(a.members) <= LEAF and len(b.members) <= LEAF
-        tight = a.radius + b.radius <= reach / 4
+        # Nodes no wider than a few times the threshold are compared; opening them prunes nothing.
+        tight = a.radius + b.radius <= 2 * reach
         if small or tight:
             _compare(vectors, points, a, b, least, links)
             continue
@@ -193,24 +194,16 @@ def _centres(classes: DataFrame) -> dict[int, np.ndarray]:
         .filter(F.col("mix") < share)
         .withColumn("place", F.row_number().over(order))
         .filter(F.col("place") <= SAMPLE)
-        .select("label", "size", "vector")
+        .select("label", "size", "vector", F.ceil(F.col("count") / BLOCK).alias("blocks"))
         .toPandas()
     )
     out = {}
     for key, rows in chosen.groupby(["label", "size"]):
         points = units(np.stack(rows["vector"].to_numpy()).astype(np.float64))
-        # Upper levels: the net with the smallest halved radius that has few enough centres.
-        reach, net = 1.0, [(0, None, 0.0)]
-        while True:
-            finer = _net(points, np.arange(len(points)), reach)
-            if len(finer) > CENTRES:
-                break
-            net, reach = finer, reach / 2
-            if reach < 1e-6:
-                break
-        if len(net) == 1 and len(points) > 1:
-            net = _net(points, np.arange(len(points)), reach)[:CENTRES]
-        out[key] = points[[c for c, *_ in net]]
+        # Centres come farthest first, so the first of them are the upper levels of the net;
+        # more cells than a label has blocks would only send its vectors to more places.
+        most = min(CENTRES, int(rows["blocks"].iloc[0]))
+        out[key] = points[[c for c, *_ in _net(points, np.arange(len(points)), 1e-6)[:most]]]
     return out
 
 
