@@ -7,11 +7,12 @@ the smallest keys, up to the budget.
 
 Prefix sums need no sort of a whole source: keys are cut into buckets of about
 ``ROWS_PER_BUCKET`` rows, bucket totals are summed up, and only the one bucket of each source
-in which the budget ends is sorted.  A source with a third of all rows just has more buckets.
+in which the budget ends is sorted, without its texts.  The rest is one comparison of each
+document's key with its source's plan.  A source with a third of all rows just has more buckets.
 
 Cases: an empty table gives an empty result; null texts have size 0; a null source is a source
 of its own, last in order; documents without a positive weight get ``LEAST_WEIGHT``; repeated
-rows are rows of their own and may be taken differently; other columns, whatever their names, are
+rows are taken alike; other columns, whatever their names, are
 kept by ``mix_documents`` and not part of ``mix_amounts``.
 """
 
@@ -105,7 +106,10 @@ def _placed(rows: DataFrame, plan: DataFrame) -> DataFrame:
 
 
 def mixing_plan(slim: DataFrame, **targets) -> DataFrame:
-    """One row per source: target, complete epochs, and the bucket in which the rest ends."""
+    """One row per source: target, complete epochs, and up to which key documents are taken once more.
+
+    The document at the budget's edge is taken when that comes nearer to the budget.
+    """
     goals = stored(source_targets(slim, **targets), "mix-targets")
     size = F.greatest(F.col("source_size"), F.lit(1))
     goals = goals.withColumn("epochs", F.floor(F.col("target") / size)).withColumn(
@@ -122,27 +126,29 @@ def mixing_plan(slim: DataFrame, **targets) -> DataFrame:
             F.min_by(F.col("through") - F.col("words"), "mix_bucket").alias("end_before"),
         )
     )
-    plan = goals.join(ends, F.col("mix_source").eqNullSafe(F.col("end_source")), "left").drop("end_source")
+    ended = goals.join(ends, F.col("mix_source").eqNullSafe(F.col("end_source")), "left").drop("end_source")
+    ended = stored(ended, "mix-ends")
+    # One bucket of each source, and of it only keys and sizes.
+    order = [F.col("mix_key"), F.col("doc_id").asc_nulls_last(), F.col("mix_size")]
+    in_order = Window.partitionBy("mix_source", "mix_bucket").orderBy(*order)
+    running = F.sum("mix_size").over(in_order.rowsBetween(Window.unboundedPreceding, 0))
+    edge = _placed(slim, ended).filter(F.col("mix_bucket") == F.col("end_bucket")).withColumn("running", running)
+    cuts = (
+        edge.filter(F.col("end_before") + F.col("running") - F.col("mix_size") / 2 <= F.col("rest"))
+        .groupBy(F.col("mix_source").alias("cut_source"))
+        .agg(F.max("mix_key").alias("cut_key"))
+    )
+    plan = ended.join(cuts, F.col("mix_source").eqNullSafe(F.col("cut_source")), "left").drop("cut_source")
     return stored(plan, "mix-plan")
 
 
 def copies(rows: DataFrame, plan: DataFrame) -> DataFrame:
-    """``rows`` (with the columns of ``keyed``) and how often the mix takes each: ``mix_copies``.
-
-    The document at the budget's edge is taken when that comes nearer to the budget.
-    """
-    placed = _placed(rows, plan)
-    edge = F.col("mix_bucket") == F.col("end_bucket")
-    in_order = Window.partitionBy("mix_source", "mix_bucket").orderBy(
-        "mix_key", F.col("doc_id").asc_nulls_last(), "mix_size"
-    )
-    running = F.sum("mix_size").over(in_order.rowsBetween(Window.unboundedPreceding, 0))
-    nearest = F.col("end_before") + running - F.col("mix_size") / 2 <= F.col("rest")
-    clear = placed.filter(~F.coalesce(edge, F.lit(False))).withColumn(
-        "mix_extra", F.coalesce(F.col("mix_bucket") < F.col("end_bucket"), F.lit(False)).cast("long")
+    """``rows`` (with mix_source and mix_key) and how often the mix takes each: ``mix_copies``."""
+    once_more = (F.col("mix_bucket") < F.col("end_bucket")) | (
+        (F.col("mix_bucket") == F.col("end_bucket")) & (F.col("mix_key") <= F.col("cut_key"))
     )
-    last = placed.filter(edge).withColumn("mix_extra", nearest.cast("long"))
-    return clear.unionByName(last).withColumn("mix_copies", F.col("epochs") + F.col("mix_extra"))
+    extra = F.coalesce(once_more, F.lit(False)).cast("long")
+    return _placed(rows, plan).withColumn("mix_copies", F.col("epochs") + extra)
 
 
 def mix_amounts(docs: DataFrame, weight: Column | None = None, **targets) -> DataFrame:
@@ -169,9 +175,7 @@ def mix_documents(docs: DataFrame, weight: Column | None = None, **targets) -> D
     # The document travels as one struct, so no name of its columns can clash.
     rows = docs.select(
         F.struct("*").alias("mix_doc"),
-        "doc_id",
         F.col("source").alias("mix_source"),
-        word_count(F.col("text")).alias("mix_size"),
         (-F.log(_uniform(F.col("doc_id"), F.col("text"), SEED)) / weight).alias("mix_key"),
     )
     taken = copies(rows, plan).filter("mix_copies > 0")
