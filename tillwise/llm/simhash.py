@@ -182,10 +182,13 @@ def near_links(distinct: DataFrame, block: int = BLOCK) -> DataFrame:
     return dealt.mapInArrow(_group_links, "a long, b long").distinct()
 
 
-def classes(prints: DataFrame) -> DataFrame:
-    """Rows of ``fingerprints`` with ``root`` (a fingerprint that names the class) and ``component_id``."""
+def classes(prints: DataFrame, links: DataFrame | None = None) -> DataFrame:
+    """Rows of ``fingerprints`` with ``root`` (a fingerprint that names the class) and ``component_id``.
+
+    ``links`` between fingerprints are those of ``near_links`` unless given.
+    """
     distinct = stored(prints.groupBy("fingerprint").agg(F.min("doc_id").alias("least_id")), "distinct-prints")
-    roots = components(near_links(distinct.select("fingerprint")))
+    roots = components(near_links(distinct.select("fingerprint")) if links is None else links)
     named = distinct.join(roots, distinct["fingerprint"] == roots["node"], "left").select(
         "fingerprint", "least_id", F.coalesce("root", "fingerprint").alias("root")
     )
@@ -196,7 +199,11 @@ def classes(prints: DataFrame) -> DataFrame:
 
 def near_dedup(docs: DataFrame) -> DataFrame:
     """``docs`` with one document of each class: the smallest doc_id, then the smallest digest of the text."""
-    found = classes(stored(fingerprints(docs), "fingerprints"))
+    return one_of_each(docs, classes(stored(fingerprints(docs), "fingerprints")))
+
+
+def one_of_each(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """The document of each class of ``found`` that stays."""
     first = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
     keep = first.groupBy("root").agg(F.min(F.struct("doc_id", "doc_key")).alias("keep")).select("keep")
     text = F.col("doc.text")
