@@ -134,6 +134,20 @@ def test_search_with_ties_bad_vectors_and_few_candidates(spark):
     assert learned_partitions.search(table.limit(0)).count() == 0
 
 
+def test_repeated_query_rows_are_asked_once(spark):
+    rows = [(i, [1.0, i / 100], 1) for i in range(1, 9)]
+    query = (0, [1.0, 0.0], 1)
+
+    def found(*queries):
+        best = learned_partitions.search(spark.createDataFrame([*rows, rows[0], *queries], COLUMNS)).collect()
+        return [r.vec_id for r in sorted(best, key=lambda r: r.rank)]
+
+    # Row 1 is there twice and counts twice, however often the query is there.
+    assert found(query) == found(query, query) == found(*[query] * 5) == [1, 1, 2, 3, 4]
+    # A second vector finds the other end.
+    assert found(query, query, (0, [1.0, 0.081], 1)) == [8, 1, 1, 7, 2]
+
+
 def test_parts_are_balanced():
     rng = np.random.default_rng(4)
     points = rng.normal(size=(800, 8))

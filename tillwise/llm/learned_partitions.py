@@ -14,7 +14,8 @@ among the nearest, so only those are compared.
 
 Cases: vectors that are null, zero or hold null or non-finite components take no part, nor do
 null ids; vectors of other lengths than most of the sample are searched only by queries of their length,
-without partitions; repeated rows are candidates of their own, except for the query's own id; fewer
+without partitions; repeated rows are candidates of their own, except for the query's own id; a query
+on several rows is asked once, and if its vectors differ each is asked and a candidate has the best of its scores; fewer
 candidates give fewer neighbours; an empty table gives an empty result; other columns are ignored.
 """
 
@@ -203,24 +204,28 @@ def nearest(rows: DataFrame, queries: Column, count: int = NEAREST) -> DataFrame
     indexed = stored(indexed.withColumn("part", F.col("parts")[0]), "vector-partitions")
     place = F.xxhash64("vec_id")
     blocks = indexed.groupBy("size", "part").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
-    asked = indexed.filter("asks").select("vec_id", "vector", "size", F.explode("parts").alias("part"))
+    once = indexed.filter("asks").groupBy("vec_id", "vector", "size").agg(F.first("parts").alias("parts"))
+    asked = once.select("vec_id", "vector", "size", F.explode("parts").alias("part"))
     chunks = asked.groupBy("size", "part").agg(F.ceil(F.count(F.lit(1)) / CHUNK).alias("chunks"))
     plan = stored(blocks.join(chunks, ["size", "part"]), "partition-plan")
     each = lambda c: F.explode(F.sequence(F.lit(0).cast("long"), F.col(c) - 1))
     group = ["size", "part", "block", "chunk"]
     row_side = indexed.join(plan, ["size", "part"]).withColumn("block", F.pmod(place, "blocks")).withColumn("chunk", each("chunks"))
     query_side = asked.join(plan, ["size", "part"]).withColumn("chunk", F.pmod(place, "chunks")).withColumn("block", each("blocks"))
-    columns = ["hash", *group, "side", "vec_id", "vector"]
+    columns = ["hash", *group, "side", "vec_id", "asking", "vector"]
+    # Tells the vectors of one query id apart.
+    query_side = query_side.withColumn("asking", F.xxhash64("vector"))
+    row_side = row_side.withColumn("asking", F.lit(0).cast("long"))
     met = query_side.withColumn("side", F.lit(0)).withColumn("hash", F.xxhash64(*group)).select(*columns)
     met = met.unionByName(row_side.withColumn("side", F.lit(1)).withColumn("hash", F.xxhash64(*group)).select(*columns))
     dealt = met.repartition("hash", *group).sortWithinPartitions("hash", *group, "side")
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, asking, queries, best = None, [], None, None
+        key, asking, queries, prints, best = None, [], None, None, None
 
         def result() -> pa.RecordBatch:
-            ids = queries[0][best[0]]
-            return pa.RecordBatch.from_arrays([pa.array(x) for x in (ids, best[1], best[2])], ["query_id", "vec_id", "score"])
+            columns = (queries[0][best[0]], prints[best[0]], best[1], best[2])
+            return pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["query_id", "asking", "vec_id", "score"])
 
         for batch in batches:
             keys = np.column_stack([c.to_numpy().astype(np.int64) for c in batch.columns[:6]])
@@ -231,15 +236,15 @@ def nearest(rows: DataFrame, queries: Column, count: int = NEAREST) -> DataFrame
                 if tuple(keys[i][:5]) != key:
                     if best is not None and len(best[0]):
                         yield result()
-                    key, asking, queries, best = tuple(keys[i][:5]), [], None, None
+                    key, asking, queries, prints, best = tuple(keys[i][:5]), [], None, None, None
                 ids = batch.column(6).slice(i, j - i).to_numpy()
-                vectors = matrix(batch.column(7).slice(i, j - i))
+                vectors = matrix(batch.column(8).slice(i, j - i))
                 if keys[i][5] == 0:
-                    asking.append((ids, vectors))
+                    asking.append((ids, vectors, batch.column(7).slice(i, j - i).to_numpy()))
                 elif asking:
                     if queries is None:
-                        both = [np.concatenate(x) for x in zip(*asking, strict=True)]
-                        queries = (*both, units(both[1]))
+                        query_ids, query_vectors, prints = (np.concatenate(x) for x in zip(*asking, strict=True))
+                        queries = (query_ids, query_vectors, units(query_vectors))
                         best = [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)]
                     few = _distinct(ids, vectors, count + 1)
                     rows = (ids[few], vectors[few], units(vectors[few]))
@@ -249,8 +254,11 @@ def nearest(rows: DataFrame, queries: Column, count: int = NEAREST) -> DataFrame
         if best is not None and len(best[0]):
             yield result()
 
-    scored = dealt.mapInArrow(found, "query_id long, vec_id long, score double")
-    # Rows of one query: at most ``count`` from each block of the partitions it probes.
+    scored = dealt.mapInArrow(found, "query_id long, asking long, vec_id long, score double").repartition("query_id")
+    # Rows of one query: at most ``count`` from each block of the partitions each of its vectors probes.
+    copies = Window.partitionBy("query_id", "asking", "vec_id").orderBy(F.desc("score"))
+    scored = scored.withColumn("copy", F.row_number().over(copies))
+    scored = scored.groupBy("query_id", "vec_id", "copy").agg(F.max("score").alias("score"))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     ranked = scored.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= count)
     return ranked.select("query_id", "rank", "vec_id", "score")
