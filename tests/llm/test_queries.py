@@ -15,7 +15,7 @@ sys.path.insert(0, str(ROOT))
 
 import __spark_entry__ as entry  # noqa: E402
 import corpus_pipeline  # noqa: E402
-from tillwise.llm import byte_bpe, cover_tree, huffman, learned_partitions, oracle, queries, simhash  # noqa: E402
+from tillwise.llm import byte_bpe, cover_tree, huffman, learned_partitions, oracle, queries, simhash, text_overlap  # noqa: E402
 from tillwise.llm.tables import read  # noqa: E402
 from tillwise.sources.workspace import stored  # noqa: E402
 
@@ -29,7 +29,7 @@ def docs(spark):
 
 def test_all_are_registered():
     found = entry.queries()
-    assert {int(n[2:].split("_")[0]) for n in queries.QUERIES} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in queries.QUERIES} == set(range(1, 14))
     assert set(queries.QUERIES) | {"pipeline"} <= set(found)
     assert set(oracle.SQL) <= set(entry.oracle_sql())
 
@@ -38,7 +38,8 @@ def test_all_are_registered():
 def test_sql(spark, name):
     found = queries.QUERIES[name](spark, SMALL).toPandas()
     with duckdb.connect() as base:
-        base.sql(f"create view documents as select * from '{SMALL}/documents.parquet'")
+        for table in ("documents", "benchmark"):
+            base.sql(f"create view {table} as select * from '{SMALL}/{table}.parquet'")
         expected = base.sql(oracle.SQL[name]).df()
     columns = sorted(expected.columns)
     assert sorted(found.columns) == columns
@@ -101,6 +102,22 @@ def test_vectors(spark):
     assert hits >= 0.9 * len(best)
 
 
+def test_whitening(spark):
+    rows = read(spark, SMALL, "embeddings").toPandas()
+    x = np.floor(np.stack(rows.embedding).astype(np.float64) * 256)
+    fit = np.unique(x, axis=0)
+    values, vectors = np.linalg.eigh(np.cov(fit.T, bias=True))
+    found = queries.op11_whitening(spark, SMALL).toPandas()
+    assert len(found) == 4 * len(rows) and set(found.n) == {len(fit)} and found.identity_error.max() < 1e-9
+    for k in range(1, 5):
+        own = found[found.component == k].set_index("vec_id").loc[rows.vec_id]
+        expected = (x - fit.mean(axis=0)) @ vectors[:, -k] / np.sqrt(values[-k])
+        sign = np.sign(expected[0] * own.whitened.iloc[0])
+        assert np.allclose(own.whitened, sign * expected, atol=1e-8) and np.allclose(own.explained, values[-k] / values.sum())
+        deviations = ((len(fit) * x - fit.sum(axis=0)) ** 2).sum(axis=1)
+        assert own.deviation.tolist() == [int(d) for d in deviations]
+
+
 def test_shards_and_classifiers(spark, docs):
     shards = queries.op6_shards(spark, SMALL).toPandas().set_index("doc_id").loc[docs.doc_id]
     assert shards.text_crc32.tolist() == [zlib.crc32(t.encode()) for t in docs.text]
@@ -125,12 +142,13 @@ def test_pipeline(spark, docs):
     kept = known.doc_id.isin(good.doc_id)
     assert kept[known.quality == 1].mean() > 0.95 and kept[known.quality == 0].mean() < 0.2
     assert sorted(lines.doc_id) == sorted(good.doc_id)
-    prints = np.array([simhash.fingerprint(t.encode()) for t in single.text]).view(np.uint64)
-    near = np.bitwise_count(prints[:, None] ^ prints) <= simhash.MOST_BITS
-    assert near.sum() == len(prints)
-    before = np.array([simhash.fingerprint(t.encode()) for t in lines.text]).view(np.uint64)
-    gone = ~lines.doc_id.isin(single.doc_id).to_numpy()
-    assert (np.bitwise_count(before[gone][:, None] ^ before) <= simhash.MOST_BITS).sum(axis=1).min(initial=2) >= 2
+    sets = {i: text_overlap.shingle_set(t.encode()) for i, t in zip(lines.doc_id, lines.text, strict=True)}
+    stay = set(single.doc_id)
+    assert stay < set(sets)
+    for i, own in sets.items():
+        near = [j for j, other in sets.items() if j != i and text_overlap.overlap(own, other)]
+        # What stays is unlike all else that stays, what goes is like something.
+        assert not stay & set(near) if i in stay else near
     assert set(mixed.doc_id) <= set(single.doc_id) and mixed.groupby("doc_id").size().max() <= 2
     text = dict(zip(mixed.doc_id, mixed.text, strict=True))
     assert sorted(encoded.doc_id) == sorted(mixed.doc_id)

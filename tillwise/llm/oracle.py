@@ -3,7 +3,7 @@
 The digest expressions match those of ``mixing`` and ``line_dedup``; see there for the rules.
 """
 
-from tillwise.llm import line_dedup, mixing
+from tillwise.llm import benchmark_search, line_dedup, mixing
 
 _MIX = f"""
 with sized as (
@@ -65,4 +65,45 @@ select d.doc_id,
 from split d left join gone g on d.doc_id = g.doc_id and d.doc_key = g.doc_key
 """
 
-SQL = {"op1_mix_sources": _MIX, "op5_line_dedup": _LINES}
+_A_TO_Z = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+_NEXT = ", ".join(f"lead(word, {k}) over w as w{k}" for k in range(1, benchmark_search.WINDOW))
+
+
+def _occurring(length: int) -> str:
+    window = " || ' ' || ".join(["word", *[f"w{k}" for k in range(1, length)]])
+    return f"""select a.doc, a.place, b.item_id, {length} as length
+      from following a join windows b on b.length = {length} and b.win = {window}"""
+
+
+_BENCHMARK = f"""
+with docs as (
+  select row_number() over () as doc, doc_id,
+    regexp_extract_all(translate(coalesce(text, ''), {_A_TO_Z}), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as words
+  from documents
+), items as (
+  select coalesce(item_id::varchar, '') as item_id,
+    regexp_extract_all(translate(coalesce(text, ''), {_A_TO_Z}), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as words
+  from benchmark
+), starts as (
+  select item_id, words, least(len(words), {benchmark_search.WINDOW}) as length,
+    unnest(range(1, len(words) - least(len(words), {benchmark_search.WINDOW}) + 2)) as place
+  from items where len(words) > 0
+), windows as (
+  select distinct item_id, length, array_to_string(words[place:place + length - 1], ' ') as win from starts
+), placed as (
+  select doc, unnest(words) as word, unnest(range(1, len(words) + 1)) as place from docs
+), following as (
+  select doc, place, word, {_NEXT} from placed window w as (partition by doc order by place)
+), occurring as (
+  {" union all ".join(_occurring(k) for k in range(1, benchmark_search.WINDOW + 1))}
+), hit as (
+  select doc, count(distinct hit_place) as n_hit from (select doc, unnest(range(place, place + length)) as hit_place from occurring) group by doc
+), found as (
+  select doc, count(distinct item_id) as n_items, string_agg(distinct item_id, ',' order by item_id) as ids from occurring group by doc
+)
+select doc_id, len(words)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit, coalesce(n_items, 0)::bigint as n_items,
+  sha256(coalesce(ids, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+from docs left join hit using (doc) left join found using (doc)
+"""
+
+SQL = {"op1_mix_sources": _MIX, "op5_line_dedup": _LINES, "op13_benchmark": _BENCHMARK}

@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillwise.llm import (
+    benchmark_search,
     bin_packing,
     byte_bpe,
     cover_tree,
@@ -12,8 +13,10 @@ from tillwise.llm import (
     line_dedup,
     mixing,
     ordinal_quality,
+    periodic_runs,
     simhash,
     toxic_cnn,
+    whitening,
 )
 from tillwise.llm.tables import read
 from tillwise.sources.workspace import new_folder, stored
@@ -70,6 +73,39 @@ def op10_huffman(spark: SparkSession, sf_dir: str) -> DataFrame:
     return huffman.read_documents(spark, path).select("doc_id", "start", "n_tokens", ids_crc32)
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(read(spark, sf_dir, "embeddings"))
+
+
+def op12_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.without_repeats(periodic_runs.with_planted_repeats(read(spark, sf_dir, "documents")))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", *[r[n].cast("string") for n in ("start", "length", "period")]), F.lit("\n")))
+    top = F.col("strongest")
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        *[top[n].alias(n) for n in ("start", "length", "period")],
+        F.floor(top["length"] * 1000 / top["period"]).alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op13_benchmark(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = benchmark_search.occurrences(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda total, s: total + s["end"] - s["begin"])
+    # A null id is written as an empty string.
+    ids = F.sort_array(F.transform("items", lambda i: F.coalesce(i.cast("string"), F.lit(""))))
+    return found.select(
+        "doc_id",
+        "n_words",
+        n_hit.alias("n_hit"),
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join(ids, ","), 256).alias("items_sha256"),
+        (F.size("spans") > 0).alias("contaminated"),
+    )
+
+
 QUERIES = {
     q.__name__: q
     for q in (
@@ -83,5 +119,8 @@ QUERIES = {
         op8_cover_tree,
         op9_simhash,
         op10_huffman,
+        op11_whitening,
+        op12_runs,
+        op13_benchmark,
     )
 }
