@@ -205,10 +205,12 @@ def near_dedup(docs: DataFrame) -> DataFrame:
 def one_of_each(docs: DataFrame, found: DataFrame) -> DataFrame:
     """The document of each class of ``found`` that stays."""
     first = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    keep = first.groupBy("root").agg(F.min(F.struct("doc_id", "doc_key")).alias("keep")).select("keep")
+    rows = first.groupBy("root", "doc_id", "doc_key").agg(F.count(F.lit(1)).alias("n"))
+    keep = rows.groupBy("root").agg(F.min(F.struct("doc_id", "doc_key", "n")).alias("keep")).select("keep.*")
     text = F.col("doc.text")
     same = F.col("doc.doc_id").eqNullSafe(F.col("keep.doc_id")) & text_key(text).eqNullSafe(F.col("keep.doc_key"))
-    kept = docs.select(F.struct("*").alias("doc")).join(keep, same, "left_semi")
-    # Rows equal in id and text are one class; one of them stays.
-    one = kept.groupBy(F.col("doc.doc_id"), text_key(text)).agg(F.min("doc").alias("doc"))
-    return one.select("doc.*")
+    kept = stored(docs.select(F.struct("*").alias("doc")).join(keep.alias("keep"), same).select("doc", "n"), "kept-rows")
+    # Rows equal in id and text are one class; the first of them as JSON stays, which any column has.
+    again = kept.filter("n > 1").withColumn("json", F.to_json("doc"))
+    one = again.groupBy(F.col("doc.doc_id"), text_key(text)).agg(F.min_by("doc", "json").alias("doc"))
+    return kept.filter("n = 1").select("doc.*").unionByName(one.select("doc.*"))
