@@ -2,8 +2,10 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pytest
 
 from tillwise.llm import bin_packing
+from tillwise.sources.workspace import stored
 
 
 def checked(rows, out):
@@ -43,6 +45,27 @@ def test_a_group_larger_than_a_shard_is_split(documents):
     assert load.max() - load.min() <= 0.05 * load.mean()
 
 
+@pytest.mark.parametrize("doc_id", [7, None])
+def test_repeated_rows_of_one_id_are_split(documents, doc_id):
+    """Half of all rows are one row again and again, or have one text and no id."""
+    rows = [(doc_id, "one text in half of all rows", "s")] * 1500 + [(5000 + i, f"own {i}" * 4, "s") for i in range(1500)]
+    docs = documents(rows).repartition(7)
+    out = bin_packing.pack_documents(docs).collect()
+    load = checked(rows, out)
+    assert load.max() - load.min() <= 0.05 * load.mean()
+    again = bin_packing.pack_documents(docs.repartition(3)).collect()
+    assert Counter((r.doc_id, r.shard, r.slot) for r in out) == Counter((r.doc_id, r.shard, r.slot) for r in again)
+
+
+def test_lots_of_a_hot_id_are_small(spark, documents, monkeypatch):
+    """No lot, which one task sorts, has more than a few times its share."""
+    monkeypatch.setattr(bin_packing, "LOTS", 64)
+    docs = documents([(1, "hot", "s")] * 3000 + [(i, f"text {i}", "s") for i in range(3000)])
+    assert dict(bin_packing.pack_documents(docs).dtypes)["slot"] == "bigint"
+    plan = bin_packing.packed(stored(bin_packing.sized(docs), "sized"))
+    assert plan.groupBy("item", "part").count().agg({"count": "max"}).first()[0] < 4 * 6000 / 64
+
+
 def test_placing_prefers_the_largest_dot_product():
     sizes = np.array([[10, 1, 1]] * 16 + [[1, 10, 1]] * 16 + [[1, 1, 10]] * 16, float)
     shards = bin_packing.place(sizes)

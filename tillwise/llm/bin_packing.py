@@ -7,11 +7,12 @@ product of its sizes with the residual capacity is highest.
 Placing is sequential, so it works on a bounded list: groups above 1 / ``LOTS`` of any total stand
 alone (at most 3 * ``LOTS`` of them, as each dimension has at most ``LOTS``), the others
 are put together by hash into ``LOTS`` bundles.  Groups with many rows are cut into lots of about
-1 / ``LOTS`` of all rows, so that numbering rows inside lots never sorts a large group in one task.
+1 / ``LOTS`` of all rows, so that numbering rows inside lots never sorts a large group in one task: by their ids, and
+where one id (or none) has more rows than a lot, by the copy's number, which is counted inside the tasks first.
 Lots, at most 5 * ``LOTS`` plus pieces, are all that comes to the driver and all that is broadcast.
 
 Cases: a null text has no bytes or tokens, size 1 and checksum 0, and its group is apart from the
-empty text's; repeated rows are rows of their own; null doc_ids are allowed; an empty table
+empty text's; repeated rows are rows of their own; null doc_ids are an id like others; an empty table
 gives an empty result; other columns are not part of the result.
 """
 
@@ -20,7 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillwise.llm.tables import text_key, word_count
+from tillwise.llm.tables import numbered, text_key, word_count
 from tillwise.sources.workspace import stored
 
 SHARDS = 16
@@ -30,7 +31,7 @@ WEIGHTS = (4.0, 1.0, 1.0)
 
 
 def sized(docs: DataFrame) -> DataFrame:
-    """doc_id, size, tokens, text_crc32 and group_key of every document."""
+    """doc_id, size, tokens, text_crc32, group_key and row (a number of its own) of every document."""
     raw = F.col("text").cast("binary")
     return docs.select(
         "doc_id",
@@ -38,6 +39,7 @@ def sized(docs: DataFrame) -> DataFrame:
         word_count(F.col("text")).alias("tokens"),
         F.coalesce(F.crc32(raw), F.lit(0)).cast("long").alias("text_crc32"),
         F.coalesce(text_key(F.col("text")), F.lit("null")).alias("group_key"),
+        F.monotonically_increasing_id().alias("row"),
     )
 
 
@@ -58,6 +60,23 @@ def place(sizes: np.ndarray, shards: int = SHARDS) -> np.ndarray:
     return out
 
 
+def _with_copies(known: DataFrame) -> DataFrame:
+    """``copy``: from 0 on for rows that share group and id, where they are more than a lot or piece; else 0.
+
+    Rows that share both are alike, so it does not matter which of them has which number.
+    """
+    grouped = known.filter("pieces is not null").groupBy("group_key", "doc_id", "pieces", "parts", "group_rows")
+    # At most as many as there are lots and pieces.
+    often = grouped.agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") * F.greatest("pieces", "parts") > F.col("group_rows"))
+    often = stored(often.select(F.col("group_key").alias("often_key"), F.col("doc_id").alias("often_id")), "often-repeated")
+    same = (F.col("group_key") == F.col("often_key")) & F.col("doc_id").eqNullSafe(F.col("often_id"))
+    task = F.shiftright("row", 33).alias("task")
+    alike = known.join(F.broadcast(often), same).select(*known.columns)
+    counted = numbered(alike, "group_key", "doc_id")
+    rest = known.join(F.broadcast(often), same, "left_anti").withColumn("copy", F.lit(0).cast("long"))
+    return rest.unionByName(counted)
+
+
 def packed(rows: DataFrame, shards: int = SHARDS) -> DataFrame:
     """The rows of ``sized`` with shard and slot (gapless from 0 in each shard)."""
     spark = rows.sparkSession
@@ -73,19 +92,21 @@ def packed(rows: DataFrame, shards: int = SHARDS) -> DataFrame:
             "group_key",
             F.when(largest * shards > 1, F.ceil(largest * shards * 4)).otherwise(1).cast("int").alias("pieces"),
             F.ceil(F.col("rows") * LOTS / all_rows).cast("int").alias("parts"),
+            F.col("rows").alias("group_rows"),
         ),
         "heavy-groups",
     )
     # At most 3 * LOTS rows; see above.
-    known = rows.join(F.broadcast(heavy), "group_key", "left")
+    known = _with_copies(rows.join(F.broadcast(heavy), "group_key", "left"))
     pieces = F.coalesce("pieces", F.lit(1))
-    part = F.pmod(F.xxhash64("doc_id"), pieces * F.ceil(F.coalesce("parts", F.lit(1)) / pieces)).cast("int")
+    n_parts = pieces * F.ceil(F.coalesce("parts", F.lit(1)) / pieces)
+    part = F.pmod(F.pmod(F.xxhash64("doc_id"), n_parts) + F.col("copy"), n_parts).cast("int")
     bundle = F.concat(F.lit("bundle-"), F.pmod(F.xxhash64("group_key"), F.lit(LOTS)).cast("string"))
     dealt = (
         known.withColumn("part", F.when(F.col("pieces").isNull(), 0).otherwise(part))
         .withColumn("item", F.when(F.col("pieces").isNull(), bundle).otherwise(F.col("group_key")))
         .withColumn("piece", F.pmod("part", pieces))
-        .drop("pieces", "parts")
+        .drop("pieces", "parts", "group_rows", "copy")
     )
     lots = dealt.groupBy("item", "piece", "part").agg(*_sums()).toPandas()
     lots = lots.sort_values(["item", "piece", "part"]).reset_index(drop=True)
@@ -97,7 +118,7 @@ def packed(rows: DataFrame, shards: int = SHARDS) -> DataFrame:
     table = spark.createDataFrame(chosen, "item string, part int, shard int, first long")
     order = Window.partitionBy("item", "part").orderBy("group_key", F.col("doc_id").asc_nulls_first(), "size")
     placed = dealt.withColumn("inside", F.row_number().over(order) - 1).join(F.broadcast(table), ["item", "part"])
-    return placed.withColumn("slot", (F.col("first") + F.col("inside")).cast("int"))
+    return placed.withColumn("slot", (F.col("first") + F.col("inside")).cast("long"))
 
 
 def pack_documents(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
