@@ -5,29 +5,31 @@ are a weighted sample without replacement.  A source whose target exceeds its si
 taken whole as often as it fits (complete epochs); the rest is filled by the documents with
 the smallest keys, up to the budget.
 
-Prefix sums need no sort of a whole source: keys are cut into buckets of about
-``ROWS_PER_BUCKET`` rows, bucket totals are summed up, and only the one bucket of each source
-in which the budget ends is sorted, without its texts.  The rest is one comparison of each
-document's key with its source's plan.  A source with a third of all rows just has more buckets.
-
-Cases: an empty table gives an empty result; null texts have size 0; a null source is a source
-of its own, last in order; documents without a positive weight get ``LEAST_WEIGHT``; repeated
-rows are taken alike; other columns, whatever their names, are
-kept by ``mix_documents`` and not part of ``mix_amounts``.
+Prefix sums need no sort of a whole source: the range of keys in which the budget ends is cut into ``PARTS`` parts, their
+totals are summed up, and the part in which it ends is the next range, until it holds at most ``SORTED_ROWS`` rows.  Only
+these are sorted, without their texts.  The rest is one comparison of each document's key with its source's plan.  A
+source with a third of all rows, or weights as unlike as can be, takes a few turns more.
+
+Cases: an empty table gives an empty result; null texts have size 0; a null source is a source of its own, last in order;
+documents without a positive weight get ``LEAST_WEIGHT``; rows repeated in id, text and source get a key each, so any
+number of them may be taken; other columns, whatever their names, are kept by ``mix_documents`` and not part of
+``mix_amounts``.
 """
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillwise.llm.tables import text_key, word_count
+from tillwise.llm.tables import numbered, text_key, word_count
 from tillwise.sources.workspace import stored
 
 SOURCE_WEIGHTS = (3, 1, 2)
 SHARE = 1.5
 MOST_EPOCHS = 2.0
-ROWS_PER_BUCKET = 10_000
+SORTED_ROWS = 10_000
+PARTS = 256
 LEAST_WEIGHT = 0.05
 SEED = "mix-1"
 
@@ -39,25 +41,51 @@ def letter_share(text: Column) -> Column:
     return F.coalesce(F.greatest(share, F.lit(LEAST_WEIGHT)), F.lit(LEAST_WEIGHT))
 
 
-def _uniform(doc_id: Column, text: Column, seed: str) -> Column:
-    """In (0, 1], from 52 bits of a digest of the document; equal on every run."""
-    digest = F.md5(F.concat_ws("|", F.lit(seed), doc_id.cast("string"), text_key(text)))
+def _uniform(doc_id: Column, key: Column, copy: Column, seed: str) -> Column:
+    """In (0, 1], from 52 bits of a digest of the document (and the copy's number above 0); equal on every run."""
+    again = F.when(copy > 0, copy.cast("string"))
+    digest = F.md5(F.concat_ws("|", F.lit(seed), doc_id.cast("string"), key, again))
     return (F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") + 1) / float(2**52)
 
 
-def keyed(docs: DataFrame, weight: Column | None = None, seed: str = SEED) -> DataFrame:
-    """Only what the plan needs of each document."""
+def _slim(docs: DataFrame, weight: Column | None) -> DataFrame:
+    """What the plan needs of each document, without keys."""
     weight = letter_share(F.col("text")) if weight is None else weight
-    weight = F.when(weight > 0, weight).otherwise(LEAST_WEIGHT)
     return docs.select(
         F.col("doc_id"),
         F.col("source").alias("mix_source"),
+        text_key(F.col("text")).alias("mix_text"),
         word_count(F.col("text")).alias("mix_size"),
-        weight.alias("mix_weight"),
-        (-F.log(_uniform(F.col("doc_id"), F.col("text"), seed)) / weight).alias("mix_key"),
+        F.when(weight > 0, weight.cast("double")).otherwise(LEAST_WEIGHT).alias("mix_weight"),
     )
 
 
+_SAME = ("doc_id", "mix_text", "mix_source")
+
+
+def _alike(rows: DataFrame, repeated: DataFrame) -> Column:
+    return reduce(Column.__and__, [rows[c].eqNullSafe(repeated[f"again_{c}"]) for c in _SAME])
+
+
+def _with_keys(rows: DataFrame, repeated: DataFrame, seed: str, purpose: str) -> DataFrame:
+    """``rows`` (with the columns of ``_slim``) and their ``mix_key``; ``repeated`` names those that are not alone."""
+    key = (-F.log(_uniform(F.col("doc_id"), F.col("mix_text"), F.col("copy"), seed)) / F.col("mix_weight")).alias("mix_key")
+    if repeated.isEmpty():
+        return rows.withColumn("copy", F.lit(0)).select(*rows.columns, key)
+    alone = rows.join(repeated, _alike(rows, repeated), "left_anti").withColumn("copy", F.lit(0).cast("long"))
+    again = rows.join(repeated, _alike(rows, repeated), "left_semi").withColumn("row", F.monotonically_increasing_id())
+    again = numbered(stored(again, purpose), *_SAME).drop("row")
+    return alone.unionByName(again).select(*rows.columns, key)
+
+
+def keyed(docs: DataFrame, weight: Column | None = None, seed: str = SEED) -> tuple[DataFrame, DataFrame]:
+    """The stored rows that the plan needs, with their keys, and which documents are on more than one row."""
+    slim = stored(_slim(docs, weight), "mix-sizes")
+    repeated = slim.groupBy(*_SAME).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    repeated = stored(repeated.select(*[F.col(c).alias(f"again_{c}") for c in _SAME]), "mix-repeated")
+    return stored(_with_keys(slim, repeated, seed, "mix-copies").drop("mix_text"), "mix-keys"), repeated
+
+
 def source_targets(
     slim: DataFrame,
     weights: Sequence[int] = SOURCE_WEIGHTS,
@@ -74,7 +102,8 @@ def source_targets(
     sums = slim.groupBy("mix_source").agg(
         F.sum("mix_size").alias("source_size"),
         F.count(F.lit(1)).alias("source_rows"),
-        F.avg("mix_weight").alias("mean_weight"),
+        F.min("mix_key").alias("low"),
+        F.max("mix_key").alias("high"),
     )
     place = F.row_number().over(Window.orderBy(F.col("mix_source").asc_nulls_last())) - 1
     turn = F.element_at(F.array(*[F.lit(w) for w in weights]), (place % len(weights) + 1).cast("int"))
@@ -91,18 +120,45 @@ def source_targets(
         "mix_source",
         "source_size",
         "source_rows",
-        "mean_weight",
+        "low",
+        "high",
         F.least(F.col("cap"), final * F.col("share_weight")).alias("target"),
     )
 
 
-def _placed(rows: DataFrame, plan: DataFrame) -> DataFrame:
-    """Rows with their source's plan and their bucket; buckets ascend with the key."""
-    fraction = 1 - F.exp(-F.col("mix_key") * F.col("mean_weight"))
-    buckets = F.ceil(F.col("source_rows") / ROWS_PER_BUCKET)
-    plan = plan.withColumnRenamed("mix_source", "plan_source")
-    joined = rows.join(plan, F.col("mix_source").eqNullSafe(F.col("plan_source")))
-    return joined.withColumn("mix_bucket", F.floor(fraction * buckets)).drop("plan_source")
+def _in_range(slim: DataFrame, edges: DataFrame) -> DataFrame:
+    """Rows whose key lies in the range of their source, with its plan."""
+    plan = edges.withColumnRenamed("mix_source", "plan_source")
+    joined = slim.join(plan, F.col("mix_source").eqNullSafe(F.col("plan_source")))
+    return joined.filter(F.col("mix_key").between(F.col("low"), F.col("high")))
+
+
+def _narrowed(slim: DataFrame, edges: DataFrame) -> DataFrame:
+    """Edges whose range is the part of the old one in which the budget ends (none where it ends nowhere)."""
+    width = F.greatest(F.col("high") - F.col("low"), F.lit(1e-300))
+    part = F.least(F.floor((F.col("mix_key") - F.col("low")) / width * PARTS), F.lit(PARTS - 1)).alias("part")
+    sums = (
+        _in_range(slim, edges)
+        .groupBy("plan_source", "rest", "before", part)
+        .agg(
+            F.sum("mix_size").alias("words"),
+            F.count(F.lit(1)).alias("rows"),
+            F.min("mix_key").alias("part_low"),
+            F.max("mix_key").alias("part_high"),
+        )
+    )
+    upto = Window.partitionBy("plan_source").orderBy("part").rowsBetween(Window.unboundedPreceding, 0)
+    ends = (
+        sums.withColumn("through", F.col("before") + F.sum("words").over(upto))
+        .filter(F.col("through") > F.col("rest"))
+        .groupBy("plan_source")
+        .agg(F.min_by(F.struct("part_low", "part_high", "rows", (F.col("through") - F.col("words")).alias("until")), "part").alias("end"))
+    )
+    joined = edges.join(ends, F.col("mix_source").eqNullSafe(F.col("plan_source")), "left")
+    kept = [c for c in edges.columns if c not in ("low", "high", "rows", "before")]
+    return joined.select(
+        *kept, F.col("end.part_low").alias("low"), F.col("end.part_high").alias("high"), F.col("end.rows").alias("rows"), F.col("end.until").alias("before")
+    )
 
 
 def mixing_plan(slim: DataFrame, **targets) -> DataFrame:
@@ -110,50 +166,39 @@ def mixing_plan(slim: DataFrame, **targets) -> DataFrame:
 
     The document at the budget's edge is taken when that comes nearer to the budget.
     """
-    goals = stored(source_targets(slim, **targets), "mix-targets")
     size = F.greatest(F.col("source_size"), F.lit(1))
-    goals = goals.withColumn("epochs", F.floor(F.col("target") / size)).withColumn(
-        "rest", F.col("target") - F.col("epochs") * F.col("source_size")
-    )
-    sums = _placed(slim, goals).groupBy("mix_source", "rest", "mix_bucket").agg(F.sum("mix_size").alias("words"))
-    upto = Window.partitionBy("mix_source").orderBy("mix_bucket").rowsBetween(Window.unboundedPreceding, 0)
-    ends = (
-        sums.withColumn("through", F.sum("words").over(upto))
-        .filter(F.col("through") > F.col("rest"))
-        .groupBy(F.col("mix_source").alias("end_source"))
-        .agg(
-            F.min("mix_bucket").alias("end_bucket"),
-            F.min_by(F.col("through") - F.col("words"), "mix_bucket").alias("end_before"),
-        )
-    )
-    ended = goals.join(ends, F.col("mix_source").eqNullSafe(F.col("end_source")), "left").drop("end_source")
-    ended = stored(ended, "mix-ends")
-    # One bucket of each source, and of it only keys and sizes.
+    goals = source_targets(slim, **targets).withColumn("epochs", F.floor(F.col("target") / size))
+    goals = goals.withColumn("rest", F.col("target") - F.col("epochs") * F.col("source_size"))
+    edges = goals.withColumn("rows", F.col("source_rows")).withColumn("before", F.lit(0.0))
+    edges = stored(_narrowed(slim, stored(edges, "mix-targets")), "mix-edges")
+    # Each turn leaves about one of ``PARTS`` rows; a range of one key cannot be cut.
+    while edges.filter((F.col("rows") > SORTED_ROWS) & (F.col("low") < F.col("high"))).limit(1).count():
+        edges = stored(_narrowed(slim, edges), "mix-edges")
+    # One short range of each source, and of it only keys and sizes.
     order = [F.col("mix_key"), F.col("doc_id").asc_nulls_last(), F.col("mix_size")]
-    in_order = Window.partitionBy("mix_source", "mix_bucket").orderBy(*order)
-    running = F.sum("mix_size").over(in_order.rowsBetween(Window.unboundedPreceding, 0))
-    edge = _placed(slim, ended).filter(F.col("mix_bucket") == F.col("end_bucket")).withColumn("running", running)
+    running = F.sum("mix_size").over(Window.partitionBy("mix_source").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
+    edge = _in_range(slim, edges).withColumn("running", running)
     cuts = (
-        edge.filter(F.col("end_before") + F.col("running") - F.col("mix_size") / 2 <= F.col("rest"))
+        edge.filter(F.col("before") + F.col("running") - F.col("mix_size") / 2 <= F.col("rest"))
         .groupBy(F.col("mix_source").alias("cut_source"))
         .agg(F.max("mix_key").alias("cut_key"))
     )
-    plan = ended.join(cuts, F.col("mix_source").eqNullSafe(F.col("cut_source")), "left").drop("cut_source")
+    plan = edges.join(cuts, F.col("mix_source").eqNullSafe(F.col("cut_source")), "left").drop("cut_source")
     return stored(plan, "mix-plan")
 
 
 def copies(rows: DataFrame, plan: DataFrame) -> DataFrame:
     """``rows`` (with mix_source and mix_key) and how often the mix takes each: ``mix_copies``."""
-    once_more = (F.col("mix_bucket") < F.col("end_bucket")) | (
-        (F.col("mix_bucket") == F.col("end_bucket")) & (F.col("mix_key") <= F.col("cut_key"))
-    )
+    once_more = (F.col("mix_key") < F.col("low")) | (F.col("mix_key") <= F.col("cut_key"))
     extra = F.coalesce(once_more, F.lit(False)).cast("long")
-    return _placed(rows, plan).withColumn("mix_copies", F.col("epochs") + extra)
+    plan = plan.withColumnRenamed("mix_source", "plan_source")
+    joined = rows.join(plan, F.col("mix_source").eqNullSafe(F.col("plan_source")))
+    return joined.withColumn("mix_copies", F.col("epochs") + extra)
 
 
 def mix_amounts(docs: DataFrame, weight: Column | None = None, **targets) -> DataFrame:
     """doc_id, source, size, source_size, target, epochs, copies and taken (words) of every document."""
-    slim = stored(keyed(docs, weight), "mix-keys")
+    slim, _ = keyed(docs, weight)
     taken = copies(slim, mixing_plan(slim, **targets))
     return taken.select(
         "doc_id",
@@ -169,15 +214,18 @@ def mix_amounts(docs: DataFrame, weight: Column | None = None, **targets) -> Dat
 
 def mix_documents(docs: DataFrame, weight: Column | None = None, **targets) -> DataFrame:
     """The mix itself: each document as many times as it is taken, with the columns of ``docs``."""
-    plan = mixing_plan(stored(keyed(docs, weight), "mix-keys"), **targets)
-    weight = letter_share(F.col("text")) if weight is None else weight
-    weight = F.when(weight > 0, weight).otherwise(LEAST_WEIGHT)
+    slim, repeated = keyed(docs, weight)
+    plan = mixing_plan(slim, **targets)
     # The document travels as one struct, so no name of its columns can clash.
+    weight = letter_share(F.col("text")) if weight is None else weight
     rows = docs.select(
         F.struct("*").alias("mix_doc"),
+        F.col("doc_id"),
         F.col("source").alias("mix_source"),
-        (-F.log(_uniform(F.col("doc_id"), F.col("text"), SEED)) / weight).alias("mix_key"),
+        text_key(F.col("text")).alias("mix_text"),
+        F.when(weight > 0, weight.cast("double")).otherwise(LEAST_WEIGHT).alias("mix_weight"),
     )
-    taken = copies(rows, plan).filter("mix_copies > 0")
-    repeated = taken.select("mix_doc", F.explode(F.sequence(F.lit(1), F.col("mix_copies").cast("int"))))
-    return repeated.select("mix_doc.*")
+    # Documents on more than one row are alike, so the plan holds whichever of them has which number.
+    taken = copies(_with_keys(rows, repeated, SEED, "mix-repeated-docs"), plan).filter("mix_copies > 0")
+    taken_doc = taken.select("mix_doc", F.explode(F.sequence(F.lit(1), F.col("mix_copies").cast("int"))))
+    return taken_doc.select("mix_doc.*")

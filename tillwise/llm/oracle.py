@@ -12,10 +12,12 @@ with sized as (
     greatest({mixing.LEAST_WEIGHT}::double, coalesce(length(regexp_replace(text, '[^A-Za-z]', '', 'g'))::double
       / greatest(length(text), 1), 0)) as weight
   from documents
+), numbered as (
+  select *, row_number() over (partition by source, doc_id, text) - 1 as copy from sized
 ), keyed as (
-  select *, -ln((('0x' || substr(md5(concat_ws('|', '{mixing.SEED}', doc_id::varchar, md5(text))), 1, 13))::bigint
+  select *, -ln((('0x' || substr(md5(concat_ws('|', '{mixing.SEED}', doc_id::varchar, md5(text), nullif(copy, 0)::varchar)), 1, 13))::bigint
     ::double + 1) / 4503599627370496.0::double) / weight as key
-  from sized
+  from numbered
 ), sums as (select source, sum(size)::bigint as source_size from keyed group by source
 ), ranked as (
   select *, [3, 1, 2][((row_number() over (order by source nulls last) - 1) % 3) + 1] as w, source_size * 2.0::double as cap
