@@ -3,10 +3,11 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 
-from tillwise.llm import huffman
+from tillwise.llm import huffman, pieces
 from tillwise.sources.workspace import new_folder, stored
 
 
@@ -75,6 +76,47 @@ def test_files_hold_what_was_written(spark, documents, odd_rows, monkeypatch):
     assert not found
 
 
+#: Signs, marks, letters whose lower case or composed form holds a mark, special tokens in whole and in part.
+ODD = (
+    ". , ' \" - ! … ? <|endoftext|> <|startoftext|> <|ENDOFTEXT|> <|endof <| |> İ I ı ß ẞ é e\u0301 \u0307 \u0323 \u0958 \ufb1d \u0915\u093c ﬁ ǅ Ω Å "
+    "'s 'LL it's 42 ４２ ² ½ 日本 한국 \u1112\u1161 😀 👩\u200d👩 \u200b \ufeff a B word Word. end, x.y a,b .. ,, \x1f \x85 \xa0 \u3000 \u2028 \t \r \x0b"
+).split(" ")
+
+
+@pytest.mark.parametrize("known_bytes", [pieces.KNOWN_BYTES, 5000])
+def test_ids_are_the_library_s(monkeypatch, known_bytes):
+    """50,000 odd texts; once with a table of known pieces that is full all the time."""
+    from tokenizers import Tokenizer
+
+    monkeypatch.setattr(pieces, "KNOWN_BYTES", known_bytes)
+    path, rng = public_tokenizers.path(huffman.DEFINITION), random.Random(known_bytes)
+    known = Tokenizer.from_file(path)
+    with open(path, encoding="utf-8") as file:
+        state = pieces.encoder_state(file.read(), huffman.PLAIN, "H", special_as_text=False, word_end="</w>")
+    encoder = pieces.PieceEncoder(state)
+    join = lambda: "".join(rng.choice(ODD) + rng.choice(["", "", " ", "\n", "  "]) for _ in range(rng.randrange(9)))
+    texts = [join() for _ in range(50_000 if known_bytes > 5000 else 5000)] + ["long" * 40 + " " + "日本" * 200]
+    for at in range(0, len(texts), 2500):
+        part = texts[at : at + 2500]
+        expected = [e.ids for e in known.encode_batch(part, add_special_tokens=False)]
+        found = [np.frombuffer(b, "H").tolist() for b in pieces.encode_words(encoder, pa.array(part))]
+        assert [t for t, x, y in zip(part, found, expected, strict=True) if x != y] == []
+    assert max(map(len, state["recent"]), default=0) <= pieces.LONG
+
+
+def test_known_pieces_are_bounded_by_bytes(monkeypatch):
+    """Texts without spaces are pieces of their own and are not kept; many short ones push out the older."""
+    monkeypatch.setattr(pieces, "KNOWN_BYTES", 20_000)
+    with open(public_tokenizers.path(huffman.DEFINITION), encoding="utf-8") as file:
+        state = pieces.encoder_state(file.read(), huffman.PLAIN, "H", special_as_text=False, word_end="</w>")
+    encoder = pieces.PieceEncoder(state)
+    for k in range(50):
+        texts = pa.array([f"{chr(0x4E00 + k) * 500}{i} word{k}x{i}" for i in range(50)])
+        pieces.encode_words(encoder, texts)
+        kept = [*state["recent"].items(), *state["earlier"].items()]
+        assert sum(len(p) + len(i) + pieces.ENTRY_BYTES for p, i in kept) < 3 * 20_000 and max(len(p) for p, _ in kept) <= pieces.LONG
+
+
 def test_null_ids_repeated_rows_and_empty_tables(spark, documents, odd_rows):
     found = files(spark, documents(odd_rows)).collect()
     assert len(found) == len(odd_rows)

@@ -10,7 +10,7 @@ A folder holds two Parquet tables, written by Spark's committer: ``codebook`` (i
 ``blocks`` (part, block, first, doc_ids, doc_tokens, n_ids, checkpoints, payload); first is the
 number of ids in the part before the block.  Parts follow each other in doc_id order.
 
-Cases: null and empty texts have the end id alone; null doc_ids come first; documents with one
+Cases: strings of special tokens in a text are those tokens, as the library has it; null and empty texts have the end id alone; null doc_ids come first; documents with one
 doc_id stand together, ordered by a hash of their ids; repeated rows are written each; an empty
 table gives files without blocks; other columns are not stored.
 """
@@ -47,7 +47,10 @@ def token_ids(docs: DataFrame, path: str | None = None, end_id: int = END_ID) ->
     with open(path or public_tokenizers.path(DEFINITION), encoding="utf-8") as file:
         definition = file.read()
     largest = max([end_id, *json.loads(definition)["model"]["vocab"].values()])
-    encoder = docs.sparkSession.sparkContext.broadcast(encoder_state(definition, PLAIN, "H" if largest < 2**16 else "I"))
+    typecode = "H" if largest < 2**16 else "I"
+    encoder = docs.sparkSession.sparkContext.broadcast(
+        encoder_state(definition, PLAIN, typecode, special_as_text=False, word_end=json.loads(definition)["model"]["end_of_word_suffix"])
+    )
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, codec = PieceEncoder(encoder.value), pa.Codec("zstd", 1)

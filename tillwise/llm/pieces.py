@@ -9,17 +9,22 @@ pieces, whose size is bounded, beside it for all its tasks.
 import json
 import os
 import re
+import unicodedata
 from array import array
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: A worker remembers up to about twice as many pieces, those in use longest.
-KNOWN_PIECES = 250_000
+#: A worker remembers pieces of up to about twice as many bytes, those in use longest; no piece of more than ``LONG`` letters.
+KNOWN_BYTES = 16 << 20
+LONG = 64
+#: What an entry takes besides its letters and ids.
+ENTRY_BYTES = 200
 #: Bytes of text that are worked on at once (a longer text alone).
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 2 << 20
 
 #: White space other than the space and the newline.
 _RARE_SPACE = "\\t\\r\\f\\x0b\\x1c-\\x1f\\x{85}\\x{a0}\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}"
@@ -28,13 +33,29 @@ _IRREGULAR = f"[ \\n][ \\n]|^[ \\n]|[ \\n]$|[{_RARE_SPACE}]"
 _BEFORE_WORD = re.compile(r"(?<=\S)(?= \S)")
 
 
-def encoder_state(definition: str, plain: str, typecode: str = "I") -> dict:
+def encoder_state(definition: str, plain: str, typecode: str = "I", *, special_as_text: bool = True, word_end: str | None = None) -> dict:
     """What to broadcast for a tokenizer file's content; ``typecode`` as in array: "H" or "I" for 16 or 32 bits.
 
     Pieces that match the pattern ``plain`` are not changed by the tokenizer's normalizer and not
-    cut by its pattern.  A plain dict, which every worker fills with its tokenizers and known pieces.
+    cut by its pattern.  With ``word_end``, the last token of each of them and no other ends so, and spaces separate
+    pieces, so many go through the tokenizer as one text.  ``special_as_text``: strings of special tokens in a text are
+    ordinary text.  A plain dict, which every worker fills with its tokenizers and known pieces.
     """
-    return {"definition": definition, "plain": plain, "typecode": typecode, "recent": {}, "earlier": {}}
+    ends = None
+    if word_end:
+        vocabulary = json.loads(definition)["model"]["vocab"]
+        ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        ends[[i for name, i in vocabulary.items() if name.endswith(word_end)]] = True
+    own = {"plain": plain, "typecode": typecode, "special_as_text": special_as_text, "ends": ends, "loose": _loose_letters()}
+    return {"definition": definition, **own, "recent": {}, "earlier": {}, "held": 0}
+
+
+@lru_cache(maxsize=1)
+def _loose_letters() -> str:
+    """Letters of which composing or lower-casing makes a mark, which belongs to the signs that follow."""
+    every = (chr(c) for c in range(0x80, 0x30000) if not 0xD800 <= c < 0xE000)
+    marks = lambda c: any(unicodedata.category(x)[0] == "M" for x in c)
+    return "".join(c for c in every if not marks(c) and marks(unicodedata.normalize("NFC", c).lower()))
 
 
 class PieceEncoder:
@@ -50,7 +71,7 @@ class PieceEncoder:
             from tokenizers import Tokenizer
 
             whole = Tokenizer.from_str(self.state["definition"])
-            whole.encode_special_tokens = True  # their strings in a text are ordinary text
+            whole.encode_special_tokens = self.state["special_as_text"]
             bytes_only = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}
             known = json.loads(self.state["definition"]) | {"normalizer": None, "pre_tokenizer": bytes_only}
             self.state["tokenizers"] = (whole, Tokenizer.from_str(json.dumps(known)))
@@ -62,22 +83,41 @@ class PieceEncoder:
             for piece, found in zip(part, tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
                 into[piece] = array(self.typecode, found.ids).tobytes()
 
+    def _encode_plain(self, whole, straight, pieces: list[str], into: dict) -> None:
+        if self.state["ends"] is None:
+            return self._encode(straight, pieces, into)
+        size = np.dtype(self.typecode).itemsize
+        for at in range(0, len(pieces), 8192):
+            part = pieces[at : at + 8192]
+            lines = [" ".join(part[i : i + 256]) for i in range(0, len(part), 256)]
+            ids = np.array([i for e in whole.encode_batch_fast(lines, add_special_tokens=False) for i in e.ids], self.typecode)
+            cuts = (np.flatnonzero(self.state["ends"][ids]) + 1) * size
+            if len(cuts) != len(part):
+                raise ValueError("a token inside a piece ends like a word")
+            raw, begin = ids.tobytes(), 0
+            for piece, end in zip(part, cuts.tolist(), strict=True):
+                into[piece] = raw[begin:end]
+                begin = end
+
     def ids_of(self, pieces: list[str]) -> list[bytes]:
         """The ids of each piece as packed numbers."""
         state = self.state
-        if len(state["recent"]) > KNOWN_PIECES:
+        if state["held"] > KNOWN_BYTES:
             # What is still in use comes back from the earlier pieces; what is not goes next time.
-            state["earlier"], state["recent"] = state["recent"], {}
+            state["earlier"], state["recent"], state["held"] = state["recent"], {}, 0
         recent, earlier = state["recent"], state["earlier"]
         missing = [p for p in dict.fromkeys(pieces) if p not in recent]
-        recent.update((p, earlier[p]) for p in missing if p in earlier)
-        missing = [p for p in missing if p not in earlier]
+        fresh = {p: earlier[p] for p in missing if p in earlier}
+        missing = [p for p in missing if p not in fresh]
         if missing:
             plain = re.compile(state["plain"]).fullmatch
             whole, straight = self._tokenizers()
-            self._encode(straight, [p for p in missing if plain(p)], recent)
-            self._encode(whole, [p for p in missing if not plain(p)], recent)
-        return [recent[p] for p in pieces]
+            self._encode_plain(whole, straight, [p for p in missing if plain(p)], fresh)
+            self._encode(whole, [p for p in missing if not plain(p)], fresh)
+        kept = {p: ids for p, ids in fresh.items() if len(p) <= LONG}
+        recent.update(kept)
+        state["held"] += sum(map(len, kept)) + sum(map(len, kept.values())) + ENTRY_BYTES * len(kept)
+        return [recent[p] if p in recent else fresh[p] for p in pieces]
 
     def joined(self, packed: list[bytes], index: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of pieces ``packed[i]`` for i in ``index`` one after another, and where each begins."""
@@ -120,7 +160,8 @@ def encode_words(encoder: PieceEncoder, texts: pa.Array) -> list[bytes]:
     Where signs stand alone, stops and commas are pieces of their own and ASCII letters are lowered
     first, so that fewer pieces differ.
     """
-    joined = pc.match_substring_regex(texts, _JOINED)
+    loose = encoder.state["loose"]
+    joined = pc.match_substring_regex(texts, f"{_JOINED}|[{loose}]" if loose else _JOINED)
     split = pc.replace_substring(pc.replace_substring(pc.ascii_lower(texts), ".", " . "), ",", " , ")
     words = pc.split_pattern(pc.replace_substring(pc.if_else(joined, texts, split), "\n", " "), " ")
     coded = words.flatten().dictionary_encode()
