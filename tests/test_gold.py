@@ -20,8 +20,9 @@ def test_daily_sales(silver_lines):
         "daily_revenue", "transaction_count", "customer_interactions", "unique_customers",
         "avg_order_value", "max_order_value", "min_order_value",
     )
-    assert [rows[5][n] for n in names] == pytest.approx([245.1, 4, 4, 2, 49.02, 122.1, 20.0])
-    assert [rows[6][n] for n in names] == pytest.approx([33.0, 1, 1, 1, 33.0, 33.0, 33.0])
+    assert [rows[10][n] for n in names] == pytest.approx([17.25, 1, 0, 0, 8.63, 12.25, 5.0])
+    assert [rows[12][n] for n in names] == pytest.approx([85.75, 2, 2, 2, 42.88, 49.0, 36.75])
+    assert [rows[1][n] for n in names] == pytest.approx([187.0, 2, 4, 2, 46.75, 49.0, 40.0])
 
 
 def test_country_sales_with_a_guest_only_country(silver_lines):
@@ -30,8 +31,9 @@ def test_country_sales_with_a_guest_only_country(silver_lines):
         "total_revenue", "total_orders", "unique_customers", "avg_order_value", "total_quantity_sold",
         "revenue_per_customer",
     )
-    assert [rows["NORWAY"][n] for n in names] == [245.1, 4, 2, 49.02, 39, 122.55]
-    assert [rows["CHILE"][n] for n in names] == [33.0, 1, 0, 33.0, 4, None]
+    assert [rows["PERU"][n] for n in names] == [17.25, 1, 0, 8.63, 11, None]
+    assert [rows["KENYA"][n] for n in names] == [174.75, 3, 2, 43.69, 104, 87.38]
+    assert [rows["ICELAND"][n] for n in names] == [98.0, 1, 1, 49.0, 5, 98.0]
 
 
 @pytest.mark.parametrize("table", [sales.daily_sales, sales.country_sales, customers.customer_base])
@@ -50,14 +52,7 @@ def test_product_ranking(silver_lines):
         stock: (r["total_revenue"], r["total_quantity_sold"], r["revenue_rank"], r["quantity_rank"])
         for stock, r in rows.items()
     }
-    assert found == {
-        "WR31": (122.1, 2, 1, 6),
-        "TC40": (40.0, 25, 2, 1),
-        "GB55": (33.0, 4, 3, 2),
-        "PH63": (33.0, 4, 3, 2),
-        "LN22": (30.0, 4, 5, 2),
-        "KB10": (20.0, 4, 6, 2),
-    }
+    assert found == {"POT": (98.0, 8, 1, 2), "HOSE": (98.0, 2, 1, 3), "SEED": (54.0, 108, 3, 1), "RAKE": (40.0, 2, 4, 3)}
     ranks = [r["revenue_rank"] for r in sales.product_ranking(silver_lines).collect()]
     assert ranks == sorted(ranks)
 
@@ -68,16 +63,17 @@ def test_rfm_detailed(silver_lines):
         "recency", "frequency", "monetary_value", "recency_score", "frequency_score", "monetary_score",
         "customer_segment",
     )
-    assert [rows["81"][n] for n in names] == [0, 3, 205.1, 5, 5, 5, "Champions"]
-    assert [rows["44"][n] for n in names] == [1, 1, 40.0, 3, 3, 3, "Loyal Customers"]
-    assert len(rows) == 2, "guests have no score"
+    assert [rows["c5"][n] for n in names] == [19, 1, 36.75, 2, 4, 2, "At Risk"]
+    assert [rows["c2"][n] for n in names] == [0, 2, 138.0, 5, 5, 5, "Champions"]
+    assert [rows["c8"][n] for n in names] == [0, 1, 98.0, 5, 4, 4, "Champions"]
+    assert len(rows) == 3, "guests have no score"
 
 
 def test_rfm_thresholds(silver_lines):
     row = customers.rfm_thresholds(silver_lines).first().asDict()
-    assert [row[f"recency_{p}"] for p in (20, 40, 60, 80)] == [0, 0, 1, 1]
-    assert [row[f"frequency_{p}"] for p in (20, 40, 60, 80)] == [1, 1, 3, 3]
-    assert [row[f"monetary_{p}"] for p in (20, 40, 60, 80)] == [40.0, 40.0, 205.1, 205.1]
+    assert [row[f"recency_{p}"] for p in (20, 40, 60, 80)] == [0, 0, 0, 19]
+    assert [row[f"frequency_{p}"] for p in (20, 40, 60, 80)] == [1, 1, 1, 2]
+    assert [row[f"monetary_{p}"] for p in (20, 40, 60, 80)] == [36.75, 98.0, 98.0, 138.0]
 
 
 @pytest.mark.parametrize("operator", [customers.rfm_detailed, customers.cltv_detailed, customers.rfm_thresholds])
@@ -91,8 +87,12 @@ def test_cltv_detailed(silver_lines):
         "customer_lifespan_days", "total_orders", "total_transactions", "total_spent", "avg_order_value",
         "purchase_frequency", "predicted_cltv", "cltv_segment",
     )
-    assert [rows["81"][n] for n in names] == [2, 3, 4, 205.1, 51.28, 1.5, 28073.06, "High Value"]
-    assert [rows["44"][n] for n in names] == [1, 1, 1, 40.0, 40.0, 1.0, 14600.0, "Medium Value"]
+    numbers = {name: [r[n] for n in names[:-1]] for name, r in rows.items()}
+    assert numbers == {
+        "c2": [20, 2, 3, 138.0, 46.0, 0.1, 1679.0], "c5": [1, 1, 1, 36.75, 36.75, 1.0, 13413.75], "c8": [1, 1, 2, 98.0, 49.0, 1.0, 17885.0]
+    }
+    bands = [rows[name]["cltv_segment"] for name in ("c2", "c5", "c8")]
+    assert bands == [K.CLTV_BANDS[i] for i in (1, 3, 4)], "one of five cuts, three, all"
 
 
 def test_customer_tables_of_nothing(silver_lines):
@@ -106,36 +106,34 @@ def test_simple_customer_tables(simple_lines):
     rows = keyed(
         customers.projection(customers.cltv_simple(customers.rfm_simple(simple_lines))), "CustomerID"
     )
-    first, second = rows["81"], rows["44"]
-    assert (first["Recency"], first["Frequency"], first["Monetary"]) == (0, 4, pytest.approx(205.1))
-    assert first["CLTV"] == pytest.approx(820.4)
-    assert (second["Recency"], second["Frequency"], second["CLTV"]) == (1, 1, pytest.approx(20.0))
-    assert second["ExpectedRevenue_12M"] == pytest.approx(20.0 * 12)
+    found = {k: (r["Recency"], r["Frequency"], r["Monetary"], r["CLTV"]) for k, r in rows.items()}
+    assert found == {"c2": (0, 3, 138.0, 414.0), "c8": (0, 2, 98.0, 196.0), "c5": (19, 1, 36.75, pytest.approx(36.75 / 20))}
+    assert rows["c8"]["ExpectedRevenue_12M"] == pytest.approx(196.0 * 12)
 
 
 def test_simple_rfm_with_guests_measures_from_their_latest_line(simple_lines):
-    late = simple_lines.filter("CustomerID = '44'").selectExpr(
-        "InvoiceNo", "StockCode", "Description", "Quantity", "timestamp'2021-03-15 00:00:00' as InvoiceDate",
+    late = simple_lines.filter("CustomerID = 'c5'").selectExpr(
+        "InvoiceNo", "StockCode", "Description", "Quantity", "timestamp'2022-07-20 00:00:00' as InvoiceDate",
         "UnitPrice", "cast(null as string) as CustomerID", "Country",
     )
     rows = keyed(customers.rfm_simple(simple_lines.unionByName(late)), "CustomerID")
-    assert set(rows) == {"81", "44"}
-    assert rows["81"]["Recency"] == 9
+    assert {k: r["Recency"] for k, r in rows.items()} == {"c2": 19, "c5": 38, "c8": 19}
 
 
 def test_simple_sales_tables(simple_lines):
     days = keyed(sales.daily_sales_simple(simple_lines), "SaleDate")
-    first = days[date(2021, 3, 5)]
-    assert (first["TotalQuantity"], first["UniqueCustomers"], first["TotalTransactions"]) == (35, 2, 4)
-    assert first["TotalRevenue"] == pytest.approx(212.1)
+    assert set(days) == {date(2022, 6, 12), date(2022, 7, 1)}
+    last = days[date(2022, 7, 1)]
+    assert (last["TotalQuantity"], last["UniqueCustomers"], last["TotalTransactions"]) == (105, 2, 4)
+    assert last["TotalRevenue"] == pytest.approx(187.0)
     country = records(sales.country_sales_simple(simple_lines))
-    assert [(c["Country"], c["UniqueProducts"], c["TotalQuantity"]) for c in country] == [("NORWAY", 5, 39)]
+    assert [(c["Country"], c["UniqueProducts"], c["TotalQuantity"]) for c in country] == [("KENYA", 4, 104), ("ICELAND", 2, 5)]
 
 
 def test_top_products_settle_ties_by_code(simple_lines):
     top = sales.top_products(simple_lines, 4).collect()
-    assert [r["StockCode"] for r in top] == ["TC40", "KB10", "LN22", "PH63"]
-    assert [r["TotalSold"] for r in sales.top_descriptions(simple_lines, 2).collect()] == [25, 4]
+    assert [r["StockCode"] for r in top] == ["SEED", "POT", "HOSE", "RAKE"]
+    assert [r["TotalSold"] for r in sales.top_descriptions(simple_lines, 2).collect()] == [98, 7]
 
 
 def test_totals_agree_between_tables(silver_lines):
@@ -206,7 +204,7 @@ def test_many_values_and_one_that_holds_a_third(spark):
 
 def test_segment_counts(silver_lines):
     rfm = customers.rfm_detailed(silver_lines)
-    assert keyed(customers.segment_counts(rfm), "customer_segment")["Champions"]["customers"] == 1
+    assert keyed(customers.segment_counts(rfm), "customer_segment")["Champions"]["customers"] == 2
     assert customers.distinct_segments(rfm, "customer_segment").first()["segments"] == 2
 
 

@@ -22,7 +22,7 @@ def test_completeness_counts_nulls_and_nan(spark, now):
 
 def test_completeness_of_every_type(spark, silver_lines, now):
     row = monitor.completeness(silver_lines, "silver", now).first()
-    assert row["value"] == pytest.approx(1 - 1 / (6 * 15))
+    assert row["value"] == pytest.approx(1 - 2 / (8 * 15))
     assert (row["status"], row["alert_level"]) == ("healthy", None)
 
 

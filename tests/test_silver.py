@@ -108,12 +108,12 @@ def test_retention_of_nothing(raw):
 
 def test_completeness_leaves_customers_out(silver_lines):
     row = quality.silver_completeness(silver_lines).first()
-    assert (row["total_rows"], row["null_cells"], row["completeness_score"]) == (6, 0, 100.0)
+    assert (row["total_rows"], row["null_cells"], row["completeness_score"]) == (8, 0, 100.0)
 
 
 def test_outliers_on_the_fixture(silver_lines):
     row = quality.quantity_outliers(silver_lines).first()
-    assert (row["outlier_count"], row["mean_quantity"], row["stddev_quantity"]) == (0, 7.17, 8.77)
+    assert (row["outlier_count"], row["mean_quantity"], row["stddev_quantity"]) == (0, 15.0, 33.67)
 
 
 def test_outliers_against_a_direct_count(spark):
