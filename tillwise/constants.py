@@ -17,7 +17,6 @@ REQUIRED_SIMPLE = ("InvoiceNo", "StockCode", "Description", "InvoiceDate", "Cust
 
 # --- scores, segments and bands --------------------------------------------
 QUINTILES = (0.2, 0.4, 0.6, 0.8)
-PERCENTILE_ACCURACY = 10000
 
 # (recency, frequency, monetary) score ranges, lowest and highest included;
 # the first row that fits names the segment.

@@ -13,7 +13,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegralType
 
-from tillwise.constants import PERCENTILE_ACCURACY, QUINTILES
+from tillwise.constants import QUINTILES
+from tillwise.functions.sketches import at_shares, quantile_sketch
 
 RANGES_PER_PARTITION = 4
 #: Hash slots whose values are sketched side by side, so that no task merges all sketches.
@@ -132,12 +133,13 @@ def quantiles(
 ) -> Column:
     """Scalar struct of arrays: per measure the smallest values that cover each share.
 
-    ``sketch`` merges one quantile sketch per measure instead of counting positions; it
-    is exact up to ``PERCENTILE_ACCURACY`` rows.
+    ``sketch`` merges one quantile sketch per measure instead of counting positions; the share of rows that a
+    cut point covers is then off by ``sketches.rank_error()`` at most, at any size.
     """
     if sketch:
-        found = [F.percentile_approx(m, list(at), PERCENTILE_ACCURACY).alias(m) for m in measures]
-        return df.agg(F.struct(*found)).scalar()
+        made = df.agg(*[quantile_sketch(df, m).alias(m) for m in measures])
+        kinds = {m: "bigint" if _is_whole(df, m) else "double" for m in measures}
+        return made.select(F.struct(*[at_shares(F.col(m), kinds[m], at).alias(m) for m in measures])).scalar()
     through = F.col("before") + F.col("n")
     wanted = [F.ceil(F.lit(str(p)).cast("decimal(9,6)") * F.col("rows").cast("decimal(20,0)")) for p in at]
 

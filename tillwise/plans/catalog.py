@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampType
 
 from tillwise.operators import (
+    aliases,
     bronze,
     customers,
     evaluate,
@@ -23,6 +24,8 @@ from tillwise.operators import (
     silver,
     views,
 )
+from tillwise.constants import QUINTILES
+from tillwise.functions import sketches
 from tillwise.plans import gold_tables, jobs, modelling, monitoring
 from tillwise.schemas import CORRUPT_COLUMN
 from tillwise.sources import run_log_adapter
@@ -161,9 +164,14 @@ def rfm_detailed(spark, sf_dir):
     return customers.rfm_detailed(_customer_base(spark, sf_dir))
 
 
+def _within(errors: DataFrame) -> DataFrame:
+    return errors.select("measure", "share", "n", (F.col("error") <= sketches.rank_error()).alias("within"))
+
+
 @query
 def rfm_sketch(spark, sf_dir):
-    return customers.rfm_detailed(_customer_base(spark, sf_dir), sketch=True)
+    """What sketched cut points promise: the share of customers each one covers."""
+    return _within(customers.rfm_sketch_errors(_customer_base(spark, sf_dir)))
 
 
 @query
@@ -178,7 +186,55 @@ def cltv_detailed(spark, sf_dir):
 
 @query
 def cltv_sketch(spark, sf_dir):
-    return customers.cltv_detailed(_customer_base(spark, sf_dir), sketch=True)
+    return _within(customers.cltv_sketch_errors(_customer_base(spark, sf_dir)))
+
+
+@query
+def quantiles_from_sketches(spark, sf_dir):
+    """Cut points of line amounts and units, merged from one stored sketch per country and month."""
+    lines = _silver(spark, sf_dir)
+    measures = {"TotalAmount": "double", "Quantity": "bigint"}
+    table = stored(sketches.quantile_table(lines, list(measures), ["Country", "Year", "Month"]), "quantile_sketches")
+    cuts = sketches.merged_quantiles(table, measures, QUINTILES)
+    found = cuts.select(F.struct(*measures).alias("cuts")).scalar()
+    return _within(sketches.rank_errors(lines, list(measures), found, QUINTILES))
+
+
+@query
+def distinct_from_sketches(spark, sf_dir):
+    """Customers and invoices of each country and year, and whether daily sketches say the same within their error."""
+    lines = _silver(spark, sf_dir)
+    columns = ["CustomerID", "InvoiceNo"]
+    table = stored(sketches.distinct_table(lines, columns, ["Year", "Month", "Day", "Country"]), "distinct_sketches")
+    near = sketches.merged_distinct(table, columns, ["Country", "Year"])
+    near = near.select(F.col("Country").alias("near_country"), F.col("Year").alias("near_year"), *[F.col(c).alias(f"near_{c}") for c in columns])
+    exact = lines.groupBy("Country", "Year").agg(*[F.count_distinct(F.col(c)).alias(c) for c in columns])
+    both = exact.join(near, (F.col("Country") == F.col("near_country")) & (F.col("Year") == F.col("near_year")), "left")
+    within = [F.abs(F.col(c) - F.col(f"near_{c}")) <= 1 + sketches.distinct_error() * F.col(c) for c in columns]
+    return both.select("Country", "Year", *columns, (within[0] & within[1]).alias("within"))
+
+
+@query
+def returning_customers(spark, sf_dir):
+    """Customers who bought in a month and in the one before, and whether the sets of daily sketches agree."""
+    lines = _silver(spark, sf_dir).filter(F.col("CustomerID").isNotNull())
+    month = F.col("Year") * 12 + F.col("Month")
+    table = stored(sketches.distinct_table(lines, ["CustomerID"], ["Year", "Month", "Day"]), "customer_sets")
+    near = sketches.returning(table, "CustomerID", month).select(F.col("period").alias("near_period"), F.col("returning").alias("near"), "seen")
+    seen = lines.select(month.alias("period"), "CustomerID").distinct()
+    before = seen.select((F.col("period") + 1).alias("period"), "CustomerID")
+    exact = seen.join(before, ["period", "CustomerID"], "left_semi").groupBy("period").agg(F.count(F.lit(1)).alias("returning"))
+    both = exact.join(near, F.col("period") == F.col("near_period"), "left")
+    within = F.abs(F.col("returning") - F.col("near")) <= 1 + sketches.distinct_error() * F.col("seen")
+    return both.select("period", "returning", within.alias("within"))
+
+
+@query
+def alias_rules(spark, sf_dir):
+    """Invoice numbers replaced by the priority of their order: as many rules as there are orders."""
+    rules = read_table(spark, sf_dir, "orders").select(F.col("o_orderkey").cast("string").alias("found"), F.col("o_orderpriority").alias("wanted"))
+    lines = aliases.with_aliases(invoice_lines(spark, sf_dir), "InvoiceNo", rules)
+    return lines.select("InvoiceNo", "StockCode", "Quantity")
 
 
 @query
@@ -354,6 +410,28 @@ def customer_clusters_checked(spark, sf_dir):
     return models.nearest_checked(model, known).select("CustomerID", "recency", "frequency", "monetary", "nearest")
 
 
+@query
+def model_reload(spark, sf_dir):
+    """Both models, live and after saving and loading: how many rows, and whether all are the same."""
+    folder = new_folder(spark, "reload")
+    lines = _silver(spark, sf_dir)
+    daily = stored(sales.daily_sales(lines), "daily")
+    known = stored(features.customer_features(lines, AS_OF), "customer_features")
+    trained = {
+        "forecast": (models.train_forecast(features.forecast_features(daily))[0], lambda m: models.forecast(m, daily)),
+        "clusters": (models.train_clusters(known), lambda m: models.customer_segments(m, known)),
+    }
+    found = []
+    for name, (live, rows_of) in trained.items():
+        models.save_model(live, f"{folder}/{name}")
+        again = rows_of(models.load_model(f"{folder}/{name}"))
+        sides = rows_of(live).withColumn("side", F.lit(1)).unionByName(again.withColumn("side", F.lit(-1)))
+        rest = sides.groupBy(*again.columns).agg(F.sum("side").alias("side"), F.count_if(F.col("side") > 0).alias("live"))
+        same = F.max(F.abs("side")) == 0
+        found.append(rest.agg(F.sum("live").alias("rows"), same.alias("same")).select(F.lit(name).alias("model"), "rows", "same"))
+    return monitoring.collect(found)
+
+
 # --- monitoring --------------------------------------------------------------
 def _run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_log_adapter.run_log(read_table(spark, sf_dir, "events"))
@@ -415,6 +493,18 @@ def feature_drift(spark, sf_dir):
     return rounded(monitor.feature_drift(current, baseline, "lines", AS_OF), {"value": 9})
 
 
+@query
+def distribution_drift(spark, sf_dir):
+    """Line items that were shipped late against early ones, and those of large orders against small ones."""
+    lines = read_table(spark, sf_dir, "lineitem")
+    names = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+    found = []
+    for model, early in (("flag", F.col("l_linestatus") == "F"), ("units", F.col("l_quantity") < 25)):
+        baseline = stored(monitor.feature_sketches(lines.filter(early), names), "baseline_sketches")
+        found.append(monitor.distribution_drift(lines.filter(~early).select(*names), baseline, model, AS_OF))
+    return monitoring.collect(found).select("name", "threshold", "metric_type", "timestamp", "status", "alert_level")
+
+
 @query
 def model_age(spark, sf_dir):
     trained = read_table(spark, sf_dir, "orders").groupBy(F.col("o_orderpriority").alias("model"))
@@ -569,10 +659,32 @@ def _as_csv(spark: SparkSession, sf_dir: str, folder: str) -> str:
     return path
 
 
+def _with_bad_lines(spark: SparkSession, sf_dir: str, folder: str) -> str:
+    """CSV files in three deliveries; some articles have units or prices that are no numbers."""
+    code = F.col("StockCode").cast("bigint")
+    bad = {"Quantity": (code % 53 == 0, F.concat(F.lit("~"), "Quantity")), "UnitPrice": (code % 59 == 0, F.lit("free"))}
+    lines = invoice_lines(spark, sf_dir).withColumn("delivery", code % 3)
+    lines = lines.withColumns({c: F.when(wrong, text).otherwise(F.col(c).cast("string")) for c, (wrong, text) in bad.items()})
+    writer = lines.write.option("header", True).option("escape", '"').partitionBy("delivery")
+    writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(f"{folder}/csv")
+    return f"{folder}/csv/delivery=*"
+
+
+#: What stands for values that could not be read.
+UNREADABLE = {"Quantity": 0, "UnitPrice": -1.0, "corrupt_text": ""}
+
+
+def _marked(found: DataFrame) -> list:
+    """Whether the line is corrupt, how its text begins, and the folder of its file."""
+    begin = F.substring_index(CORRUPT_COLUMN, ",", 2).alias("corrupt_text")
+    return [F.col(CORRUPT_COLUMN).isNotNull().alias("corrupt"), begin, F.element_at(F.split("source_file", "/"), -2).alias("delivery")]
+
+
 @query
 def csv_ingest(spark, sf_dir):
-    found = read_csv(spark, _as_csv(spark, sf_dir, new_folder(spark, "ingest")))
-    return found.filter(F.col(CORRUPT_COLUMN).isNull()).drop(CORRUPT_COLUMN, "source_file")
+    found = read_csv(spark, _with_bad_lines(spark, sf_dir, new_folder(spark, "ingest")))
+    annotated = bronze.annotate(found, AS_OF)
+    return annotated.select("*", *_marked(annotated)).drop(CORRUPT_COLUMN, "source_file").na.fill(UNREADABLE)
 
 
 @query
@@ -710,14 +822,65 @@ def stream_cleaning(spark, sf_dir):
     return _streamed(spark, pipelines.cleaned(_line_stream(spark, sf_dir)), "cleaning")
 
 
+def _delivered(df: DataFrame, path: str, slices: list, arrival: str | None = None) -> DataFrame:
+    """A stream of a table whose slices (conditions) were written one after another; about one slice is a batch."""
+    for condition in slices:
+        df.filter(condition).write.mode("append").parquet(path)
+    files = len(df.sparkSession.read.parquet(path).inputFiles())
+    return pipelines.table_stream(df.sparkSession, path, max(1, files // len(slices)), arrival=arrival)
+
+
+@query
+def stream_redelivery(spark, sf_dir):
+    """Line items of which two thirds are delivered twice, some of them a third time."""
+    folder = new_folder(spark, "redelivery")
+    part = F.col("l_orderkey") % 3
+    slices = [part == 0, part != 2, part >= 1, part == 1]
+    lines = read_table(spark, sf_dir, "lineitem")
+    # Line numbers come again in these tables, so a line is the same if all its columns are.
+    known = pipelines.once(_delivered(lines, f"{folder}/lines", slices, arrival="arrival"), lines.columns, "arrival")
+    return _streamed(spark, pipelines.cleaned(invoice_lines(spark, sf_dir, known)), "redelivery")
+
+
+@query
+def stream_past_anomalies(spark, sf_dir):
+    """Event windows, each judged by all values of its type in earlier windows; the events arrive in four parts."""
+    folder = new_folder(spark, "past")
+    events = read_table(spark, sf_dir, "events")
+    span = events.agg(F.min("ts").alias("low"), F.max("ts").alias("high")).first()
+    low, step = span["low"], (span["high"] - span["low"]) / 4
+    cuts = [F.col("ts") >= F.lit(low), *[F.col("ts") >= F.lit(low + step * i) for i in (1, 2, 3)], F.lit(False)]
+    arriving = _delivered(events, f"{folder}/events", [cuts[i] & ~cuts[i + 1] for i in range(4)])
+    windows = pipelines.window_totals(arriving, "ts", "value", ["event_type"])
+    pipelines.run_batches(windows, pipelines.judge_by_past(f"{folder}/past", ["event_type"]), f"{folder}/state")
+    judged = spark.read.parquet(f"{folder}/past/judged").drop("batch_id")
+    metrics = pipelines.past_anomalies(judged, "events", ["event_type"])
+    return rounded(metrics, {"threshold": 4})
+
+
+@query
+def stream_daily_rollup(spark, sf_dir):
+    """The daily table from merged days; the lines arrive in three parts that share most days."""
+    folder = new_folder(spark, "rollup")
+    part = F.col("l_orderkey") % 3
+    stream = _delivered(read_table(spark, sf_dir, "lineitem"), f"{folder}/lines", [part == 0, part == 1, part == 2])
+    arriving = invoice_lines(spark, sf_dir, stream)
+    undated = F.col("StockCode").cast("bigint") % 89 == 0
+    arriving = arriving.withColumn("InvoiceDate", F.when(undated, "unknown").otherwise(F.col("InvoiceDate")))
+    work = pipelines.refresh_daily_rollup(f"{folder}/kept", f"{folder}/daily")
+    pipelines.run_batches(pipelines.cleaned(arriving), work, f"{folder}/state")
+    return spark.read.parquet(f"{folder}/daily").na.fill(0, ["Year", "Month", "Day"])
+
+
 @query
 def stream_validation(spark, sf_dir):
     folder = new_folder(spark, "validation")
-    arriving = pipelines.csv_stream(spark, _as_csv(spark, sf_dir, folder))
+    arriving = pipelines.csv_stream(spark, _with_bad_lines(spark, sf_dir, folder))
     pipelines.run_available(
         pipelines.validated(arriving), f"{folder}/checked", f"{folder}/state", partition_by=["check"]
     )
-    return spark.read.parquet(f"{folder}/checked").groupBy("check").agg(F.count(F.lit(1)).alias("lines"))
+    checked = spark.read.parquet(f"{folder}/checked")
+    return checked.select("check", "InvoiceNo", "StockCode", "Quantity", "UnitPrice", *_marked(checked)).na.fill(UNREADABLE)
 
 
 @query

@@ -558,6 +558,25 @@ def stored_tables(tables: dict, sources: list[str]) -> str:
     )
 
 
+BAD_LINES = """
+delivered AS (
+  SELECT * REPLACE (CASE WHEN CAST(StockCode AS BIGINT) % 53 <> 0 THEN Quantity ELSE 0 END AS Quantity,
+                    CASE WHEN CAST(StockCode AS BIGINT) % 59 <> 0 THEN UnitPrice ELSE -1 END AS UnitPrice),
+         CAST(StockCode AS BIGINT) % 53 = 0 OR CAST(StockCode AS BIGINT) % 59 = 0 AS corrupt,
+         CASE WHEN CAST(StockCode AS BIGINT) % 53 = 0 OR CAST(StockCode AS BIGINT) % 59 = 0 THEN InvoiceNo || ',' || StockCode ELSE '' END AS corrupt_text,
+         'delivery=' || CAST(CAST(StockCode AS BIGINT) % 3 AS VARCHAR) AS delivery
+  FROM lines
+)"""
+
+
+def within(measures: list[str], table: str) -> str:
+    """One row per measure and quintile: all rows of the table, every cut point within its rank error."""
+    parts = [
+        f"SELECT '{m}' AS measure, CAST({p} AS DOUBLE) AS share, COUNT(*) AS n, TRUE AS within FROM {table}" for m in measures for p in K.QUINTILES
+    ]
+    return " UNION ALL ".join(parts)
+
+
 def oracle_sql() -> dict[str, str]:
     daily = f"WITH {SILVER}, {DAILY} SELECT * FROM daily"
     country = f"WITH {SILVER} {COUNTRY}"
@@ -566,6 +585,13 @@ def oracle_sql() -> dict[str, str]:
     lines = f"WITH {LINES} SELECT * FROM lines"
     series = "sale_date, daily_revenue, day_of_year, month, day_of_week, lag_7, lag_30, lag_7 AS rolling_mean_7"
     metric_sets = f"WITH {METRIC_ROWS}"
+    dated_daily = f"""WITH {SILVER}, dated AS (
+            SELECT * REPLACE (
+              CASE WHEN CAST(StockCode AS BIGINT) % 89 <> 0 THEN Year END AS Year,
+              CASE WHEN CAST(StockCode AS BIGINT) % 89 <> 0 THEN Month END AS Month,
+              CASE WHEN CAST(StockCode AS BIGINT) % 89 <> 0 THEN Day END AS Day) FROM silver
+            ), {DAILY.replace("FROM silver", "FROM dated")}
+            SELECT * REPLACE (COALESCE(Year, 0) AS Year, COALESCE(Month, 0) AS Month, COALESCE(Day, 0) AS Day) FROM daily"""
     return {
         "silver_detailed": f"WITH {SILVER} SELECT {SILVER_COLUMNS} FROM silver",
         "silver_simple": f"WITH {SIMPLE} SELECT {', '.join(LINE_COLUMNS)} FROM simple",
@@ -596,7 +622,7 @@ def oracle_sql() -> dict[str, str]:
         "country_sales_simple": f"WITH {SIMPLE} {SIMPLE_COUNTRY}",
         "country_revenue": f"WITH {SIMPLE}, c AS ({SIMPLE_COUNTRY}) SELECT Country, CountryRevenue FROM c",
         "rfm_detailed": rfm,
-        "rfm_sketch": rfm,
+        "rfm_sketch": f"WITH {SILVER}, {BASE} " + within(["age", "frequency", "spend"], "base"),
         "rfm_thresholds": f"""WITH {SILVER}, {BASE}, {RFM} SELECT """
         + ", ".join(
             f"CAST({c}[{i + 1}] AS DOUBLE) AS {name}_{p}"
@@ -605,7 +631,16 @@ def oracle_sql() -> dict[str, str]:
         )
         + " FROM cuts",
         "cltv_detailed": cltv,
-        "cltv_sketch": cltv,
+        "cltv_sketch": f"WITH {SILVER}, {BASE} " + within(["predicted_cltv"], "base"),
+        "quantiles_from_sketches": f"WITH {SILVER} " + within(["TotalAmount", "Quantity"], "silver"),
+        "distinct_from_sketches": f"""WITH {SILVER} SELECT Country, Year, COUNT(DISTINCT CustomerID) AS CustomerID,
+            COUNT(DISTINCT InvoiceNo) AS InvoiceNo, TRUE AS within FROM silver GROUP BY Country, Year""",
+        "returning_customers": f"""WITH {SILVER},
+            seen AS (SELECT DISTINCT Year * 12 + Month AS period, CustomerID FROM silver WHERE CustomerID IS NOT NULL)
+            SELECT n.period, COUNT(*) AS returning, TRUE AS within
+            FROM seen n JOIN seen b ON n.period = b.period + 1 AND n.CustomerID = b.CustomerID GROUP BY n.period""",
+        "alias_rules": f"""WITH {LINES} SELECT COALESCE(o_orderpriority, InvoiceNo) AS InvoiceNo, StockCode, Quantity
+            FROM lines LEFT JOIN orders ON InvoiceNo = CAST(o_orderkey AS VARCHAR)""",
         "analysis_date": f"WITH {SILVER} SELECT MAX(InvoiceTimestamp) AS analysis_date FROM silver WHERE CustomerID IS NOT NULL",
         "rfm_simple": f"WITH {SIMPLE}, {SIMPLE_RFM} SELECT * FROM rfm",
         "cltv_simple": f"WITH {SIMPLE}, {SIMPLE_RFM} SELECT CustomerID, Recency, Frequency, Monetary, CLTV FROM projected",
@@ -646,6 +681,9 @@ def oracle_sql() -> dict[str, str]:
         "sales_forecast_checked": f"""WITH {SILVER}, last AS (SELECT MAX(CAST(InvoiceTimestamp AS DATE)) AS day FROM silver)
             SELECT CAST(day + ahead AS DATE) AS prediction_date, TRUE AS inside
             FROM last, (SELECT CAST(unnest(range(1, {K.FORECAST_DAYS + 1})) AS INTEGER) AS ahead)""",
+        "model_reload": f"""WITH {SILVER}, {BASE}, {customer_features(AS_OF)}
+            SELECT 'forecast' AS model, CAST({K.FORECAST_DAYS} AS BIGINT) AS rows, TRUE AS same
+            UNION ALL SELECT 'clusters', COUNT(*), TRUE FROM people""",
         "cluster_profile": f"""WITH {LABELLED},
             p AS (SELECT cluster, COUNT(*) AS "count", {statistics('recency')}, {statistics('frequency')},
                          {statistics('monetary')} FROM labelled GROUP BY cluster)
@@ -687,6 +725,20 @@ def oracle_sql() -> dict[str, str]:
                 for c in ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
             ) + ")",
         ),
+        "distribution_drift": f"""WITH apart AS (
+              SELECT 'flag' AS model, l_linestatus = 'F' AS early, * FROM lineitem
+              UNION ALL SELECT 'units', l_quantity < 25, * FROM lineitem),
+            long AS (UNPIVOT (SELECT model, early, CAST(l_quantity AS DOUBLE) AS l_quantity, CAST(l_extendedprice AS DOUBLE) AS l_extendedprice,
+                CAST(l_discount AS DOUBLE) AS l_discount, CAST(l_tax AS DOUBLE) AS l_tax FROM apart)
+              ON l_quantity, l_extendedprice, l_discount, l_tax INTO NAME feature VALUE x),
+            counts AS (SELECT model, feature, x, COUNT(*) FILTER (WHERE early) AS was, COUNT(*) FILTER (WHERE NOT early) AS now FROM long GROUP BY ALL),
+            shares AS (SELECT model, feature, SUM(was) OVER (w ORDER BY x) / SUM(was) OVER w - SUM(now) OVER (w ORDER BY x) / SUM(now) OVER w AS gap
+              FROM counts WINDOW w AS (PARTITION BY model, feature)),
+            ks AS (SELECT model, feature, MAX(abs(gap)) AS distance FROM shares GROUP BY ALL)
+            SELECT model || '_' || feature || '_distribution_drift' AS name, CAST({K.MAX_FEATURE_DRIFT} AS DOUBLE) AS threshold,
+                   'model_performance' AS metric_type, {AS_OF} AS "timestamp",
+                   CASE WHEN distance <= {K.MAX_FEATURE_DRIFT} THEN 'healthy' ELSE 'unhealthy' END AS status,
+                   CASE WHEN distance > {K.MAX_FEATURE_DRIFT} THEN 'warning' END AS alert_level FROM ks""",
         "model_age": metric(
             "model || '_age_days'", "round(days, 6)", K.MAX_MODEL_AGE_DAYS, "model_performance", "days <= 30", "'warning'", AS_OF,
             f"""(SELECT o_orderpriority AS model, date_diff('microseconds', MAX(o_orderdate), {AS_OF}) / 86400000000.0::DOUBLE AS days
@@ -730,7 +782,7 @@ def oracle_sql() -> dict[str, str]:
         "value_histogram": f"WITH {SIMPLE}, {SIMPLE_RFM}, {HISTOGRAM}",
         "country_share": f"""WITH {SIMPLE}, c AS ({SIMPLE_COUNTRY} ORDER BY CountryRevenue DESC, Country LIMIT 5)
             SELECT Country, CountryRevenue, round(CountryRevenue / SUM(CountryRevenue) OVER () * 100, 2) AS share_pct FROM c""",
-        "csv_ingest": lines,
+        "csv_ingest": f"WITH {LINES}, {BAD_LINES} SELECT *, {AS_OF} AS ingestion_timestamp FROM delivered",
         "table_overwrite": lines,
         "table_append": lines,
         "run_log_source": f"WITH {RUNS} SELECT * FROM log",
@@ -759,14 +811,27 @@ def oracle_sql() -> dict[str, str]:
                    "timestamp", false AS resolved
             FROM peaks""",
         "stream_cleaning": f"WITH {SILVER} SELECT {SILVER_COLUMNS} FROM silver",
-        "stream_validation": f"WITH {LINES} SELECT 'valid' AS \"check\", COUNT(*) AS lines FROM lines",
+        "stream_redelivery": f"WITH {SILVER} SELECT {SILVER_COLUMNS} FROM silver",
+        "stream_past_anomalies": f"""WITH {WINDOWS}, fine AS (
+              SELECT event_type, date_trunc('day', ts) AS window_start, COUNT(*) AS n, AVG("value") AS mean,
+                     stddev_samp("value") AS deviation, MAX("value") AS high
+              FROM events GROUP BY 1, 2 HAVING date_trunc('day', ts) IN (SELECT window_start FROM windows)),
+            moments AS (
+              SELECT event_type, window_start, high, SUM(n) OVER past AS past_n, SUM(n * mean) OVER past / SUM(n) OVER past AS past_mean,
+                     SUM((n - 1) * COALESCE(deviation, 0) ** 2 + n * (mean - 50) ** 2) OVER past AS squares
+              FROM fine WINDOW past AS (PARTITION BY event_type ORDER BY window_start ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+            judged AS (
+              SELECT *, CASE WHEN past_n > 1
+                THEN past_mean + 3 * sqrt(greatest((squares - past_n * (past_mean - 50) ** 2) / (past_n - 1), 0)) END AS most FROM moments)
+            SELECT 'events_' || event_type || '_past_peak' AS name, high AS value, round(COALESCE(most, high), 4) AS threshold,
+                   'data_quality' AS metric_type, window_start AS "timestamp",
+                   CASE WHEN high > most THEN 'unhealthy' ELSE 'healthy' END AS status,
+                   CASE WHEN high > most THEN 'warning' END AS alert_level
+            FROM judged""",
+        "stream_validation": f"""WITH {LINES}, {BAD_LINES} SELECT CASE WHEN corrupt THEN 'quarantine' ELSE 'valid' END AS "check",
+            InvoiceNo, StockCode, Quantity, UnitPrice, corrupt, corrupt_text, delivery FROM delivered""",
         "stream_quality": f"""WITH {LINES}, c AS ({LINES_COMPLETENESS})
             SELECT name, value, threshold, status, alert_level FROM c""",
-        "stream_daily_sales": f"""WITH {SILVER}, dated AS (
-            SELECT * REPLACE (
-              CASE WHEN CAST(StockCode AS BIGINT) % 89 <> 0 THEN Year END AS Year,
-              CASE WHEN CAST(StockCode AS BIGINT) % 89 <> 0 THEN Month END AS Month,
-              CASE WHEN CAST(StockCode AS BIGINT) % 89 <> 0 THEN Day END AS Day) FROM silver
-            ), {DAILY.replace("FROM silver", "FROM dated")}
-            SELECT * REPLACE (COALESCE(Year, 0) AS Year, COALESCE(Month, 0) AS Month, COALESCE(Day, 0) AS Day) FROM daily""",
+        "stream_daily_sales": dated_daily,
+        "stream_daily_rollup": dated_daily,
     }

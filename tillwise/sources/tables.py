@@ -85,12 +85,34 @@ def table_exists(spark: SparkSession, path: str) -> bool:
     return files.exists(place)
 
 
+def versions(spark: SparkSession, path: str) -> list[int]:
+    """Numbers of the ``batch_id=`` folders in a folder; none if it does not exist."""
+    files, place = _file_system(spark, path)
+    names = [s.getPath().getName() for s in files.listStatus(place)] if files.exists(place) else []
+    return sorted(int(n.removeprefix("batch_id=")) for n in names if n.startswith("batch_id="))
+
+
+def remove(spark: SparkSession, paths: Sequence[str]) -> None:
+    """Delete folders; missing ones are no error."""
+    for path in paths:
+        files, place = _file_system(spark, path)
+        files.delete(place, True)
+
+
 def _swap(spark: SparkSession, staged: str, path: str) -> None:
-    """Put a fully written table in the place of another; the old one goes last."""
+    """Put a fully written table in the place of another; the old one goes last.
+
+    Between the two renames there is no table at ``path``: a reader that starts just then fails and has to try again
+    (a format with a log of its own, such as Delta, has no such moment).  If the second rename fails, the old
+    table is put back and the new one stays where it was written.
+    """
     files, place = _file_system(spark, path)
     new, old = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (staged, f"{staged}.replaced"))
-    if not (files.rename(place, old) and files.rename(new, place)):
-        raise OSError(f"could not replace {path}; the parts are {staged} and {staged}.replaced")
+    if not files.rename(place, old):
+        raise OSError(f"could not replace {path}; its successor is {staged}")
+    if not files.rename(new, place):
+        back = files.rename(old, place)
+        raise OSError(f"could not replace {path}; its successor is {staged}" + ("" if back else f", the old table {staged}.replaced"))
     files.delete(old, True)
 
 
