@@ -35,7 +35,7 @@ def test_ids_are_those_of_the_ranks(texts, reference, monkeypatch):
 
     state = pieces.encoder_state(byte_bpe.definition(), byte_bpe.PLAIN)
     monkeypatch.setattr(pieces, "SLICE_BYTES", 2000)
-    monkeypatch.setattr(pieces, "KNOWN_PIECES", 50)
+    monkeypatch.setattr(pieces, "KNOWN_BYTES", 5000)
     batch = pa.RecordBatch.from_arrays([pa.array([*texts, None])], ["text"])
     parts = [part for _, part in pieces.slices(batch, "text")]
     assert len(parts) > 5

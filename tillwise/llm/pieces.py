@@ -13,18 +13,19 @@ import unicodedata
 from array import array
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
 #: A worker remembers pieces of up to about twice as many bytes, those in use longest; no piece of more than ``LONG`` letters.
-KNOWN_BYTES = 16 << 20
+KNOWN_BYTES = 32 << 20
 LONG = 64
 #: What an entry takes besides its letters and ids.
 ENTRY_BYTES = 200
 #: Bytes of text that are worked on at once (a longer text alone).
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 4 << 20
 
 #: White space other than the space and the newline.
 _RARE_SPACE = "\\t\\r\\f\\x0b\\x1c-\\x1f\\x{85}\\x{a0}\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}"
@@ -73,7 +74,9 @@ class PieceEncoder:
             whole = Tokenizer.from_str(self.state["definition"])
             whole.encode_special_tokens = self.state["special_as_text"]
             bytes_only = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}
-            known = json.loads(self.state["definition"]) | {"normalizer": None, "pre_tokenizer": bytes_only}
+            spaced = {"type": "Sequence", "pretokenizers": [{"type": "WhitespaceSplit"}, bytes_only]}
+            known = json.loads(self.state["definition"])
+            known |= {"normalizer": None, "pre_tokenizer": bytes_only if self.state["ends"] is None else spaced}
             self.state["tokenizers"] = (whole, Tokenizer.from_str(json.dumps(known)))
         return self.state["tokenizers"]
 
@@ -83,14 +86,14 @@ class PieceEncoder:
             for piece, found in zip(part, tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
                 into[piece] = array(self.typecode, found.ids).tobytes()
 
-    def _encode_plain(self, whole, straight, pieces: list[str], into: dict) -> None:
+    def _encode_plain(self, straight, pieces: list[str], into: dict) -> None:
         if self.state["ends"] is None:
             return self._encode(straight, pieces, into)
         size = np.dtype(self.typecode).itemsize
         for at in range(0, len(pieces), 8192):
             part = pieces[at : at + 8192]
-            lines = [" ".join(part[i : i + 256]) for i in range(0, len(part), 256)]
-            ids = np.array([i for e in whole.encode_batch_fast(lines, add_special_tokens=False) for i in e.ids], self.typecode)
+            lines = [" ".join(part[i : i + 64]) for i in range(0, len(part), 64)]
+            ids = np.concatenate([np.array(e.ids, self.typecode) for e in straight.encode_batch_fast(lines, add_special_tokens=False)])
             cuts = (np.flatnonzero(self.state["ends"][ids]) + 1) * size
             if len(cuts) != len(part):
                 raise ValueError("a token inside a piece ends like a word")
@@ -106,18 +109,21 @@ class PieceEncoder:
             # What is still in use comes back from the earlier pieces; what is not goes next time.
             state["earlier"], state["recent"], state["held"] = state["recent"], {}, 0
         recent, earlier = state["recent"], state["earlier"]
-        missing = [p for p in dict.fromkeys(pieces) if p not in recent]
-        fresh = {p: earlier[p] for p in missing if p in earlier}
-        missing = [p for p in missing if p not in fresh]
+        packed = list(map(recent.get, pieces))
+        fresh = {p: earlier.get(p) for p, ids in zip(pieces, packed, strict=True) if ids is None}
+        if not fresh:
+            return packed
+        missing = [p for p, ids in fresh.items() if ids is None]
         if missing:
             plain = re.compile(state["plain"]).fullmatch
+            is_plain = [plain(p) is not None for p in missing]
             whole, straight = self._tokenizers()
-            self._encode_plain(whole, straight, [p for p in missing if plain(p)], fresh)
-            self._encode(whole, [p for p in missing if not plain(p)], fresh)
-        kept = {p: ids for p, ids in fresh.items() if len(p) <= LONG}
+            self._encode_plain(straight, list(compress(missing, is_plain)), fresh)
+            self._encode(whole, [p for p, known in zip(missing, is_plain, strict=True) if not known], fresh)
+        kept = fresh if max(map(len, fresh)) <= LONG else {p: ids for p, ids in fresh.items() if len(p) <= LONG}
         recent.update(kept)
         state["held"] += sum(map(len, kept)) + sum(map(len, kept.values())) + ENTRY_BYTES * len(kept)
-        return [recent[p] if p in recent else fresh[p] for p in pieces]
+        return [fresh[p] if ids is None else ids for p, ids in zip(pieces, packed, strict=True)]
 
     def joined(self, packed: list[bytes], index: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of pieces ``packed[i]`` for i in ``index`` one after another, and where each begins."""
