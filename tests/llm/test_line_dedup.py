@@ -8,12 +8,12 @@ def cleaned(docs, **options):
 def brute_force(rows, min_sites=line_dedup.MIN_SITES):
     sites, owner = {}, {}
     for i, text, source in rows:
-        for line in {x.strip(" ") for x in (text or "").split("\n")} - {""}:
+        for line in {x.strip(" \t\r\x0b\x0c") for x in (text or "").split("\n")} - {""}:
             sites.setdefault(line, set()).update([source] if source is not None else [])
             owner[line] = min(owner.get(line, i), i)
     out = {}
     for i, text, _ in rows:
-        gone = lambda x: len(sites.get(x.strip(" "), ())) >= min_sites and owner[x.strip(" ")] != i  # noqa: E731,B023
+        gone = lambda x: len(sites.get(x.strip(" \t\r\x0b\x0c"), ())) >= min_sites and owner[x.strip(" \t\r\x0b\x0c")] != i  # noqa: E731,B023
         out[i] = "\n".join(x for x in text.split("\n") if not gone(x))
     return out
 
@@ -33,6 +33,14 @@ def test_lines_far_beyond_the_threshold_are_left_to_the_sketch(documents):
     assert found == brute_force(rows)
 
 
+def test_white_space_at_the_ends_does_not_hide_a_line(documents):
+    rows = [(i, f"{a}shared words{b}\nown {i}", f"s{i}") for i, (a, b) in enumerate([("", "\r"), ("\t", ""), (" ", " \x0b "), ("\x0c \t", "\r "), ("", "")])]
+    rows.append((9, "\tshared\twords\r\n \t\r", "s9"))
+    found = {r.doc_id: r.text for r in cleaned(documents(rows)).collect()}
+    assert found == brute_force(rows)
+    assert [found[i] for i in range(1, 5)] == [f"own {i}" for i in range(1, 5)] and found[9] == rows[-1][1]
+
+
 def test_counts_and_odd_rows(documents, odd_rows):
     docs = documents(odd_rows, clash=True)
     out = cleaned(docs, counts=True).collect()

@@ -46,24 +46,25 @@ select doc_id, size, source_size, target,
 from running
 """
 
+_SPACES = "' ' || " + " || ".join(f"chr({ord(c)})" for c in line_dedup.ODD_SPACES)
 _LINES = f"""
 with split as (
   select doc_id, source, text, md5(text) as doc_key, string_split(text, chr(10)) as parts from documents
 ), lines as (
   select doc_id, doc_key, source, unnest(parts) as line from split
 ), shared as (
-  select trim(line) as line, min(doc_id) as owner_id, arg_min(doc_key, doc_id) as owner_key
-  from lines where trim(line) <> '' group by 1 having count(distinct source) >= {line_dedup.MIN_SITES}
+  select trim(line, {_SPACES}) as line, min(doc_id) as owner_id, arg_min(doc_key, doc_id) as owner_key
+  from lines where trim(line, {_SPACES}) <> '' group by 1 having count(distinct source) >= {line_dedup.MIN_SITES}
 ), gone as (
   select l.doc_id, l.doc_key, list(distinct s.line) as hits
-  from lines l join shared s on trim(l.line) = s.line
+  from lines l join shared s on trim(l.line, {_SPACES}) = s.line
   where not (l.doc_id = s.owner_id and l.doc_key = s.owner_key) group by 1, 2
 )
 select d.doc_id,
   case when g.hits is null then d.text
-    else array_to_string(list_filter(parts, lambda x: not list_contains(g.hits, trim(x))), chr(10)) end as text,
+    else array_to_string(list_filter(parts, lambda x: not list_contains(g.hits, trim(x, {_SPACES}))), chr(10)) end as text,
   coalesce(len(parts), 0)::bigint as n_lines,
-  coalesce(len(list_filter(parts, lambda x: list_contains(g.hits, trim(x)))), 0)::bigint as n_removed
+  coalesce(len(list_filter(parts, lambda x: list_contains(g.hits, trim(x, {_SPACES})))), 0)::bigint as n_removed
 from split d left join gone g on d.doc_id = g.doc_id and d.doc_key = g.doc_key
 """
 
