@@ -1,3 +1,4 @@
+import hashlib
 import zlib
 
 import numpy as np
@@ -122,3 +123,43 @@ def test_toxicity_of_odd_rows(spark, documents, odd_rows):
     none = toxic_cnn.score_documents(docs, labels.limit(0)).collect()
     assert {r.score for r in none} == {0.0}
     assert toxic_cnn.score_documents(docs.limit(0), labels).count() == 0
+
+
+def test_an_id_on_a_third_of_all_rows_is_one_row_of_the_sample(spark, documents):
+    from tillwise.llm.labelled import one_text_each, sampled
+
+    docs = documents([(i, f"text {i}", "s") for i in range(400)] + [(7, f"again {i % 5}", "s") for i in range(300)] + [(8, None, "s")] * 50)
+    labels = spark.createDataFrame([(i, i % 2, i % 2) for i in range(0, 400, 2)] + [(7, 1, 1)], "doc_id long, quality int, toxic int")
+    chosen = sampled(labels, "quality", 50)
+    found = one_text_each(docs, chosen, "lang").collect()
+    assert sorted(r.doc_id for r in found) == sorted(r.doc_id for r in chosen.collect()) and len(found) == 50
+    every = {r.doc_id: r.text for r in one_text_each(docs, labels.select("doc_id", "toxic")).collect()}
+    texts = ["text 7", *(f"again {i}" for i in range(5))]
+    assert every[7] == min(texts, key=lambda t: hashlib.md5(t.encode()).hexdigest()) and every[8] is None
+
+
+def test_gradient_by_differences():
+    """The fit lowers the negative log-likelihood to a point where no small step of any parameter lowers it further."""
+    rng = np.random.default_rng(6)
+    rows = [(rng.choice(20, 4, replace=False), rng.random(4)) for _ in range(300)]
+    truth = rng.normal(size=20) * 3
+    scores = np.array([truth[s] @ v for s, v in rows])
+    grades = np.digitize(scores + rng.logistic(size=300), [-1.5, 1.5])
+    model = ordinal_quality.fit(rows, grades)
+    assert model.grades == [0, 1, 2] and model.offsets[0] > model.offsets[1]
+
+    def loss(weights, offsets):
+        score = np.array([weights[s] @ v for s, v in rows])
+        tails = np.column_stack([np.ones(300), 1 / (1 + np.exp(-(score[:, None] + offsets))), np.zeros(300)])
+        chance = tails[np.arange(300), grades] - tails[np.arange(300), grades + 1]
+        return -np.log(chance).mean() + ordinal_quality.RIDGE / 2 * (weights**2).sum()
+
+    best, start = loss(model.weights, model.offsets), loss(np.zeros(ordinal_quality.SLOTS), np.array([1.0, -1.0]))
+    assert best < 0.8 * start
+    for k in range(20):
+        for step in (-0.5, 0.5):
+            moved = model.weights.copy()
+            moved[k] += step
+            assert loss(moved, model.offsets) > best
+    for step in (-0.3, 0.3):
+        assert loss(model.weights, model.offsets + step) > best

@@ -6,7 +6,7 @@ cross.  The expected grade and a tail probability select documents.
 
 Features of a whole text: its words, the last three bytes of its words, and a few binned shares
 (repetition, characters other than letters, word length), hashed to ``SLOTS`` weights.  The model
-is fitted on at most ``TRAIN_ROWS`` labelled documents, taken by a hash of the id; only their
+is fitted on at most ``TRAIN_ROWS`` labelled documents, taken by a hash of the id (one row of an id); only their
 sparse features come to the driver, and only the weights (half a MB) go to the tasks.
 
 Cases: a null text counts as empty and gets a score like any other; without labels the expected
@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StructField, StructType
 
-from tillwise.llm.labelled import sampled
+from tillwise.llm.labelled import one_text_each, sampled
 
 SLOTS = 1 << 16
 TRAIN_ROWS = 6_000
@@ -130,9 +130,9 @@ def train(docs: DataFrame, labels: DataFrame, grade: str = "quality", most: int
     """Fit on at most ``most`` labelled documents."""
     # At most ``most`` ids, so they may go to every task.
     chosen = sampled(labels, grade, most)
-    rows = docs.select("doc_id", F.col("text").cast("binary").alias("text")).join(F.broadcast(chosen), "doc_id")
+    rows = one_text_each(docs, chosen)
     # The same rows in the same order on every run, so that sums agree to the last digit.
-    rows = rows.select("doc_id", F.col(grade).alias("grade"), _packed_features("text").alias("f")).toPandas()
+    rows = rows.select("doc_id", F.col(grade).alias("grade"), _packed_features(F.col("text").cast("binary")).alias("f")).toPandas()
     rows["slots"] = [f["slots"] for f in rows["f"]]
     rows = rows.sort_values(["doc_id", "slots"], kind="stable")
     sparse = [(np.frombuffer(f["slots"], "<i4"), np.frombuffer(f["values"], "<f4")) for f in rows["f"]]
