@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from tillwise.operators import bronze, quality
 from tillwise.plans import jobs
+from tillwise.sources import tables
 from tillwise.sources.tables import BRONZE, Lakehouse, read_csv, write_table
 
 
@@ -119,6 +120,35 @@ def test_a_failed_overwrite_leaves_the_table(spark, bronze_lines, tmp_path):
     assert spark.read.parquet(path).count() == 7
 
 
+def test_a_failed_swap_puts_the_old_table_back(spark, bronze_lines, tmp_path, monkeypatch):
+    """The second of the two renames fails; the table is as before and the new one lies where it was written."""
+    path = str(tmp_path / "t")
+    write_table(bronze_lines, path)
+    real = tables._file_system
+
+    class Files:
+        def __init__(self, files):
+            self.files, self.renames = files, 0
+
+        def __getattr__(self, name):
+            return getattr(self.files, name)
+
+        def rename(self, one, other):
+            self.renames += 1
+            return self.renames != 2 and self.files.rename(one, other)
+
+    def failing(session, place):
+        files, at = real(session, place)
+        return Files(files), at
+
+    monkeypatch.setattr(tables, "_file_system", failing)
+    with pytest.raises(OSError, match="could not replace"):
+        write_table(bronze_lines.limit(1), path)
+    assert spark.read.parquet(path).count() == 7
+    staged = [p for p in tmp_path.iterdir() if p.name.startswith("_t-")]
+    assert len(staged) == 1 and spark.read.parquet(str(staged[0])).count() == 1
+
+
 def test_partitioned_write(spark, silver_lines, tmp_path):
     path = str(tmp_path / "t")
     write_table(silver_lines, path, partition_by=["Year", "Month"])

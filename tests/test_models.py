@@ -55,6 +55,41 @@ def test_series_per_key_do_not_mix(daily):
     assert rows["B", day]["lag_7"] == pytest.approx(2 * rows["A", day]["lag_7"])
 
 
+def test_folds_never_train_on_what_follows(daily):
+    series = features.forecast_features(daily)
+    rows = records(features.rolling_folds(series, 3, 10))
+    days = sorted(r["sale_date"] for r in records(series))
+    for fold in (1, 2, 3):
+        own = {part: sorted(r["sale_date"] for r in rows if (r["fold"], r["part"]) == (fold, part)) for part in ("train", "test")}
+        end = days[-1] - timedelta(days=10 * (fold - 1))
+        assert own["test"] == [d for d in days if end - timedelta(days=10) < d <= end]
+        assert own["train"] == [d for d in days if d <= end - timedelta(days=10)]
+
+
+def test_horizons_know_nothing_later_than_their_origin(daily):
+    rows = keyed(features.horizon_features(daily, 5), "origin", "horizon")
+    revenue = {date(r["Year"], r["Month"], r["Day"]): r["daily_revenue"] for r in records(daily)}
+    days = sorted(revenue)
+    assert len(rows) == 5 * len(days)
+    for (origin, horizon), row in rows.items():
+        past = [revenue[d] for d in days if d <= origin]
+        assert row["target"] == origin + timedelta(days=horizon) and row["daily_revenue"] == revenue.get(row["target"])
+        for name, size in (("lag_7", 7), ("lag_30", 30)):
+            assert row[name] == pytest.approx(sum(past[-size:]) / len(past[-size:]))
+        assert row["month"] == row["target"].month
+
+
+def test_direct_forecast_follows_the_calendar(daily):
+    """One model; every horizon has its own features, so a weekly pattern shows in the forecast."""
+    weekly = daily.withColumn("daily_revenue", F.when(F.dayofweek(F.make_date("Year", "Month", "Day")) == 1, 900.0).otherwise(100.0))
+    rows = features.horizon_features(weekly, 14)
+    made = keyed(models.forecast_direct(models.train_direct(rows), rows), "horizon")
+    assert set(made) == set(range(1, 15))
+    sundays = [r["prediction"] for r in made.values() if r["prediction_date"].isoweekday() == 7]
+    others = [r["prediction"] for r in made.values() if r["prediction_date"].isoweekday() != 7]
+    assert len(sundays) == 2 and min(sundays) > 2 * max(others)
+
+
 def test_customer_features(silver_lines):
     rows = keyed(features.customer_features(silver_lines, "2022-07-11 00:00:00"), "CustomerID")
     found = {k: (r["recency"], r["frequency"], r["monetary"], r["avg_order_value"]) for k, r in rows.items()}

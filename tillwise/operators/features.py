@@ -63,3 +63,56 @@ def customer_features(df: DataFrame, as_of: datetime | date | str | Column | Non
         monetary.alias("monetary"),
         F.try_divide(monetary, F.col("amounts")).alias("avg_order_value"),
     )
+
+
+def rolling_folds(series: DataFrame, folds: int, days: int, day: str = "sale_date") -> DataFrame:
+    """Each row once for every fold that it takes part in: ``fold`` (1 is the latest) and ``part``, train or test.
+
+    Fold f ends ``(f - 1) * days`` days before the last day: its last ``days`` days are for testing and all days before
+    for training, so no model sees the future of what it is tested on.  One dataset for all folds: errors of
+    all of them are one aggregation.  The last day is a scalar subquery; rows without a day are in no fold.
+    """
+    last = table_wide(series, last=F.max(day))["last"]
+    age = F.datediff(last, F.col(day))
+    rows = series.withColumn("fold", F.explode(F.sequence(F.lit(1), F.lit(folds)))).withColumn("_age", age)
+    oldest = F.col("fold") * days
+    dealt = rows.filter(F.col("_age") >= (F.col("fold") - 1) * days)
+    return dealt.withColumn("part", F.when(F.col("_age") < oldest, "test").otherwise("train")).drop("_age")
+
+
+def horizon_features(daily: DataFrame, horizons: int, keys: Sequence[str] = ()) -> DataFrame:
+    """Rows (origin day, horizon) for direct forecasts: what is known on the origin day and the calendar of the target day.
+
+    ``daily_revenue`` is that of the target day, null where it has no sales or lies ahead.  Means are those of
+    the last 7 and 30 days with sales up to the origin, so no row knows anything later, whatever its horizon.  One model
+    fits all horizons and one transform forecasts them, without a loop.  There are ``horizons`` rows for each calendar
+    day and key.
+    """
+
+    def recent(rows: int) -> Column:
+        frame = Window.partitionBy(*keys).orderBy("origin").rowsBetween(1 - rows, 0)
+        revenue = F.col("daily_revenue").cast("decimal(30,2)")
+        return F.try_divide(money.as_double(F.sum(revenue).over(frame)), F.count(revenue).over(frame))
+
+    days = daily.filter(F.col("Year").isNotNull()).select(*keys, F.make_date("Year", "Month", "Day").alias("origin"), "daily_revenue")
+    known = days.select(*keys, "origin", recent(SHORT_LAG).alias("lag_7"), recent(LONG_LAG).alias("lag_30"))
+    rows = known.withColumn("horizon", F.explode(F.sequence(F.lit(1), F.lit(horizons))))
+    rows = rows.withColumn("target", F.date_add("origin", F.col("horizon")))
+    labels = days.select(*[F.col(k).alias(f"label_{k}") for k in keys], F.col("origin").alias("label_day"), "daily_revenue")
+    same = F.col("target") == F.col("label_day")
+    for key in keys:
+        same = same & F.col(key).eqNullSafe(F.col(f"label_{key}"))
+    day = F.col("target")
+    return rows.join(labels, same, "left").select(
+        *keys,
+        "origin",
+        "horizon",
+        "target",
+        F.dayofyear(day).alias("day_of_year"),
+        F.month(day).alias("month"),
+        F.dayofweek(day).alias("day_of_week"),
+        F.coalesce("lag_7", F.lit(0.0)).alias("lag_7"),
+        F.coalesce("lag_30", F.lit(0.0)).alias("lag_30"),
+        F.coalesce("lag_7", F.lit(0.0)).alias("rolling_mean_7"),
+        "daily_revenue",
+    )

@@ -21,6 +21,7 @@ from tillwise.constants import (
     TRAIN_PERCENT,
 )
 from tillwise.functions import money
+from tillwise.functions.scalars import table_wide
 from tillwise.operators.evaluate import regression_metrics
 from tillwise.operators.features import LONG_LAG, SHORT_LAG
 
@@ -95,6 +96,22 @@ def forecast(model: PipelineModel, daily: DataFrame, days: int = FORECAST_DAYS)
     return model.transform(future_features(daily, days)).select("prediction_date", "prediction")
 
 
+def train_direct(rows: DataFrame, trees: int = FOREST_TREES, partitions: int = 8) -> PipelineModel:
+    """One random forest for all horizons, on the rows of ``features.horizon_features`` whose target day is known."""
+    known = rows.filter(F.col("daily_revenue").isNotNull())
+    known = known.repartition(partitions, "origin").sortWithinPartitions("origin", "horizon")
+    forest = RandomForestRegressor(featuresCol="features", labelCol="daily_revenue", numTrees=trees, seed=SEED)
+    assembler = VectorAssembler(inputCols=[*FORECAST_FEATURES, "horizon"], outputCol="features")
+    return Pipeline(stages=[assembler, forest]).fit(known)
+
+
+def forecast_direct(model: PipelineModel, rows: DataFrame) -> DataFrame:
+    """Forecasts from the latest origin day of the rows, each horizon by its own features."""
+    newest = table_wide(rows, origin=F.max("origin"))["origin"]
+    made = model.transform(rows.filter(F.col("origin") == newest))
+    return made.select(F.col("target").alias("prediction_date"), "horizon", "prediction")
+
+
 def complete() -> Column:
     """The customer has every feature the clusters are made of."""
     known = F.lit(True)

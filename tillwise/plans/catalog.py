@@ -24,7 +24,7 @@ from tillwise.operators import (
     silver,
     views,
 )
-from tillwise.constants import QUINTILES
+from tillwise.constants import FORECAST_DAYS, QUINTILES
 from tillwise.functions import sketches
 from tillwise.plans import gold_tables, jobs, modelling, monitoring
 from tillwise.schemas import CORRUPT_COLUMN
@@ -305,6 +305,36 @@ def forecast_features(spark, sf_dir):
     return features.forecast_features(sales.daily_sales(_silver(spark, sf_dir)))
 
 
+@query
+def horizon_features(spark, sf_dir):
+    return features.horizon_features(stored(sales.daily_sales(_silver(spark, sf_dir)), "daily"), FORECAST_DAYS)
+
+
+@query
+def rolling_origin_errors(spark, sf_dir):
+    """Six folds in time order and the errors of a plain forecast (the mean of the last seven days) in each."""
+    series = stored(features.forecast_features(sales.daily_sales(_silver(spark, sf_dir))), "series")
+    folds = features.rolling_folds(series, 6, FORECAST_DAYS)
+    days = folds.groupBy("fold").agg(
+        F.count_if(F.col("part") == "train").alias("train_days"),
+        F.max(F.when(F.col("part") == "train", F.col("sale_date"))).alias("train_end"),
+        F.min(F.when(F.col("part") == "test", F.col("sale_date"))).alias("test_start"),
+    )
+    tested = folds.filter(F.col("part") == "test").withColumn("prediction", F.col("lag_7"))
+    errors = evaluate.regression_metrics(tested, by=["fold"]).select("fold", "mae", "rmse", "sample_count")
+    return rounded(days.join(errors, "fold"), {"mae": 4, "rmse": 3})
+
+
+@query
+def direct_forecast_checked(spark, sf_dir):
+    """The days of the direct forecast, and whether each lies between the smallest and largest day so far."""
+    daily = stored(sales.daily_sales(_silver(spark, sf_dir)), "daily")
+    rows = stored(features.horizon_features(daily, FORECAST_DAYS), "horizons")
+    known = daily.agg(F.struct(F.min("daily_revenue").alias("low"), F.max("daily_revenue").alias("high"))).scalar()
+    made = models.forecast_direct(models.train_direct(rows), rows)
+    return made.select("prediction_date", "horizon", F.col("prediction").between(known["low"], known["high"]).alias("inside"))
+
+
 @query
 def future_features(spark, sf_dir):
     return models.future_features(sales.daily_sales(_silver(spark, sf_dir)))

@@ -662,6 +662,28 @@ def oracle_sql() -> dict[str, str]:
         "outliers_3sigma": f"WITH {SILVER}, {outliers('silver')}",
         "outliers_raw": f"WITH {LINES}, {outliers('lines')}",
         "forecast_features": f"WITH {SILVER}, {DAILY}, {FEATURES} SELECT {series} FROM lags",
+        "horizon_features": f"""WITH {SILVER}, {DAILY}, {FEATURES},
+            origins AS (
+              SELECT sale_date AS origin, CAST(SUM(exact_revenue) OVER w7 AS DOUBLE) / COUNT(exact_revenue) OVER w7 AS lag_7,
+                     CAST(SUM(exact_revenue) OVER w30 AS DOUBLE) / COUNT(exact_revenue) OVER w30 AS lag_30
+              FROM series WINDOW w7 AS (ORDER BY sale_date ROWS BETWEEN 6 PRECEDING AND CURRENT ROW),
+                                 w30 AS (ORDER BY sale_date ROWS BETWEEN 29 PRECEDING AND CURRENT ROW)),
+            ahead AS (SELECT *, CAST(origin + horizon AS DATE) AS target
+                      FROM origins, (SELECT CAST(unnest(range(1, {K.FORECAST_DAYS + 1})) AS INTEGER) AS horizon))
+            SELECT origin, horizon, target, CAST(dayofyear(target) AS INTEGER) AS day_of_year, CAST(month(target) AS INTEGER) AS month,
+                   CAST(dayofweek(target) + 1 AS INTEGER) AS day_of_week, lag_7, lag_30, lag_7 AS rolling_mean_7, daily_revenue
+            FROM ahead LEFT JOIN series ON target = sale_date""",
+        "rolling_origin_errors": f"""WITH {SILVER}, {DAILY}, {FEATURES},
+            aged AS (SELECT *, date_diff('day', sale_date, (SELECT MAX(sale_date) FROM lags)) AS age FROM lags),
+            folds AS (SELECT *, age < fold * {K.FORECAST_DAYS} AS test
+                      FROM aged JOIN (SELECT CAST(unnest(range(1, 7)) AS INTEGER) AS fold) ON age >= (fold - 1) * {K.FORECAST_DAYS})
+            SELECT fold, COUNT(*) FILTER (WHERE NOT test) AS train_days, MAX(sale_date) FILTER (WHERE NOT test) AS train_end,
+                   MIN(sale_date) FILTER (WHERE test) AS test_start, round(AVG(abs(daily_revenue - lag_7)) FILTER (WHERE test), 4) AS mae,
+                   round(sqrt(AVG((daily_revenue - lag_7) ** 2) FILTER (WHERE test)), 3) AS rmse, COUNT(*) FILTER (WHERE test) AS sample_count
+            FROM folds GROUP BY fold""",
+        "direct_forecast_checked": f"""WITH {SILVER}, last AS (SELECT MAX(CAST(InvoiceTimestamp AS DATE)) AS day FROM silver)
+            SELECT CAST(day + ahead AS DATE) AS prediction_date, ahead AS horizon, TRUE AS inside
+            FROM last, (SELECT CAST(unnest(range(1, {K.FORECAST_DAYS + 1})) AS INTEGER) AS ahead)""",
         "future_features": f"""WITH {SILVER}, {DAILY}, {FEATURES},
             recent AS (SELECT *, row_number() OVER (ORDER BY sale_date DESC) AS age FROM series),
             latest AS (
