@@ -5,8 +5,8 @@ are dealt to cells around centres of the tree's upper levels, and cells to block
 vectors.  Two blocks meet, in a task group of their own, only if their cells' centres are no
 further apart than both covering radii and the threshold.  Inside, each block is a tree of nested
 levels whose radii halve, and both trees are walked together: pairs of nodes whose centres are too
-far apart for their covering radii are dropped with all below them, pairs whose every two vectors
-must be close enough are linked at once, and the rest are opened.
+far apart for their covering radii are dropped with all below them, pairs of nodes about as wide as the
+threshold are compared vector by vector, and the rest are opened.
 
 Equal vectors are one row with a weight before the search.  A group sends the number of links of
 each vector and a spanning forest, never its pairs.  Centres come from a bounded sample of the
