@@ -66,7 +66,8 @@ def test_distance_of_distributions(spark, shift, spread):
     one, other = [rng.gauss(0, 1) for _ in range(1500)], [rng.gauss(shift, spread) for _ in range(900)]
     tables = [spark.createDataFrame([(v,) for v in side], "v double") for side in (one, other)]
     made = [t.agg(sketches.quantile_sketch(t, "v").alias("s")).scalar() for t in tables]
-    found = spark.range(1).select(sketches.ks_distance(made[0], made[1]).alias("d")).first()["d"]
+    both = spark.range(1).select(made[0].alias("one"), made[1].alias("other"))
+    found = both.select(sketches.ks_distance(F.col("one"), F.col("other")).alias("d")).first()["d"]
     assert found == pytest.approx(ks_by_hand(one, other), abs=0.011)
 
 
