@@ -228,7 +228,7 @@ def judged_by_past(windows: DataFrame, history: DataFrame, keys: Sequence[str] =
         *windows.columns,
         n.cast("bigint").alias("past_n"),
         (F.col("origin") + F.try_divide("seen_s1", n)).alias("past_mean"),
-        F.sqrt(F.greatest(variance, F.lit(0.0))).alias("past_deviation"),
+        F.when(n > 1, F.sqrt(F.greatest(variance, F.lit(0.0)))).alias("past_deviation"),
     )
     kept = [F.col(f"past_{k}").alias(k) for k in keys]
     added = parts.select(*keys, "origin", F.col("n").cast("bigint").alias("n"), F.col("own_s1").alias("s1"), F.col("own_s2").alias("s2"))
