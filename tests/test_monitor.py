@@ -112,6 +112,15 @@ def test_alerts(metrics, now):
     assert (alert["level"], alert["current_value"], alert["resolved"]) == ("warning", 0.8125, False)
 
 
+def test_numbers_in_alerts_are_those_of_printf(spark, now):
+    """A double whose shortest text ends in 5 lies above or below that tie."""
+    values = [0.7875, 0.9625, 0.9735, 0.9995, -0.7875, 0.0005, 1e-300, 12345.0625, 2.0**53, 2.0**62]
+    rows = [(f"x{i}", v, 0.98, "data_quality", now, "unhealthy", "warning") for i, v in enumerate(values)]
+    raised = keyed(monitor.alerts(spark.createDataFrame(rows, schemas.METRICS)), "metric_name")
+    for i, v in enumerate(values):
+        assert raised[f"x{i}"]["description"] == f"Metric x{i} is {v:.3f}, threshold: 0.980"
+
+
 def test_alerts_of_one_second_have_different_ids(spark, now):
     rows = [
         ("x", 0.1, 0.9, "data_quality", now + timedelta(milliseconds=i), "unhealthy", "warning") for i in range(3)
