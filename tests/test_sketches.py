@@ -6,7 +6,7 @@ import pytest
 from conftest import SMALL, records
 from pyspark.sql import functions as F
 
-from tillwise.functions import sketches
+from tillwise.functions import distribution, sketches
 from tillwise.operators import aliases, monitor
 from tillwise.sources.invoice_adapter import read_table
 
@@ -32,6 +32,19 @@ def test_quantiles_merged_from_parts_keep_their_promise(spark, numbers):
     assert empty["whole"] is None and empty["real"] is None
 
 
+@pytest.mark.parametrize("margin", [None, 0.0, 0.9])
+def test_sketched_cut_points_are_the_exact_ones(spark, numbers, monkeypatch, margin):
+    """Also where the cut point is not between the bounds that the sketch gave."""
+    if margin is not None:
+        monkeypatch.setattr(distribution, "rank_error", lambda: margin)
+    shares = (0.0, 0.2, 0.4, 0.6, 0.8, 1.0)
+    made = [distribution.quantiles(numbers, ["whole", "real"], shares, sketch=sketch) for sketch in (False, True)]
+    row = spark.range(1).select(made[0].alias("exact"), made[1].alias("sketched")).first()
+    assert row["exact"] == row["sketched"]
+    empty = distribution.quantiles(numbers.limit(0), ["whole", "real"], shares, sketch=True)
+    assert spark.range(1).select(empty["whole"][1].alias("cut")).first()["cut"] is None
+
+
 def test_rank_errors_count_ties_on_both_sides(spark):
     df = spark.createDataFrame([(1,), (2,), (2,), (2,), (9,), (None,)], "v int")
     cuts = spark.range(1).select(F.struct(F.array(F.lit(2), F.lit(1), F.lit(9)).alias("v")).alias("cuts")).select("cuts").scalar()

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegralType
 
 from tillwise.constants import QUINTILES
-from tillwise.functions.sketches import at_shares, quantile_sketch
+from tillwise.functions.sketches import at_shares, quantile_sketch, rank_error
 
 RANGES_PER_PARTITION = 4
 #: Hash slots whose values are sketched side by side, so that no task merges all sketches.
@@ -128,20 +128,68 @@ def with_ranks(df: DataFrame, ranks: Mapping[str, str]) -> DataFrame:
     return df
 
 
+def _wanted(share: float, rows: Column) -> Column:
+    """How many rows the cut point of a share has to cover."""
+    return F.ceil(F.lit(str(share)).cast("decimal(9,6)") * rows.cast("decimal(20,0)"))
+
+
+def _sketched_quantiles(df: DataFrame, measures: Sequence[str], at: Sequence[float]) -> Column:
+    """One sketch of each measure bounds every cut point; rows between the bounds decide it, so it is exact.
+
+    The bounds' own ranks are counted.  Where a cut point is not between them after all, the rows on its side of
+    them decide.
+    """
+    margin, seen, counted = rank_error(), F.col("_bounds"), F.col("_counted")
+    around = [min(max(p + side, 0.0), 1.0) for p in at for side in (-margin, margin)]
+    made = df.agg(*[quantile_sketch(df, m).alias(m) for m in measures])
+    kinds = {m: "bigint" if _is_whole(df, m) else "double" for m in measures}
+    bounds = made.select(F.struct(*[at_shares(F.col(m), kinds[m], around).alias(m) for m in measures])).scalar()
+    bounded = df.select(*measures).withColumn("_bounds", bounds)
+    spots = [(m, i) for m in measures for i in range(len(at))]
+    counts = [
+        F.struct(F.count(m).alias("rows"), F.count_if(F.col(m) < seen[m][2 * i]).alias("below"), F.count_if(F.col(m) <= seen[m][2 * i + 1]).alias("through"))
+        for m, i in spots
+    ]
+    bounded = bounded.withColumn("_counted", bounded.agg(F.array(*counts).alias("counted")).scalar())
+    near = []
+    for spot, (m, i) in enumerate(spots):
+        value, low, high, found = F.col(m), seen[m][2 * i], seen[m][2 * i + 1], counted[spot]
+        wanted = F.greatest(_wanted(at[i], found["rows"]), F.lit(1))
+        early, late = found["below"] >= wanted, found["through"] < wanted
+        near.append(
+            F.struct(
+                F.lit(spot).alias("spot"),
+                value.cast("double").alias("value"),
+                _exact(df, m).alias("whole"),
+                (wanted - F.when(early, 0).when(late, found["through"]).otherwise(found["below"])).alias("missing"),
+                F.when(early, value < low).when(late, value > high).otherwise((value >= low) & (value <= high)).alias("inside"),
+            )
+        )
+    values = bounded.select(F.inline(F.filter(F.array(*near), lambda x: x["inside"])))
+    values = values.groupBy("spot", "value", "whole", "missing").agg(F.count(F.lit(1)).alias("n"))
+    # Between its bounds each cut point has twice ``rank_error()`` of the rows, equal ones once.
+    through = F.sum("n").over(Window.partitionBy("spot").orderBy("value", "whole").rowsBetween(Window.unboundedPreceding, 0))
+    reached = values.withColumn("through", through).filter(F.col("through") >= F.col("missing"))
+
+    def cut(spot: int, measure: str) -> Column:
+        return F.min(F.when(F.col("spot") == spot, F.col("whole") if _is_whole(df, measure) else F.col("value")))
+
+    cuts = {m: F.array(*[cut(spot, m) for spot, (own, _) in enumerate(spots) if own == m]) for m in measures}
+    return reached.agg(F.struct(*[cuts[m].alias(m) for m in measures])).scalar()
+
+
 def quantiles(
     df: DataFrame, measures: Sequence[str], at: Sequence[float] = QUINTILES, *, sketch: bool = False
 ) -> Column:
     """Scalar struct of arrays: per measure the smallest values that cover each share.
 
-    ``sketch`` merges one quantile sketch per measure instead of counting positions; the share of rows that a
-    cut point covers is then off by ``sketches.rank_error()`` at most, at any size.
+    ``sketch`` merges one quantile sketch per measure instead of counting the positions of all values; only those
+    near a cut point are shuffled.  Both are exact.
     """
     if sketch:
-        made = df.agg(*[quantile_sketch(df, m).alias(m) for m in measures])
-        kinds = {m: "bigint" if _is_whole(df, m) else "double" for m in measures}
-        return made.select(F.struct(*[at_shares(F.col(m), kinds[m], at).alias(m) for m in measures])).scalar()
+        return _sketched_quantiles(df, measures, at)
     through = F.col("before") + F.col("n")
-    wanted = [F.ceil(F.lit(str(p)).cast("decimal(9,6)") * F.col("rows").cast("decimal(20,0)")) for p in at]
+    wanted = [_wanted(p, F.col("rows")) for p in at]
 
     def cuts(measure: str) -> Column:
         mine = F.col("measure") == measure

@@ -8,7 +8,6 @@ from tillwise.functions import money
 from tillwise.functions.distribution import quantiles
 from tillwise.functions.scalars import table_wide
 from tillwise.functions.scoring import cltv_band, quintile_score, rfm_segment
-from tillwise.functions.sketches import rank_errors
 from tillwise.operators.sales import measures
 
 
@@ -80,8 +79,7 @@ def rfm_thresholds(df: DataFrame, *, sketch: bool = False) -> DataFrame:
 def rfm_detailed(df: DataFrame, *, sketch: bool = False) -> DataFrame:
     """RFM scores and segments from silver lines, an invoice rollup or a customer base.
 
-    Cut points are exact by default; ``sketch`` takes them from quantile sketches, whose ranks are off by
-    ``sketches.rank_error()`` at most (see ``rfm_sketch_errors``).
+    ``sketch`` finds the cut points with quantile sketches and the rows near them instead of all positions.
     """
     customers = _rfm_inputs(df)
     cuts = F.col("_cuts")
@@ -110,12 +108,6 @@ def rfm_detailed(df: DataFrame, *, sketch: bool = False) -> DataFrame:
     )
 
 
-def rfm_sketch_errors(df: DataFrame) -> DataFrame:
-    """(measure, share, n, error) of the cut points that ``sketch=True`` takes."""
-    inputs = _rfm_inputs(df)
-    return rank_errors(inputs, RFM_METRICS, quantiles(inputs, RFM_METRICS, sketch=True), QUINTILES)
-
-
 def _cltv_inputs(df: DataFrame) -> DataFrame:
     lifespan = F.datediff("last_purchase", "first_purchase") + 1
     mean_line = F.try_divide(money.as_double(F.col("amount")), F.col("amounts"))
@@ -146,12 +138,6 @@ def _cltv_inputs(df: DataFrame) -> DataFrame:
     )
 
 
-def cltv_sketch_errors(df: DataFrame) -> DataFrame:
-    """(measure, share, n, error) of the cut points that ``sketch=True`` takes."""
-    inputs = _cltv_inputs(df)
-    return rank_errors(inputs, ["predicted_cltv"], quantiles(inputs, ["predicted_cltv"], sketch=True), QUINTILES)
-
-
 def cltv_detailed(df: DataFrame, *, sketch: bool = False) -> DataFrame:
     """Lifetime value and value band, best first; cut points as in ``rfm_detailed``."""
     customers = _cltv_inputs(df)

@@ -622,7 +622,7 @@ def oracle_sql() -> dict[str, str]:
         "country_sales_simple": f"WITH {SIMPLE} {SIMPLE_COUNTRY}",
         "country_revenue": f"WITH {SIMPLE}, c AS ({SIMPLE_COUNTRY}) SELECT Country, CountryRevenue FROM c",
         "rfm_detailed": rfm,
-        "rfm_sketch": f"WITH {SILVER}, {BASE} " + within(["age", "frequency", "spend"], "base"),
+        "rfm_sketch": rfm,
         "rfm_thresholds": f"""WITH {SILVER}, {BASE}, {RFM} SELECT """
         + ", ".join(
             f"CAST({c}[{i + 1}] AS DOUBLE) AS {name}_{p}"
@@ -631,7 +631,7 @@ def oracle_sql() -> dict[str, str]:
         )
         + " FROM cuts",
         "cltv_detailed": cltv,
-        "cltv_sketch": f"WITH {SILVER}, {BASE} " + within(["predicted_cltv"], "base"),
+        "cltv_sketch": cltv,
         "quantiles_from_sketches": f"WITH {SILVER} " + within(["TotalAmount", "Quantity"], "silver"),
         "distinct_from_sketches": f"""WITH {SILVER} SELECT Country, Year, COUNT(DISTINCT CustomerID) AS CustomerID,
             COUNT(DISTINCT InvoiceNo) AS InvoiceNo, TRUE AS within FROM silver GROUP BY Country, Year""",
