@@ -163,3 +163,35 @@ def test_gradient_by_differences():
             assert loss(moved, model.offsets) > best
     for step in (-0.3, 0.3):
         assert loss(model.weights, model.offsets + step) > best
+
+
+def test_every_labelled_document_is_learned(spark, documents, monkeypatch):
+    """No sample: all rows outside the held-out fold are fitted or set aside, whatever their number."""
+    rows = [(i, "plain words" if i % 4 else "a vile word", "s") for i in range(9_000)]
+    labels = spark.createDataFrame([(i, 1, int(i % 4 == 0)) for i in range(9_000)], LABELS)
+    seen = []
+
+    def fit(rows, n, share):
+        seen.append((rows.count(), n, share))
+        return toxic_cnn.Fitting.start().model()
+
+    monkeypatch.setattr(toxic_cnn, "fit", fit)
+    usable = "crc32(cast(cast(doc_id as string) as binary)) % 5 <> 0"
+    toxic_cnn.train(documents(rows), labels.filter(usable))
+    own = [i for i in range(9_000) if zlib.crc32(str(i).encode()) % 5 and zlib.crc32(b"aside%d" % i) % 5]
+    assert seen == [(len(own), len(own), pytest.approx(sum(i % 4 == 0 for i in own) / len(own)))]
+
+
+def test_replicas_agree_on_one_model(spark, documents, monkeypatch):
+    """Many replicas of few documents find the words that one fit finds."""
+    monkeypatch.setattr(toxic_cnn, "ROWS", 150)
+    rng = np.random.default_rng(5)
+    rows, labels = [], []
+    for i in range(1_200):
+        own = [f"plain{w}" for w in rng.integers(300, size=rng.integers(5, 60))]
+        toxic = int(rng.random() < 0.3)
+        rows.append((i, " ".join([*own, f"vile{rng.integers(20)}"] if toxic else own), "s"))
+        labels.append((i, 1, toxic))
+    found = toxic_cnn.score_documents(documents(rows), spark.createDataFrame(labels, LABELS)).filter("held_out").toPandas()
+    truth = np.array([labels[i][2] for i in found.doc_id])
+    assert len(found) > 200 and (found.predicted.to_numpy() == truth).mean() > 0.95

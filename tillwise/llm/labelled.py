@@ -23,12 +23,12 @@ def sampled(labels: DataFrame, label: str, most: int, *, per_class: bool = False
     return taken[0].unionByName(taken[1])
 
 
-def one_text_each(docs: DataFrame, chosen: DataFrame, *columns: str) -> DataFrame:
-    """The rows of ``chosen`` (a bounded number of ids) with ``columns`` and text of one document of that id.
+def one_text_each(docs: DataFrame, chosen: DataFrame, *columns: str, bounded: bool = True) -> DataFrame:
+    """The rows of ``chosen`` with ``columns`` and text of one document of that id; a ``bounded`` number of ids goes to every task.
 
     Where an id is on several rows, that with the smallest digest of the text counts; the others never leave their tasks'
     aggregates, so the bound on ids is one on rows, even if an id holds a third of the table.
     """
     kept = docs.select("doc_id", F.struct(*columns, "text").alias("doc"), F.coalesce(F.md5("text"), F.lit("")).alias("digest"))
-    met = kept.join(F.broadcast(chosen), "doc_id")
+    met = kept.join(F.broadcast(chosen) if bounded else chosen, "doc_id")
     return met.groupBy(*chosen.columns).agg(F.min_by("doc", "digest").alias("doc")).select(*chosen.columns, "doc.*")
