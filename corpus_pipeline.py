@@ -25,7 +25,10 @@ def remove_shared_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: five-word shingles, Jaccard index of 0.8 or more."""
+    """One document of each group of near copies: five-word shingles, Jaccard index of 0.8 or more.
+
+    SimHash fingerprints find links first, minhashes those beyond their reach; all are checked exactly.
+    """
     return text_overlap.overlap_dedup(docs)
 
 

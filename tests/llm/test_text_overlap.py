@@ -134,3 +134,25 @@ def test_columns_that_have_no_order(spark, documents, odd_rows):
     docs = docs.unionByName(docs.filter("doc_id = 3").selectExpr("doc_id", "text", "lang", "source", "n_chars", "map('a', 1L) as tags", "raw"))
     kept = text_overlap.overlap_dedup(docs).collect()
     assert [r.tags for r in kept if r.doc_id == 3] == [{"a": 1}] and len(kept) == 6
+
+
+def test_simhash_finds_links_of_the_stage(spark, documents, monkeypatch):
+    """Long texts with one word changed are linked by their fingerprints alone; unlike sets of one fingerprint are not."""
+    rng = random.Random(11)
+    rows = []
+    for k in range(30):
+        words = [f"w{rng.randrange(9000)}" for _ in range(900)]
+        rows.append((2 * k, " ".join(words), "s"))
+        words[0] = "changed"
+        rows.append((2 * k + 1, " ".join(words), "s"))
+    docs = documents(rows)
+    prints = text_overlap.sketches(docs).cache()
+    node = {r.doc_id: r.fingerprint for r in prints.collect()}
+    links = {frozenset((r.a, r.b)) for r in text_overlap.fingerprint_links(docs, prints).collect()}
+    alike = {frozenset((node[2 * k], node[2 * k + 1])) for k in range(30)}
+    assert links <= alike and len(links) > 24
+    clash = prints.withColumn("simhash", prints["simhash"] * 0)
+    assert {frozenset((r.a, r.b)) for r in text_overlap.fingerprint_links(docs, clash).collect()} <= alike
+    # Without the other search the stage still drops what SimHash links.
+    monkeypatch.setattr(text_overlap, "overlap_links", lambda docs, prints: spark.createDataFrame([], "a long, b long"))
+    assert corpus_pipeline.keep_one_of_each(spark, docs, "").count() == 60 - len(links)

@@ -1,9 +1,10 @@
 """Near copies by overlap: all pairs of texts whose sets of five-word shingles have a Jaccard index of 0.8 or more.
 
-A 64-bit SimHash cannot find these pairs by key: at 0.8 they differ in about ten bits, some in more than fifteen, and
-chains with such a budget have keys that unrelated texts share.  So candidates come from minhashes: ``BANDS`` keys of
-``ROWS`` minima each, of which a pair at 0.8 misses all once in 38,000, nearer pairs less often.  Every candidate link
-is then checked exactly on the two sets.
+SimHash fingerprints of the sets are searched first, by pigeonring as in ``simhash``; each link is checked exactly on the
+two sets.  A 64-bit SimHash cannot find all pairs by key: at 0.8 they differ in about ten bits, some in more than fifteen,
+and chains with such a budget have keys that unrelated texts share.  So the links beyond its ``MOST_BITS`` come from
+minhashes: ``BANDS`` keys of ``ROWS`` minima each, of which a pair at 0.8 misses all once in 38,000, nearer pairs less
+often.  These candidates are checked exactly too.
 
 Equal sets are one node before the search, and keys with the same members are one group.  A group's sets meet once, in
 one task, where a spanning forest of the links is grown and only links are sent.  There a set is compared with those
@@ -23,10 +24,10 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, BinaryType, LongType, StructField, StructType
+from pyspark.sql.types import ArrayType, BinaryType, BooleanType, LongType, StructField, StructType
 
 from tillwise.llm.components import components
-from tillwise.llm.simhash import classes, one_of_each
+from tillwise.llm.simhash import classes, near_links, one_of_each
 from tillwise.llm.tables import text_key
 from tillwise.sources.workspace import stored
 
@@ -74,24 +75,36 @@ def band_keys(shingles: np.ndarray) -> np.ndarray:
     return (spread * _FACTORS).reshape(BANDS, ROWS).sum(axis=1, dtype=np.uint64).view(np.int64)
 
 
+def set_fingerprint(shingles: np.ndarray) -> int:
+    """SimHash of a set as a signed 64-bit number: the bits that over half of its digests have."""
+    set_bits = np.zeros(64, np.int64)
+    for at in range(0, len(shingles), CHUNK):
+        part = shingles[at : at + CHUNK].astype("<u8").view(np.uint8).reshape(-1, 8)
+        set_bits += np.unpackbits(part, axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return int(np.packbits(2 * set_bits > len(shingles), bitorder="little").view("<i8")[0])
+
+
 def overlap(one: np.ndarray, other: np.ndarray) -> bool:
     """True if the Jaccard index of two sets (ascending) is at least ``LEAST``."""
     both = len(np.intersect1d(one, other, assume_unique=True))
     return LEAST[1] * both >= LEAST[0] * (len(one) + len(other) - both)
 
 
-@F.arrow_udf(StructType([StructField("node", LongType()), StructField("size", LongType()), StructField("keys", ArrayType(LongType()))]))
+@F.arrow_udf(
+    StructType([StructField("node", LongType()), StructField("size", LongType()), StructField("keys", ArrayType(LongType())), StructField("simhash", LongType())])
+)
 def _sketches(texts: pa.Array) -> pa.Array:
-    nodes, sizes, keys = [], [], []
+    nodes, sizes, keys, prints = [], [], [], []
     # One set at a time, so a batch of long texts needs little memory.
     for text in texts:
         found = shingle_set(text.as_py())
         nodes.append(xxhash.xxh3_64_intdigest(found.tobytes()))
         sizes.append(len(found))
         keys.append(band_keys(found))
-    columns = [np.array(nodes, np.uint64).view(np.int64), sizes, keys]
-    kinds = [pa.int64(), pa.int64(), pa.list_(pa.int64())]
-    return pa.StructArray.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["node", "size", "keys"])
+        prints.append(set_fingerprint(found))
+    columns = [np.array(nodes, np.uint64).view(np.int64), sizes, keys, prints]
+    kinds = [pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.int64()]
+    return pa.StructArray.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["node", "size", "keys", "simhash"])
 
 
 @F.arrow_udf(BinaryType())
@@ -99,11 +112,17 @@ def _sets(texts: pa.Array) -> pa.Array:
     return pa.array([shingle_set(t).astype("<u8").tobytes() for t in (x.as_py() for x in texts)], pa.binary())
 
 
+@F.arrow_udf(BooleanType())
+def _overlapping(ones: pa.Array, others: pa.Array) -> pa.Array:
+    pairs = zip(ones.to_pylist(), others.to_pylist(), strict=True)
+    return pa.array([overlap(np.frombuffer(a, "<u8"), np.frombuffer(b, "<u8")) for a, b in pairs], pa.bool_())
+
+
 def sketches(docs: DataFrame) -> DataFrame:
-    """doc_id, doc_key (digest of the text), doc_row (of both), fingerprint (of the set), size and keys of every document."""
+    """doc_id, doc_key (digest of the text), doc_row (of both), fingerprint (of the set), size, keys and simhash of every document."""
     found = docs.select("doc_id", text_key(F.col("text")).alias("doc_key"), _sketches(F.col("text").cast("binary")).alias("s"))
     row = _doc_row(F.col("doc_id"), F.col("doc_key")).alias("doc_row")
-    return found.select("doc_id", "doc_key", row, F.col("s.node").alias("fingerprint"), "s.size", "s.keys")
+    return found.select("doc_id", "doc_key", row, F.col("s.node").alias("fingerprint"), "s.size", "s.keys", "s.simhash")
 
 
 def _doc_row(doc_id: Column, doc_key: Column) -> Column:
@@ -177,6 +196,31 @@ def _group_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield links()
 
 
+def _node_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``node`` and ``set`` of the nodes of ``wanted`` (node, doc_row), each from one of its texts."""
+    texts = docs.select(_doc_row(F.col("doc_id"), text_key(F.col("text"))).alias("doc_row"), F.col("text").cast("binary").alias("text"))
+    # Rows repeated as a whole are dropped before their sets are made.
+    return texts.join(wanted, "doc_row").dropDuplicates(["doc_row"]).select("node", _sets("text").alias("set"))
+
+
+def fingerprint_links(docs: DataFrame, prints: DataFrame) -> DataFrame:
+    """Links (a, b) between nodes of ``prints`` whose SimHash fingerprints are near and whose sets overlap.
+
+    Sets of one fingerprint meet its first one, near fingerprints meet by their first ones, so checks are as many as links.
+    """
+    nodes = prints.filter("size > 0").groupBy("fingerprint", "simhash").agg(F.min("doc_row").alias("doc_row"))
+    nodes = stored(nodes.withColumnRenamed("fingerprint", "node"), "simhash-nodes")
+    first = stored(nodes.groupBy("simhash").agg(F.min("node").alias("first")), "simhash-first")
+    same = nodes.join(first, "simhash").filter("node <> first").select(F.col("first").alias("a"), F.col("node").alias("b"))
+    ends = [first.select(F.col("simhash").alias(f"simhash_{c}"), F.col("first").alias(f"node_{c}")) for c in "ab"]
+    near = near_links(first.select("simhash")).join(ends[0], F.col("a") == F.col("simhash_a")).join(ends[1], F.col("b") == F.col("simhash_b"))
+    pairs = stored(same.unionByName(near.select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))), "simhash-pairs")
+    met = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    sets = stored(_node_sets(docs, nodes.join(met, "node", "left_semi").select("node", "doc_row")), "simhash-sets")
+    sides = [sets.select(F.col("node").alias(c), F.col("set").alias(f"set_{c}")) for c in "ab"]
+    return pairs.join(sides[0], "a").join(sides[1], "b").filter(_overlapping("set_a", "set_b")).select("a", "b")
+
+
 def overlap_links(docs: DataFrame, prints: DataFrame, block: int = BLOCK, block_shingles: int = BLOCK_SHINGLES) -> DataFrame:
     """Links (a, b) that connect all nodes of ``prints`` (stored ``sketches`` of ``docs``) whose sets overlap."""
     nodes = prints.groupBy("fingerprint", "size").agg(F.first("keys").alias("keys"), F.min("doc_row").alias("doc_row"))
@@ -191,9 +235,7 @@ def overlap_links(docs: DataFrame, prints: DataFrame, block: int = BLOCK, block_
     met = stored(keys.drop("size").join(groups.select("first.*", parts), by_key), "overlap-groups")
 
     wanted = nodes.join(met.select("node").distinct(), "node", "left_semi").select("node", "doc_row")
-    texts = docs.select(_doc_row(F.col("doc_id"), text_key(F.col("text"))).alias("doc_row"), F.col("text").cast("binary").alias("text"))
-    # One text of a set; rows repeated as a whole are dropped before their sets are made.
-    sets = texts.join(wanted, "doc_row").dropDuplicates(["doc_row"]).select("node", _sets("text").alias("set"))
+    sets = _node_sets(docs, wanted)
     own = F.pmod(F.xxhash64("node"), F.col("parts"))
     dealt = met.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
     meetings = dealt.select(*by_key, F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "node")
@@ -205,5 +247,6 @@ def overlap_links(docs: DataFrame, prints: DataFrame, block: int = BLOCK, block_
 def overlap_dedup(docs: DataFrame) -> DataFrame:
     """``docs`` with one document of each class: the smallest doc_id, then the smallest digest of the text."""
     prints = stored(sketches(docs), "overlap-sketches")
-    links = stored(overlap_links(docs, prints), "overlap-links")
+    links = fingerprint_links(docs, prints).unionByName(overlap_links(docs, prints))
+    links = stored(links, "overlap-links")
     return one_of_each(docs, classes(prints.select("doc_id", "doc_key", "fingerprint"), links))
