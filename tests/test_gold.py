@@ -220,3 +220,23 @@ def test_whole_numbers_that_are_one_double_have_their_own_ranks(spark):
     assert {r["v"]: r["place"] for r in with_ranks(df, {"place": "v"}).collect()} == {2**53 + 1: 1, 2**53: 2, 5: 3, None: 4}
     cuts = spark.range(1).select(quantiles(df, ["v"], (0.5, 1.0)).alias("c")).first()["c"]["v"]
     assert cuts == [2**53, 2**53 + 1]
+
+
+def test_bounds_are_sorted_once(spark):
+    """Not for every element of a lambda that reads them."""
+    df = spark.range(40).selectExpr("cast(id % 7 as double) as v")
+    plan = value_positions(df, ["v"], descending=True)._jdf.queryExecution().optimizedPlan().toString()
+    assert "sort_array(" in plan
+    assert "lambdafunction(element_at(sort_array(" not in plan
+
+
+@pytest.mark.parametrize("limit", [0, 1, 1_000])
+def test_products_of_many_and_of_few_lines(silver_lines, limit):
+    """The same table whether all products, some or none are spread by their values."""
+    more = silver_lines.filter("StockCode = 'SEED'").withColumns({"InvoiceNo": F.lit("m-9"), "CustomerID": F.lit("c9")})
+    lines = silver_lines.unionByName(more).unionByName(silver_lines.withColumn("Description", F.lit(None).cast("string")))
+    crowded = [row["slot"] for row in sales.crowded_slots(lines, limit).collect()]
+    assert bool(crowded) == (limit < 1_000)
+    found = sales.product_sales(lines, crowded=crowded)
+    assert sorted(map(str, found.collect())) == sorted(map(str, sales.product_sales(lines).collect()))
+    assert ("Expand" in found._jdf.queryExecution().optimizedPlan().toString()) == bool(crowded)

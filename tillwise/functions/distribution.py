@@ -7,7 +7,7 @@ position of every value.
 """
 
 import math
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -35,6 +35,11 @@ def _exact(df: DataFrame, measure: str) -> Column:
     return F.col(measure).cast("bigint") if _is_whole(df, measure) else F.lit(None).cast("bigint")
 
 
+def evaluated(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is worked out once, where a lambda inside would do it again for every element."""
+    return F.transform(F.array(value), use)[0]
+
+
 def value_positions(df: DataFrame, measures: Sequence[str], *, descending: bool = False) -> DataFrame:
     """Rows ``(measure, value, whole, n, before, rows)`` for numeric columns.
 
@@ -60,14 +65,17 @@ def value_positions(df: DataFrame, measures: Sequence[str], *, descending: bool
         F.percentile_approx("value", wanted, F.lit(accuracy)).alias("bounds"), F.sum("n").alias("n")
     )
 
+    def even_bounds(every: Column) -> Column:
+        step = F.size(every) / F.lit(ranges)
+        places = F.when(F.size(every) > 0, F.sequence(F.lit(1), F.lit(ranges - 1))).otherwise(F.array().cast("array<int>"))
+        return F.transform(places, lambda i: F.element_at(every, F.greatest(F.ceil(step * i), F.lit(1)).cast("int")))
+
     def summary(name: str) -> Column:
         of_measure = F.col("measure") == name
         every = F.sort_array(F.flatten(F.collect_list(F.when(of_measure, F.col("bounds")))))
-        step = F.size(every) / F.lit(ranges)
-        places = F.when(F.size(every) > 0, F.sequence(F.lit(1), F.lit(ranges - 1))).otherwise(F.array().cast("array<int>"))
-        bounds = F.transform(places, lambda i: F.element_at(every, F.greatest(F.ceil(step * i), F.lit(1)).cast("int")))
-        last_of_block = F.slice(
-            F.filter(bounds, lambda _, i: (i + 1) % block == 0), 1, F.lit(ranges)
+        bounds = evaluated(every, even_bounds)
+        last_of_block = evaluated(
+            bounds, lambda b: F.slice(F.filter(b, lambda _, i: (i + 1) % block == 0), 1, F.lit(ranges))
         )
         return F.struct(
             bounds.alias("bounds"),

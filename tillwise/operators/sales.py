@@ -1,12 +1,18 @@
 """Sales tables: by day, country and product; detailed and simple variants."""
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable, Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillwise.constants import TOP_PRODUCTS, TOP_PRODUCTS_SHORT
 from tillwise.functions import money
 from tillwise.functions.distribution import with_ranks
 
+PRODUCT_KEYS = ("StockCode", "Description")
+PRODUCT_SLOTS = 65_536
+#: A product with more lines is spread over many tasks; sets of fewer fit in one.
+CROWDED_LINES = 200_000
 INVOICE_KEYS = ("Year", "Month", "Day", "Country", "InvoiceNo", "CustomerID")
 
 
@@ -126,18 +132,44 @@ def country_sales(df: DataFrame, *, approx: bool = False) -> DataFrame:
     )
 
 
-def product_sales(lines: DataFrame, *, approx: bool = False) -> DataFrame:
+def _product_slot():
+    return F.pmod(F.xxhash64(*PRODUCT_KEYS), F.lit(PRODUCT_SLOTS)).cast("int")
+
+
+def crowded_slots(lines: DataFrame, limit: int = CROWDED_LINES) -> DataFrame:
+    """Hash slots of products with more than ``limit`` lines: at most one for each ``limit`` lines of the table."""
+    return lines.groupBy(_product_slot().alias("slot")).count().filter(F.col("count") > limit).select("slot")
+
+
+def _product_measures(lines: DataFrame, distinct: Callable[[str], Column]) -> DataFrame:
+    return lines.groupBy(*PRODUCT_KEYS).agg(
+        money.total(F.col("TotalAmount")).alias("_amount"),
+        F.sum(F.col("Quantity").cast("bigint")).alias("total_quantity_sold"),
+        distinct("InvoiceNo").alias("total_orders"),
+        distinct("CustomerID").alias("unique_customers"),
+        money.total(F.col("UnitPrice")).alias("_price"),
+        F.count("UnitPrice").alias("_prices"),
+    )
+
+
+def product_sales(lines: DataFrame, *, approx: bool = False, crowded: Sequence[int] | None = None) -> DataFrame:
+    """Product totals.  Distinct counts expand every line to three, shuffled by product and value.
+
+    With ``crowded`` (``crowded_slots``, collected) only the products of these slots do so.  The lines of all others
+    are shuffled once, by product, and counted as sets of one product, which hold few lines.
+    """
     revenue = money.to_cents(F.col("_amount"))
+    if crowded is None:
+        measured = _product_measures(lines, lambda c: _distinct(c, approx))
+    else:
+        known = lines.select(*PRODUCT_KEYS, "InvoiceNo", "CustomerID", "Quantity", "UnitPrice", "TotalAmount")
+        inside = _product_slot().isin(list(crowded))
+        few = known.filter(~inside) if crowded else known
+        measured = _product_measures(few.repartition(*PRODUCT_KEYS), lambda c: F.size(F.collect_set(c)).cast("bigint"))
+        if crowded:
+            measured = measured.unionByName(_product_measures(known.filter(inside), lambda c: _distinct(c, approx)))
     return (
-        lines.groupBy("StockCode", "Description")
-        .agg(
-            money.total(F.col("TotalAmount")).alias("_amount"),
-            F.sum(F.col("Quantity").cast("bigint")).alias("total_quantity_sold"),
-            _distinct("InvoiceNo", approx).alias("total_orders"),
-            _distinct("CustomerID", approx).alias("unique_customers"),
-            money.total(F.col("UnitPrice")).alias("_price"),
-            F.count("UnitPrice").alias("_prices"),
-        )
+        measured
         .select(
             "StockCode",
             "Description",
