@@ -41,3 +41,16 @@ def test_redelivered_lines_are_cleaned_by_a_stream_without_state(spark, monkeypa
     assert set(known) == {1} and len(known) >= 4
     assert set(clean) == {0} and len(clean) == 1
     assert rows(cleaned) == rows(catalog.zoneless(silver.silver_detailed(invoice_lines(spark, SMALL))))
+
+
+def test_inference_reads_stored_customer_features(spark, tmp_path, read_by):
+    lake = Lakehouse(str(tmp_path / "lake"))
+    lines = silver.silver_detailed(invoice_lines(spark, SMALL))
+    lake.write(lines, SILVER, jobs.CLEANED)
+    for result in (
+        modelling.train(spark, lake, str(tmp_path / "models"), k=3),
+        modelling.infer(spark, lake, str(tmp_path / "models"), days=3),
+    ):
+        assert result.status == "success", result.details
+    assert read_by["customer_segments"] == {"inference_customers"}
+    assert rows(lake.read(spark, GOLD, "inference_customers")) == rows(features.customer_features(lines))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tillwise.constants import CLUSTERS, FORECAST_DAYS
 from tillwise.operators import customers, evaluate, features, models, sales
-from tillwise.plans.jobs import CLEANED
+from tillwise.plans.jobs import CLEANED, write_together
 from tillwise.sources.tables import GOLD, SILVER, Lakehouse, write_report
 
 FORECAST_MODEL, SEGMENT_MODEL = "sales_forecast", "customer_segmentation"
@@ -33,8 +33,11 @@ def train(spark: SparkSession, lake: Lakehouse, model_root: str, *, k: int = CLU
 
     def job() -> dict:
         lines = lake.read(spark, SILVER, CLEANED)
-        lake.write(sales.daily_sales(lines), GOLD, "training_daily")
-        lake.write(features.customer_features(lines), GOLD, "training_customers")
+        write_together(
+            lake,
+            GOLD,
+            {"training_daily": sales.daily_sales(lines), "training_customers": features.customer_features(lines)},
+        )
         daily = lake.read(spark, GOLD, "training_daily")
         people = lake.read(spark, GOLD, "training_customers")
 
@@ -73,16 +76,22 @@ def infer(spark: SparkSession, lake: Lakehouse, model_root: str, *, days: int =
         lines = lake.read(spark, SILVER, CLEANED)
         forecaster = models.load_model(f"{model_root}/{FORECAST_MODEL}")
         clusters = models.load_model(f"{model_root}/{SEGMENT_MODEL}")
-        people = features.customer_features(lines)
-        predicted = lake.write(
-            models.forecast(forecaster, sales.daily_sales(lines), days), GOLD, "sales_forecast"
+        # Customers with a segment and those without are two readers, so the features are stored first.
+        written = write_together(
+            lake,
+            GOLD,
+            {
+                "sales_forecast": models.forecast(forecaster, sales.daily_sales(lines), days),
+                "inference_customers": features.customer_features(lines),
+            },
         )
+        people = lake.read(spark, GOLD, "inference_customers")
         segmented = lake.write(models.customer_segments(clusters, people), GOLD, "customer_segments")
         labels = customers.distinct_segments(
             segments(spark, lake).filter(F.col("segment_label").isNotNull()), "segment_label"
         )
         return {
-            "forecast_days": predicted["rows"],
+            "forecast_days": written["sales_forecast"],
             "customers": segmented["rows"],
             "segments": labels.first()["segments"],
         }
