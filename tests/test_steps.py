@@ -54,3 +54,26 @@ def test_inference_reads_stored_customer_features(spark, tmp_path, read_by):
         assert result.status == "success", result.details
     assert read_by["customer_segments"] == {"inference_customers"}
     assert rows(lake.read(spark, GOLD, "inference_customers")) == rows(features.customer_features(lines))
+
+
+def test_a_batch_is_worked_out_once_and_not_kept(spark, tmp_path, monkeypatch):
+    evaluated = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def counted(country):
+        evaluated.add(1)
+        return country
+
+    lines = silver.silver_detailed(invoice_lines(spark, SMALL))
+    lines = spark.createDataFrame(lines.collect(), lines.schema)
+    batch = lines.withColumn("Country", counted("Country"))
+
+    def kept(*_):
+        raise AssertionError("a copy of the batch is kept")
+
+    monkeypatch.setattr(type(batch), "persist", kept)
+    work = pipelines.refresh_daily_sales(str(tmp_path / "silver"), str(tmp_path / "daily"))
+    work(batch.limit(0), 0)
+    work(batch, 1)
+    assert evaluated.value == lines.count()
+    assert rows(spark.read.parquet(str(tmp_path / "daily"))) == rows(sales.daily_sales(lines))

@@ -92,6 +92,17 @@ def versions(spark: SparkSession, path: str) -> list[int]:
     return sorted(int(n.removeprefix("batch_id=")) for n in names if n.startswith("batch_id="))
 
 
+def partitions_with(spark: SparkSession, path: str, keys: Sequence[str], child: str) -> list[str]:
+    """The partition folders (``key=value`` for each of ``keys``) of a table that hold a folder ``child``."""
+    files, place = _file_system(spark, path)
+    folders = [path.rstrip("/")] if files.exists(place) else []
+    at = spark._jvm.org.apache.hadoop.fs.Path
+    for key in keys:
+        inside = [(folder, s.getPath().getName()) for folder in folders for s in files.listStatus(at(folder))]
+        folders = [f"{folder}/{name}" for folder, name in inside if name.startswith(f"{key}=")]
+    return [folder for folder in folders if files.exists(at(f"{folder}/{child}"))]
+
+
 def remove(spark: SparkSession, paths: Sequence[str]) -> None:
     """Delete folders; missing ones are no error."""
     for path in paths:
