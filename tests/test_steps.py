@@ -77,3 +77,30 @@ def test_a_batch_is_worked_out_once_and_not_kept(spark, tmp_path, monkeypatch):
     work(batch, 1)
     assert evaluated.value == lines.count()
     assert rows(spark.read.parquet(str(tmp_path / "daily"))) == rows(sales.daily_sales(lines))
+
+
+def test_simple_job_sums_the_lines_once(spark, tmp_path, read_by):
+    folder = str(tmp_path)
+    lake = Lakehouse(f"{folder}/lake")
+    jobs.run_simple(spark, catalog._as_csv(spark, SMALL, folder), lake)
+    for name in ("simple_daily_sales", "simple_rfm_table"):
+        assert read_by[name] == {"simple_rollup"}
+    lines = lake.read(spark, SILVER, "simple_online_retail_cleaned")
+    assert rows(lake.read(spark, GOLD, "simple_country_sales")) == rows(sales.country_sales_simple(lines))
+
+
+def test_simple_tables_from_a_rollup_are_those_from_lines(spark, simple_lines):
+    """With lines without a country, a customer, a time, a number of units or an invoice."""
+    lines = simple_lines
+    for name, value in (("Country", "KENYA"), ("CustomerID", "c5"), ("InvoiceNo", "m-3")):
+        holes = simple_lines.withColumn(name, F.when(F.col(name) != value, F.col(name)))
+        lines = lines.unionByName(holes.withColumn("Quantity", F.col("Quantity") * 3))
+    lines = lines.unionByName(simple_lines.withColumn("InvoiceDate", F.lit(None).cast("timestamp")))
+    lines = lines.unionByName(simple_lines.withColumn("Quantity", F.lit(None).cast("int")).withColumn("CustomerID", F.lit("c9")))
+    rollup = sales.rollup_simple(lines)
+    assert rollup.count() < lines.count()
+    for table in (sales.daily_sales_simple, customers.rfm_simple):
+        assert table(rollup).schema == table(lines).schema
+        assert records(table(rollup).orderBy(F.col(table(rollup).columns[0]))) == records(table(lines).orderBy(F.col(table(lines).columns[0])))
+    assert records(sales.country_sales_simple(lines, rollup)) == records(sales.country_sales_simple(lines))
+    assert lines.filter("Country is null").count() > 0

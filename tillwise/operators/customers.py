@@ -8,7 +8,7 @@ from tillwise.functions import money
 from tillwise.functions.distribution import quantiles
 from tillwise.functions.scalars import table_wide
 from tillwise.functions.scoring import cltv_band, quintile_score, rfm_segment
-from tillwise.operators.sales import measures
+from tillwise.operators.sales import measures, measures_simple
 
 
 def customer_base(df: DataFrame) -> DataFrame:
@@ -150,16 +150,16 @@ def cltv_detailed(df: DataFrame, *, sketch: bool = False) -> DataFrame:
     )
 
 
-def rfm_simple(lines: DataFrame) -> DataFrame:
-    """Line-count RFM over simple silver; no scores, no rounding.
+def rfm_simple(df: DataFrame) -> DataFrame:
+    """Line-count RFM from simple silver lines or a simple rollup; no scores, no rounding.
 
     Guests count towards the latest date only, so they are one more group that is left
     out at the end; customer table and latest date come from one scan.
     """
-    people = lines.groupBy("CustomerID").agg(
-        F.max("InvoiceDate").alias("last"),
-        F.count("InvoiceNo").alias("Frequency"),
-        money.total(F.col("Quantity") * F.col("UnitPrice")).alias("amount"),
+    people = measures_simple(df).groupBy("CustomerID").agg(
+        F.max("last_stamp").alias("last"),
+        F.sum("invoice_count").alias("Frequency"),
+        F.sum("amount_sum").alias("amount"),
         F.count("CustomerID").alias("registered"),
     )
     latest = table_wide(people, latest=F.max("last"))["latest"]

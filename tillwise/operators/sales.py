@@ -198,14 +198,43 @@ def product_ranking(lines: DataFrame, *, approx: bool = False) -> DataFrame:
     return rank_products(product_sales(lines, approx=approx))
 
 
-def daily_sales_simple(lines: DataFrame) -> DataFrame:
+def measures_simple(df: DataFrame) -> DataFrame:
+    """Additive measures of simple silver lines; a simple rollup passes through unchanged."""
+    if "amount_sum" in df.columns:
+        return df
+    return df.select(
+        F.to_date("InvoiceDate").alias("SaleDate"),
+        "CustomerID",
+        "Country",
+        F.col("Quantity").cast("bigint").alias("quantity_sum"),
+        money.exact(_amount()).alias("amount_sum"),
+        F.col("InvoiceNo").isNotNull().cast("bigint").alias("invoice_count"),
+        F.col("InvoiceDate").alias("last_stamp"),
+    )
+
+
+def rollup_simple(lines: DataFrame) -> DataFrame:
+    """One row per day, customer and country: what the simple day and customer tables and most of the country table need."""
     return (
-        lines.groupBy(F.to_date("InvoiceDate").alias("SaleDate"))
+        measures_simple(lines)
+        .groupBy("SaleDate", "CustomerID", "Country")
         .agg(
-            F.sum(F.col("Quantity").cast("bigint")).alias("TotalQuantity"),
-            money.as_double(money.total(_amount())).alias("TotalRevenue"),
+            *[F.sum(name).alias(name) for name in ("quantity_sum", "amount_sum", "invoice_count")],
+            F.max("last_stamp").alias("last_stamp"),
+        )
+    )
+
+
+def daily_sales_simple(df: DataFrame) -> DataFrame:
+    """Simple daily table from silver lines or a simple rollup."""
+    return (
+        measures_simple(df)
+        .groupBy("SaleDate")
+        .agg(
+            F.sum("quantity_sum").alias("TotalQuantity"),
+            money.as_double(F.sum("amount_sum")).alias("TotalRevenue"),
             F.count_distinct(F.col("CustomerID")).alias("UniqueCustomers"),
-            F.count("InvoiceNo").alias("TotalTransactions"),
+            F.sum("invoice_count").alias("TotalTransactions"),
         )
         .orderBy("SaleDate")
     )
@@ -242,14 +271,26 @@ def top_descriptions(lines: DataFrame, n: int = TOP_PRODUCTS_SHORT) -> DataFrame
     )
 
 
-def country_sales_simple(lines: DataFrame) -> DataFrame:
-    return (
-        lines.groupBy("Country")
-        .agg(
+def country_sales_simple(lines: DataFrame, rollup: DataFrame | None = None) -> DataFrame:
+    """Simple country table; with ``rollup`` (``rollup_simple``) the lines only tell which products a country bought.
+
+    Otherwise two distinct counts expand every line to three.
+    """
+    people = F.count_distinct(F.col("CustomerID")).alias("UniqueCustomers")
+    products = F.count_distinct(F.col("StockCode")).alias("UniqueProducts")
+    if rollup is None:
+        countries = lines.groupBy("Country").agg(
             money.as_double(money.total(_amount())).alias("CountryRevenue"),
             F.sum(F.col("Quantity").cast("bigint")).alias("TotalQuantity"),
-            F.count_distinct(F.col("CustomerID")).alias("UniqueCustomers"),
-            F.count_distinct(F.col("StockCode")).alias("UniqueProducts"),
+            people,
+            products,
         )
-        .orderBy(F.desc("CountryRevenue"), "Country")
-    )
+    else:
+        bought = lines.groupBy(F.col("Country").alias("_country")).agg(products)
+        measured = rollup.groupBy("Country").agg(
+            money.as_double(F.sum("amount_sum")).alias("CountryRevenue"),
+            F.sum("quantity_sum").alias("TotalQuantity"),
+            people,
+        )
+        countries = measured.join(bought, F.col("Country").eqNullSafe(F.col("_country"))).drop("_country")
+    return countries.orderBy(F.desc("CountryRevenue"), "Country")
