@@ -104,3 +104,9 @@ def test_simple_tables_from_a_rollup_are_those_from_lines(spark, simple_lines):
         assert records(table(rollup).orderBy(F.col(table(rollup).columns[0]))) == records(table(lines).orderBy(F.col(table(lines).columns[0])))
     assert records(sales.country_sales_simple(lines, rollup)) == records(sales.country_sales_simple(lines))
     assert lines.filter("Country is null").count() > 0
+
+
+def test_times_are_written_once_for_each_order(spark):
+    plan = invoice_lines(spark, SMALL)._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    join = next(i for i, line in enumerate(plan) if "Join" in line and "l_orderkey" in line)
+    assert [i > join for i, line in enumerate(plan) if "date_format" in line] == [True]

@@ -30,12 +30,18 @@ def to_invoice_lines(
     ``lineitem`` may be a stream.  Line items and orders are both fact tables, so they
     meet in a shuffle join, which AQE splits where an order or customer is hot; without
     the hint a small compressed line item file could be taken for a broadcast side.  The
-    dimensions are broadcast only when the planner finds them small.
+    dimensions are broadcast only when the planner finds them small.  What an order says is
+    worked out once for each order, before its lines meet it.
     """
     headers = (
         orders.join(customer, F.col("o_custkey") == F.col("c_custkey"))
         .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
-        .select("o_orderkey", "o_custkey", "o_orderdate", _country().alias("Country"))
+        .select(
+            "o_orderkey",
+            "o_custkey",
+            F.date_format("o_orderdate", INVOICE_TIME_FORMAT).alias("InvoiceDate"),
+            _country().alias("Country"),
+        )
     )
     lines = lineitem.join(headers.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey")).join(
         part, F.col("l_partkey") == F.col("p_partkey")
@@ -51,7 +57,7 @@ def to_invoice_lines(
         .otherwise(F.concat(F.lit(" "), "p_name", F.lit(" ")))
         .alias("Description"),
         F.when(F.col("l_orderkey") % 50 == 0, -quantity).otherwise(quantity).alias("Quantity"),
-        F.date_format("o_orderdate", INVOICE_TIME_FORMAT).alias("InvoiceDate"),
+        "InvoiceDate",
         F.col("p_retailprice").alias("UnitPrice"),
         F.when(F.col("o_custkey") % 10 != 0, F.col("o_custkey").cast("string")).alias("CustomerID"),
         "Country",
