@@ -1,5 +1,7 @@
 """Jobs and streams work a step out once and hand it over as a table."""
 
+import os
+
 import pytest
 from conftest import SMALL, records
 from pyspark.sql import functions as F
@@ -43,6 +45,55 @@ def test_redelivered_lines_are_cleaned_by_a_stream_without_state(spark, monkeypa
     assert rows(cleaned) == rows(catalog.zoneless(silver.silver_detailed(invoice_lines(spark, SMALL))))
 
 
+def shuffle_files(spark):
+    """Names of the shuffle files on disk."""
+    found = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    names = [found.apply(i).getName() for i in range(found.size())]
+    return {name for name in names if name.startswith("shuffle_")}
+
+
+def test_redelivered_lines_leave_no_files_that_nothing_reads(spark, monkeypatch):
+    folders, found, run = [], [], pipelines.run_available
+
+    def noted(stream, path, *args, **options):
+        folders.append(os.path.dirname(path.removeprefix("file:")))
+        lines, shuffled = f"{folders[0]}/lines", shuffle_files(spark)
+        found.append(sorted(os.listdir(folders[0])))
+        arrived = len(os.listdir(lines)) if os.path.exists(lines) else 0
+        progress = run(stream, path, *args, **options)
+        assert shuffle_files(spark) - shuffled == set()
+        assert arrived == 0 or len(os.listdir(lines)) < arrived
+        return progress
+
+    monkeypatch.setattr(pipelines, "run_available", noted)
+    cleaned = catalog.QUERIES["stream_redelivery"](spark, SMALL)
+    assert found == [["lines"], ["known"]]
+    assert rows(cleaned) == rows(catalog.zoneless(silver.silver_detailed(invoice_lines(spark, SMALL))))
+
+
+def test_state_of_redelivered_lines_is_not_kept_in_memory(spark, monkeypatch):
+    runs, run = [], pipelines.run_available
+    before = {key: spark.conf.get(key, None) for key in (*pipelines.FRUGAL, pipelines.PARTITIONS_SETTING)}
+    monkeypatch.setattr(pipelines, "STATE_BYTES", 4096)
+    monkeypatch.setattr(pipelines, "run_available", lambda *args, **options: runs.append(run(*args, **options)) or runs[-1])
+    catalog.QUERIES["stream_redelivery"](spark, SMALL)
+    states = [state for batch in runs[0] for state in batch["stateOperators"]]
+    # Partitions follow the size of the deliveries, and each batch reads their state again.
+    partitions = {state["numShufflePartitions"] for state in states}
+    assert len(partitions) == 1 and min(partitions) > int(before[pipelines.PARTITIONS_SETTING])
+    assert {state["customMetrics"]["loadedMapCacheMissCount"] for state in states[1:]} == partitions
+    assert before == {key: spark.conf.get(key, None) for key in before}
+
+
+def test_settings_come_back_after_a_failure(spark):
+    key = pipelines.PARTITIONS_SETTING
+    before = spark.conf.get(key)
+    with pytest.raises(ValueError), pipelines.with_settings(spark, {key: "3"}):
+        assert spark.conf.get(key) == "3"
+        raise ValueError
+    assert spark.conf.get(key) == before
+
+
 def test_inference_reads_stored_customer_features(spark, tmp_path, read_by):
     lake = Lakehouse(str(tmp_path / "lake"))
     lines = silver.silver_detailed(invoice_lines(spark, SMALL))

@@ -30,7 +30,7 @@ from tillwise.plans import gold_tables, jobs, modelling, monitoring
 from tillwise.schemas import CORRUPT_COLUMN
 from tillwise.sources import run_log_adapter
 from tillwise.sources.invoice_adapter import invoice_lines, read_table
-from tillwise.sources.tables import GOLD, SILVER, Lakehouse, read_csv, read_run_log, write_table
+from tillwise.sources.tables import GOLD, SILVER, Lakehouse, read_csv, read_run_log, remove, write_table
 from tillwise.sources.workspace import new_folder, stored
 from tillwise.streaming import pipelines
 
@@ -816,9 +816,9 @@ def _line_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return invoice_lines(spark, sf_dir, _arriving(spark, sf_dir, "lineitem"))
 
 
-def _streamed(spark: SparkSession, stream: DataFrame, purpose: str, partition_by=()) -> DataFrame:
+def _streamed(spark: SparkSession, stream: DataFrame, purpose: str, partition_by=(), settings=None) -> DataFrame:
     folder = new_folder(spark, purpose)
-    pipelines.run_available(stream, f"{folder}/table", f"{folder}/state", partition_by=partition_by)
+    pipelines.run_available(stream, f"{folder}/table", f"{folder}/state", partition_by=partition_by, settings=settings)
     return spark.read.schema(stream.schema).parquet(f"{folder}/table")
 
 
@@ -851,12 +851,12 @@ def stream_cleaning(spark, sf_dir):
     return _streamed(spark, pipelines.cleaned(_line_stream(spark, sf_dir)), "cleaning")
 
 
-def _delivered(df: DataFrame, path: str, slices: list, arrival: str | None = None) -> DataFrame:
+def _delivered(df: DataFrame, path: str, slices: list, **options) -> DataFrame:
     """A stream of a table whose slices (conditions) were written one after another; about one slice is a batch."""
     for condition in slices:
         df.filter(condition).write.mode("append").parquet(path)
     files = len(df.sparkSession.read.parquet(path).inputFiles())
-    return pipelines.table_stream(df.sparkSession, path, max(1, files // len(slices)), arrival=arrival)
+    return pipelines.table_stream(df.sparkSession, path, max(1, files // len(slices)), **options)
 
 
 @query
@@ -864,17 +864,22 @@ def stream_redelivery(spark, sf_dir):
     """Line items of which two thirds are delivered twice, some of them a third time.
 
     One stream writes each line once; another cleans that table.  It has no state, so its join is planned by
-    size, and orders are read when lines are cleaned, not for every delivery.
+    size, and orders are read when lines are cleaned, not for every delivery.  Deliveries and state are needed no
+    more by then and are removed, so disk holds them or the joins' shuffle files, not both.
     """
     folder = new_folder(spark, "redelivery")
     part = F.col("l_orderkey") % 3
     slices = [part == 0, part != 2, part >= 1, part == 1]
     lines = read_table(spark, sf_dir, "lineitem")
+    with pipelines.with_settings(spark, pipelines.FRUGAL):
+        delivered = _delivered(lines, f"{folder}/lines", slices, arrival="arrival", remove_read=True)
     # Line numbers come again in these tables, so a line is the same if all its columns are.
-    known = pipelines.once(_delivered(lines, f"{folder}/lines", slices, arrival="arrival"), lines.columns, "arrival")
-    pipelines.run_available(known.select(lines.columns), f"{folder}/known", f"{folder}/state")
+    known = pipelines.once(delivered, lines.columns, "arrival")
+    settings = pipelines.frugal(spark, f"{folder}/lines")
+    pipelines.run_available(known.select(lines.columns), f"{folder}/known", f"{folder}/state", settings=settings)
+    remove(spark, [f"{folder}/lines", f"{folder}/state"])
     arriving = pipelines.table_stream(spark, f"{folder}/known")
-    return _streamed(spark, pipelines.cleaned(invoice_lines(spark, sf_dir, arriving)), "redelivery")
+    return _streamed(spark, pipelines.cleaned(invoice_lines(spark, sf_dir, arriving)), "redelivery", settings=pipelines.FRUGAL)
 
 
 @query

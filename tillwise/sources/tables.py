@@ -85,6 +85,12 @@ def table_exists(spark: SparkSession, path: str) -> bool:
     return files.exists(place)
 
 
+def folder_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of all files in a folder; it has to exist."""
+    files, place = _file_system(spark, path)
+    return files.getContentSummary(place).getLength()
+
+
 def versions(spark: SparkSession, path: str) -> list[int]:
     """Numbers of the ``batch_id=`` folders in a folder; none if it does not exist."""
     files, place = _file_system(spark, path)
